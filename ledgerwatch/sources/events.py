@@ -25,6 +25,11 @@ def _money(cents: str) -> Column:
     return (F.col(cents).cast("decimal(17,2)") / F.lit(100)).cast(MONEY)
 
 
+def customer_of() -> Column:
+    """Sender of an event: the user, split into many one-off senders for odd events."""
+    return F.expr("CASE WHEN event_id % 2 = 0 THEN concat('C', user_id) ELSE concat('C', user_id, '_', event_id % 37) END")
+
+
 def raw_from_events(events: DataFrame) -> DataFrame:
     """transaction_id plus the eleven raw columns, under their fact names."""
     kind = F.lit("DEBIT")
@@ -55,7 +60,6 @@ def raw_from_events(events: DataFrame) -> DataFrame:
                 WHEN transaction_type = 'TRANSFER' AND k % 2 = 0 THEN concat('C', (user_id * 7 + k) % 15)
                 ELSE concat('R', (event_id * 31 + user_id) % 500) END"""
     )
-    customer = F.expr("CASE WHEN event_id % 2 = 0 THEN concat('C', user_id) ELSE concat('C', user_id, '_', event_id % 37) END")
     outflow = F.col("transaction_type").isin("TRANSFER", "CASH_OUT")
     cents = base.withColumn("a", amount).withColumn("ob", old).withColumn("nb", new)
     return cents.select(
@@ -63,7 +67,7 @@ def raw_from_events(events: DataFrame) -> DataFrame:
         "step",
         "transaction_type",
         _money("a").alias("amount"),
-        customer.alias("customer_id"),
+        customer_of().alias("customer_id"),
         _money("ob").alias("old_balance_orig"),
         _money("nb").alias("new_balance_orig"),
         recipient.alias("recipient_id"),
