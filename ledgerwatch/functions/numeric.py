@@ -43,5 +43,11 @@ def mean_amount(c: Column | str, digits: int = 2) -> Column:
     return round_half_up(ratio(F.sum(c), F.count(c)), digits)
 
 
-def as_double(*names: str) -> dict[str, Column]:
-    return {n: F.col(n).cast("double") for n in names}
+def pearson(x: Column | str, y: Column | str) -> Column:
+    """Aggregate: correlation over rows where both are present, NULL where one of them never varies.
+
+    The built-in ``corr`` divides by zero there, which is an error in ANSI mode.
+    """
+    x, y = _col(x), _col(y)
+    both_x, both_y = F.when(y.isNotNull(), x), F.when(x.isNotNull(), y)
+    return F.try_divide(F.covar_pop(x, y), F.stddev_pop(both_x) * F.stddev_pop(both_y))

@@ -8,7 +8,7 @@ from itertools import combinations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ratio, round_half_up, share
+from ..functions import pearson, ratio, round_half_up, share
 from ..functions.conditions import is_fraud, is_outflow
 from ..schema import TRANSACTION_TYPES
 from .order_stats import cents, quantiles_from_ranks, value_ranks
@@ -127,7 +127,7 @@ def correlation_matrix(fact: DataFrame, columns: Sequence[str] = tuple(CORRELATE
     """Pearson correlation of every pair below the diagonal, all of them from one aggregate."""
     pairs = [(y, x) for x, y in combinations(columns, 2)]
     numbers = fact.select(*[F.col(c).cast("double").alias(c) for c in columns])
-    one_row = numbers.agg(*[F.corr(y, x).alias(f"r{i}") for i, (y, x) in enumerate(pairs)])
+    one_row = numbers.agg(*[pearson(y, x).alias(f"r{i}") for i, (y, x) in enumerate(pairs)])
     entries = F.array(
         *[F.struct(F.lit(y).alias("y"), F.lit(x).alias("x"), round_half_up(f"r{i}", 6).alias("r")) for i, (y, x) in enumerate(pairs)]
     )
@@ -175,13 +175,17 @@ def drain_histogram(fact: DataFrame, bins: int = 50) -> DataFrame:
         "n1",
     )
     placed = rows.crossJoin(F.broadcast(edges)).withColumns({"lo": _pick("lo"), "hi": _pick("hi")})
-    scaled = F.floor((F.col("d") - F.col("lo")) / (F.col("hi") - F.col("lo")) * float(bins))
+    width = (F.col("hi") - F.col("lo")) / float(bins)
+    guess = F.least(F.floor((F.col("d") - F.col("lo")) / (F.col("hi") - F.col("lo")) * float(bins)), F.lit(bins - 1))
+    # a value on an edge must not slip into the neighbour bin by a rounding error
+    below = (F.col("d") < F.col("lo") + F.col("bin") * width).cast("int")
+    above = ((F.col("d") >= F.col("lo") + (F.col("bin") + 1) * width) & (F.col("bin") < bins - 1)).cast("int")
     counts = (
-        placed.withColumn("bin", F.least(scaled, F.lit(bins - 1)))
+        placed.withColumn("bin", guess)
+        .withColumn("bin", F.col("bin") - below + above)
         .groupBy("is_fraud", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    width = (F.col("hi") - F.col("lo")) / float(bins)
     return (
         _all_bins(fact.sparkSession, bins)
         .join(counts, ["is_fraud", "bin"], "left")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import mean_amount, percent, ratio, round_half_up, share
 from ..functions.conditions import is_fraud, is_legit, n_rows
-from ..session import checkpointing
+from ..session import stored
 from .order_stats import ntile_first, ntile_of, value_ranks
 from .quality import with_total
 
@@ -139,21 +139,19 @@ def top_customers(fact: DataFrame, ranks: int = 20) -> DataFrame:
     """Customers of the ``ranks`` highest volumes, with dense ranks by volume and by frequency.
 
     Ranks are taken over distinct values: at most ``ranks`` volumes, and the distinct transaction
-    counts, of which N transactions allow fewer than sqrt(2N). The per-customer table is kept as a
-    checkpoint because it is read three times and is far smaller than the transactions.
+    counts, of which N transactions allow fewer than sqrt(2N). The per-customer table is stored
+    because it is read three times and is far smaller than the transactions.
     """
-    checkpointing(fact.sparkSession)
-    customers = (
-        fact.groupBy("customer_id")
-        .agg(
+    customers = stored(
+        fact.groupBy("customer_id").agg(
             n_rows().alias("txn_count"),
             F.sum("amount").alias("total_volume"),
             mean_amount("amount").alias("avg_amount"),
             F.max("amount").alias("max_single_txn"),
             F.count_if(is_fraud()).alias("fraud_count"),
             F.count_distinct("transaction_type").alias("types_used"),
-        )
-        .checkpoint()
+        ),
+        "customer-volumes",
     )
     volumes = (
         customers.select("total_volume")

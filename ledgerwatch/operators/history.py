@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointing
+from ..session import stored
 
 HOT_MIN_ROWS = 2_000_000
 HOT_MAX_KEYS = 100_000
@@ -23,13 +23,12 @@ def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int =
 
     A customer is hot above max(min_rows, all rows / max_keys). The counts add up to all rows, so
     there are fewer than max_keys of them: the result is safe to broadcast at any data size. It is
-    found by one counting pass and kept as a checkpoint; a table of at most min_rows needs no pass.
+    found by one counting pass and stored; a table of at most min_rows needs no pass.
     """
     all_rows = fact.count()
     if all_rows <= min_rows:
         return None
-    checkpointing(fact.sparkSession)
-    hot = (
+    counted = (
         fact.groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("hot_rows"),
@@ -39,8 +38,8 @@ def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int =
             F.stddev_samp("amount").alias("cust_std"),
         )
         .filter(F.col("hot_rows") > max(float(min_rows), all_rows / max_keys))
-        .checkpoint()
     )
+    hot = stored(counted, "hot-customers")
     return None if hot.isEmpty() else hot
 
 
@@ -55,7 +54,7 @@ def _positions(rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
     sliced = rows.join(F.broadcast(hot), "customer_id").withColumn(
         "_slice", F.floor((F.col("transaction_id") - F.col("min_id")) / width).cast("long")
     )
-    cells = sliced.groupBy("customer_id", "step", "_slice").agg(F.count(F.lit(1)).alias("_n")).checkpoint()
+    cells = stored(sliced.groupBy("customer_id", "step", "_slice").agg(F.count(F.lit(1)).alias("_n")), "history-cells")
     by_step = Window.partitionBy("customer_id").orderBy("step")
     by_slice = Window.partitionBy("customer_id", "step").orderBy("_slice")
     steps = (

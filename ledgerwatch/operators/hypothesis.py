@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions import percent, ratio, round_half_up
+from ..functions import pearson, percent, ratio, round_half_up
 from ..functions.conditions import is_fraud, is_legit, is_outflow
 from ..functions.tails import chi2_p_value, t_p_value
 from .order_stats import exact_quantiles
@@ -108,7 +108,7 @@ def point_biserial(fact: DataFrame, with_p: bool = True) -> DataFrame:
     rows = fact.filter(is_outflow() & (F.col("old_balance_orig") > 0)).select(
         F.col("is_fraud").cast("double").alias("is_fraud"), drain.alias("drain")
     )
-    figures = [F.corr("is_fraud", "drain").alias("r"), F.count(F.lit(1)).alias("n")]
+    figures = [pearson("is_fraud", "drain").alias("r"), F.count(F.lit(1)).alias("n")]
     for name, cond in (("fraud", is_fraud()), ("legit", is_legit())):
         own = F.when(cond, F.col("drain"))
         figures += [

@@ -7,21 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import checkpointing
+from ..session import stored
 from .order_stats import ntile_of
 
 
 def global_ntile(rows: DataFrame, order: Sequence[str], k: int, name: str, partitions: int | None = None) -> DataFrame:
     """Adds ``name`` = NTILE(k) OVER (ORDER BY order); ``order`` must end in a unique column.
 
-    Rows are range-partitioned by the ordering and checkpointed, because range bounds are sampled
+    Rows are range-partitioned by the ordering and stored, because range bounds are sampled
     and must not change between counting a partition and numbering it. The per-partition counts
     are one row per partition, which bounds the side that is broadcast.
     """
     spark = rows.sparkSession
-    checkpointing(spark)
     n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = rows.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id()).checkpoint()
+    placed = stored(rows.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id()), "ntile")
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     every = Window.orderBy("_part")
     offsets = counts.select(

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import ratio, round_half_up
 from ..functions.conditions import drained, is_outflow, n_rows
 from ..schema import FAN_OUT_TYPES
-from ..session import checkpointing
+from ..session import stored
 from .history import with_prior_stats
 
 
@@ -57,7 +57,7 @@ def balance_drain_alerts(fact: DataFrame, limit: int | None = 200) -> DataFrame:
     The previous outflow only matters by its step. So the gap comes from the customer's distinct
     steps: 0 unless the row is the first of its step, else the distance to the step before. Steps
     are counted before any window, and with a limit only for the customers that made the list,
-    which is kept as a small checkpoint because it is used twice.
+    which is stored because it is used twice.
     """
     outflows = fact.filter(is_outflow())
     pct = F.when(F.col("old_balance_orig") > 0, round_half_up(ratio(drained(), "old_balance_orig") * 100, 2)).otherwise(0.0)
@@ -75,8 +75,7 @@ def balance_drain_alerts(fact: DataFrame, limit: int | None = 200) -> DataFrame:
     order = [F.desc("drain_percentage"), F.col("transaction_id")]
     history = outflows.select("customer_id", "step", "transaction_id")
     if limit is not None:
-        checkpointing(fact.sparkSession)
-        found = found.orderBy(*order).limit(limit).checkpoint()
+        found = stored(found.orderBy(*order).limit(limit), "drain-list")
         if limit <= 10_000:  # the names on the list are then few enough to broadcast
             names = found.select("customer_id").distinct()
             history = history.join(F.broadcast(names), "customer_id", "left_semi")

@@ -458,7 +458,8 @@ def oracle_statements() -> dict[str, str]:
                 FROM fact WHERE {OUT} AND old_balance_orig > 0),
       edge0 AS (SELECT is_fraud, min(d) AS lo0, max(d) AS hi0, count(*) AS total FROM pick GROUP BY is_fraud),
       edge AS (SELECT is_fraud, total, CASE WHEN lo0 = hi0 THEN lo0 - 0.5 ELSE lo0 END AS lo, CASE WHEN lo0 = hi0 THEN hi0 + 0.5 ELSE hi0 END AS hi FROM edge0),
-      filled AS (SELECT is_fraud, CAST(least(floor((d - lo) / (hi - lo) * 50.0::DOUBLE), 49) AS BIGINT) AS b, count(*) AS n FROM pick JOIN edge USING (is_fraud) GROUP BY ALL),
+      guess AS (SELECT *, CAST(least(floor((d - lo) / (hi - lo) * 50.0::DOUBLE), 49) AS BIGINT) AS g, (hi - lo) / 50.0::DOUBLE AS w FROM pick JOIN edge USING (is_fraud)),
+      filled AS (SELECT is_fraud, CASE WHEN d < lo + g * w THEN g - 1 WHEN g < 49 AND d >= lo + (g + 1) * w THEN g + 1 ELSE g END AS b, count(*) AS n FROM guess GROUP BY ALL),
       grid AS (SELECT *, (hi - lo) / 50.0::DOUBLE AS w FROM edge, (SELECT unnest(range(50)) AS b) bins)
       SELECT {cnt('g.is_fraud is_fraud', 'g.b bin')}, {rnd('lo + g.b * w', 4)} AS bin_from, {rnd('lo + (g.b + 1) * w', 4)} AS bin_to,
              {cnt('coalesce(n,0) txn_count')}, {rnd(div('coalesce(n, 0)', 'total * w'), 8)} AS density
