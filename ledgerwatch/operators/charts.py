@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import pearson, ratio, round_half_up, share
 from ..functions.conditions import is_fraud, is_outflow
 from ..schema import TRANSACTION_TYPES
-from .order_stats import cents, quantiles_from_ranks, value_ranks
+from .order_stats import cents, exact_quantiles
 
 QUARTILES = {"q1": 0.25, "median": 0.5, "q3": 0.75}
 CORRELATED = [
@@ -25,75 +25,67 @@ CORRELATED = [
 ]
 
 
-def _all_bins(spark, bins: int) -> DataFrame:
-    """Every (is_fraud, bin) pair, so that empty bins show up with density 0."""
-    return spark.range(bins).select(F.col("id").alias("bin"), F.explode(F.array(F.lit(0), F.lit(1))).alias("is_fraud"))
-
-
-def _class_edges(rows: DataFrame, value: str) -> DataFrame:
-    """Lowest and highest value and row count per fraud class, side by side in one row."""
-    per_class = []
-    for flag in (0, 1):
-        own = F.when(F.col("is_fraud") == flag, F.col(value))
-        per_class += [F.min(own).alias(f"lo{flag}"), F.max(own).alias(f"hi{flag}"), F.count(own).alias(f"n{flag}")]
-    return rows.agg(*per_class)
-
-
-def _pick(name: str):
+def _pick(name: str) -> Column:
     return F.when(is_fraud(), F.col(f"{name}1")).otherwise(F.col(f"{name}0"))
 
 
-def amount_histogram(fact: DataFrame, bins: int = 100, below: int = 1_000_000) -> DataFrame:
-    """Density histogram of the amount per fraud class, edges from that class's lowest to highest.
+def _with_edges(rows: DataFrame, value: str, half_unit: float) -> DataFrame:
+    """Rows of both classes with the lowest and highest value and the row count of their class.
 
-    Bins are found in whole cents; a class with a single value gets a range one unit wide.
+    The figures of both classes sit in one row, so what is broadcast never grows. A class with a
+    single value gets a range one unit wide.
     """
-    rows = fact.filter(F.col("amount") < below).select("is_fraud", cents("amount").alias("c"))
-    edges = (
-        _class_edges(rows, "c")
-        .select(
-            *[F.when(F.col(f"lo{f}") == F.col(f"hi{f}"), F.col(f"lo{f}") - 50).otherwise(F.col(f"lo{f}")).alias(f"lo{f}") for f in (0, 1)],
-            *[F.when(F.col(f"lo{f}") == F.col(f"hi{f}"), F.col(f"hi{f}") + 50).otherwise(F.col(f"hi{f}")).alias(f"hi{f}") for f in (0, 1)],
-            "n0",
-            "n1",
-        )
-    )
-    placed = rows.crossJoin(F.broadcast(edges)).withColumns({"lo": _pick("lo"), "hi": _pick("hi")})
-    counts = (
-        placed.withColumn("bin", F.least(F.expr(f"(c - lo) * {bins} div (hi - lo)"), F.lit(bins - 1)))
-        .groupBy("is_fraud", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    width = (F.col("hi") - F.col("lo")) / (100.0 * bins)
+    rows = rows.filter(F.col("is_fraud").isin(0, 1))
+    figures = []
+    for flag in (0, 1):
+        own = F.when(F.col("is_fraud") == flag, F.col(value))
+        pad = F.when(F.min(own) == F.max(own), half_unit).otherwise(0)
+        figures += [(F.min(own) - pad).alias(f"lo{flag}"), (F.max(own) + pad).alias(f"hi{flag}"), F.count(own).alias(f"total{flag}")]
+    return rows.crossJoin(F.broadcast(rows.agg(*figures))).withColumns({c: _pick(c) for c in ("lo", "hi", "total")})
+
+
+def _densities(placed: DataFrame, bins: int, unit: float, digits: int) -> DataFrame:
+    """Counts and densities of every (class, bin), bins without rows included."""
+    counts = placed.groupBy("is_fraud", "lo", "hi", "total", "bin").agg(F.count(F.lit(1)).alias("n"))
+    # at most one entry per bin, so the list stays short
+    classes = counts.groupBy("is_fraud", "lo", "hi", "total").agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("filled"))
+    width = (F.col("hi") - F.col("lo")) / (unit * bins)
+    start = F.col("lo") / unit
     return (
-        _all_bins(fact.sparkSession, bins)
-        .join(counts, ["is_fraud", "bin"], "left")
-        .crossJoin(F.broadcast(edges))
-        .withColumns({"lo": _pick("lo"), "hi": _pick("hi"), "total": _pick("n")})
-        .filter(F.col("total") > 0)
+        classes.withColumn("bin", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(bins - 1).cast("long"))))
+        .withColumn("n", F.coalesce(F.try_element_at("filled", F.col("bin")), F.lit(0)))
         .select(
             "is_fraud",
             "bin",
-            round_half_up(F.col("lo") / 100.0 + F.col("bin") * width, 4).alias("bin_from"),
-            round_half_up(F.col("lo") / 100.0 + (F.col("bin") + 1) * width, 4).alias("bin_to"),
-            F.coalesce("n", F.lit(0)).alias("txn_count"),
-            round_half_up(ratio(F.coalesce("n", F.lit(0)), F.col("total") * width), 12).alias("density"),
+            round_half_up(start + F.col("bin") * width, 4).alias("bin_from"),
+            round_half_up(start + (F.col("bin") + 1) * width, 4).alias("bin_to"),
+            F.col("n").alias("txn_count"),
+            round_half_up(ratio("n", F.col("total") * width), digits).alias("density"),
         )
         .orderBy("is_fraud", "bin")
     )
 
 
+def amount_histogram(fact: DataFrame, bins: int = 100, below: int = 1_000_000) -> DataFrame:
+    """Density histogram of the amount per fraud class, edges from that class's lowest to highest.
+
+    Bins are found in whole cents, so no amount slips over an edge by a rounding error.
+    """
+    rows = fact.filter(F.col("amount") < below).select("is_fraud", cents("amount").alias("c"))
+    placed = _with_edges(rows, "c", 50)
+    return _densities(placed.withColumn("bin", F.least(F.expr(f"(c - lo) * {bins} div (hi - lo)"), F.lit(bins - 1))), bins, 100.0, 12)
+
+
 def amount_boxes(fact: DataFrame, below: int = 1_000_000, whisker: float = 1.5) -> DataFrame:
     """Box-plot figures of the amount per type: quartiles and the furthest values inside the whiskers."""
     keys = ["transaction_type"]
     rows = fact.filter((F.col("amount") < below) & F.col("transaction_type").isin(TRANSACTION_TYPES))
-    ranks = value_ranks(rows, keys, "amount")
     # at most one row per listed type, so the broadcast is bounded by the code list
-    boxes = quantiles_from_ranks(ranks, keys, QUARTILES)
-    money = F.col("cents") / 100.0
+    boxes = exact_quantiles(rows, keys, "amount", QUARTILES)
+    money = F.col("amount").cast("double")
     reach = F.lit(whisker) * (F.col("q3") - F.col("q1"))
     return (
-        ranks.drop("total")
+        rows.select("transaction_type", "amount")
         .join(F.broadcast(boxes), keys)
         .groupBy("transaction_type", "total", *QUARTILES)
         .agg(
@@ -114,7 +106,7 @@ def amount_boxes(fact: DataFrame, below: int = 1_000_000, whisker: float = 1.5)
 def fraud_amount_quartiles(fact: DataFrame, below: int = 2_000_000) -> DataFrame:
     keys = ["transaction_type", "is_fraud"]
     rows = fact.filter(is_outflow() & (F.col("amount") < below))
-    quartiles = quantiles_from_ranks(value_ranks(rows, keys, "amount"), keys, QUARTILES)
+    quartiles = exact_quantiles(rows, keys, "amount", QUARTILES)
     return quartiles.select(
         "transaction_type",
         F.when(is_fraud(), "Fraudulent").otherwise("Legitimate").alias("label"),
@@ -167,41 +159,13 @@ def drain_histogram(fact: DataFrame, bins: int = 50) -> DataFrame:
     """Density histogram of the drained share of the balance (clipped to 0..100 %) per fraud class."""
     drained = ratio(F.col("old_balance_orig") - F.col("new_balance_orig"), "old_balance_orig") * 100.0
     rows = _drains(fact).select("is_fraud", F.greatest(F.least(drained, F.lit(100.0)), F.lit(0.0)).alias("d"))
-    plain = _class_edges(rows, "d")
-    edges = plain.select(
-        *[F.when(F.col(f"lo{f}") == F.col(f"hi{f}"), F.col(f"lo{f}") - 0.5).otherwise(F.col(f"lo{f}")).alias(f"lo{f}") for f in (0, 1)],
-        *[F.when(F.col(f"lo{f}") == F.col(f"hi{f}"), F.col(f"hi{f}") + 0.5).otherwise(F.col(f"hi{f}")).alias(f"hi{f}") for f in (0, 1)],
-        "n0",
-        "n1",
-    )
-    placed = rows.crossJoin(F.broadcast(edges)).withColumns({"lo": _pick("lo"), "hi": _pick("hi")})
     width = (F.col("hi") - F.col("lo")) / float(bins)
     guess = F.least(F.floor((F.col("d") - F.col("lo")) / (F.col("hi") - F.col("lo")) * float(bins)), F.lit(bins - 1))
     # a value on an edge must not slip into the neighbour bin by a rounding error
     below = (F.col("d") < F.col("lo") + F.col("bin") * width).cast("int")
     above = ((F.col("d") >= F.col("lo") + (F.col("bin") + 1) * width) & (F.col("bin") < bins - 1)).cast("int")
-    counts = (
-        placed.withColumn("bin", guess)
-        .withColumn("bin", F.col("bin") - below + above)
-        .groupBy("is_fraud", "bin")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    return (
-        _all_bins(fact.sparkSession, bins)
-        .join(counts, ["is_fraud", "bin"], "left")
-        .crossJoin(F.broadcast(edges))
-        .withColumns({"lo": _pick("lo"), "hi": _pick("hi"), "total": _pick("n")})
-        .filter(F.col("total") > 0)
-        .select(
-            "is_fraud",
-            "bin",
-            round_half_up(F.col("lo") + F.col("bin") * width, 4).alias("bin_from"),
-            round_half_up(F.col("lo") + (F.col("bin") + 1) * width, 4).alias("bin_to"),
-            F.coalesce("n", F.lit(0)).alias("txn_count"),
-            round_half_up(ratio(F.coalesce("n", F.lit(0)), F.col("total") * width), 8).alias("density"),
-        )
-        .orderBy("is_fraud", "bin")
-    )
+    placed = _with_edges(rows, "d", 0.5).withColumn("bin", guess).withColumn("bin", F.col("bin") - below + above)
+    return _densities(placed, bins, 1.0, 8)
 
 
 def drain_scatter(fact: DataFrame, legit_points: int = 5000, seed: int = 42) -> DataFrame:

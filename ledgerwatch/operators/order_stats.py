@@ -31,7 +31,8 @@ def value_ranks(rows: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
         rows.filter(F.col(value).isNotNull())
         .groupBy(*keys, cents(value).alias("cents"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bin", F.expr(f"cents div {BIN_CENTS}") - (F.col("cents") < 0).cast("long"))
+        # never NULL, or the join would filter one side only and the counts could not be shared
+        .withColumn("bin", F.coalesce(F.expr(f"cents div {BIN_CENTS}") - (F.col("cents") < 0).cast("long"), F.lit(0)))
     )
     whole = Window.partitionBy(*keys)
     bins = (

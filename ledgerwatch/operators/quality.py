@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import level_rank, mean_amount, percent, ratio, round_half_up
-from ..functions.conditions import n_rows
+from ..functions.conditions import is_fraud, n_rows
 
 
 
@@ -134,34 +134,24 @@ def quality_report(fact: DataFrame) -> DataFrame:
         *_null_counts(fact, {"no_customer": "customer_id", "no_hour": "transaction_hour"}),
     )
 
-    def tall(frame: DataFrame, section: str, key, **metrics) -> DataFrame:
-        entries = F.array(*[F.struct(F.lit(m).alias("metric"), c.cast("double").alias("value")) for m, c in metrics.items()])
-        return frame.select(F.lit(section).alias("section"), key.alias("key"), F.inline(entries))
-
-    whole = cells.agg(
-        F.sum("n").alias("n"),
-        F.sum("no_customer").alias("no_customer"),
-        F.sum("no_hour").alias("no_hour"),
-        (F.sum("n") - F.sum("amounts")).alias("no_amount"),
-    )
-    by_type = cells.groupBy("transaction_type").agg(
-        F.sum("n").alias("n"), round_half_up(ratio(F.sum("amount"), F.sum("amounts")), 2).alias("avg_amount")
-    )
-    by_fraud = cells.groupBy("is_fraud").agg(F.sum("n").alias("n"))
     everything = F.lit("all")
-    label = F.when(F.col("is_fraud") == 1, "Fraud").otherwise("Legitimate")
-    return (
-        tall(whole, "total", everything, txn_count=F.col("n"))
-        .unionByName(tall(by_type, "type", F.col("transaction_type"), txn_count=F.col("n"), avg_amount=F.col("avg_amount")))
-        .unionByName(tall(by_fraud, "fraud", label, txn_count=F.col("n")))
-        .unionByName(
-            tall(
-                whole,
-                "nulls",
-                everything,
-                customer_id=F.col("no_customer"),
-                amount=F.col("no_amount"),
-                transaction_hour=F.col("no_hour"),
-            )
+    label = F.when(is_fraud(), "Fraud").otherwise("Legitimate")
+    sections = {"total": everything, "type": F.col("transaction_type"), "fraud": label, "nulls": everything}
+    keys = F.array(*[F.struct(F.lit(name).alias("section"), key.alias("key")) for name, key in sections.items()])
+    sums = cells.select("n", "amount", "amounts", "no_customer", "no_hour", F.inline(keys)).groupBy("section", "key").agg(
+        *[F.sum(c).alias(c) for c in ("n", "amount", "amounts", "no_customer", "no_hour")]
+    )
+
+    def metrics(**values: Column) -> Column:
+        return F.array(*[F.struct(F.lit(name).alias("metric"), c.cast("double").alias("value")) for name, c in values.items()])
+
+    rows = F.col("n")
+    lines = (
+        F.when(F.col("section") == "type", metrics(txn_count=rows, avg_amount=round_half_up(ratio("amount", "amounts"), 2)))
+        .when(
+            F.col("section") == "nulls",
+            metrics(customer_id=F.col("no_customer"), amount=rows - F.col("amounts"), transaction_hour=F.col("no_hour")),
         )
+        .otherwise(metrics(txn_count=rows))
     )
+    return sums.select("section", "key", F.inline(lines))

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -78,10 +79,12 @@ def detection_job(spark: SparkSession, store: Store, as_of: dt.datetime, batch_i
     """Runs all statistical detectors and appends the alerts the table does not hold yet."""
     fact = read_fact(spark, store.fact)
     found = as_alert_rows(statistical_alerts(detector_flags(fact)), as_of)
-    if _exists(spark, store.alerts):
+    try:
         # a repeated run must not see its own earlier output as already known
-        known = read_alerts(spark, store.alerts).filter(F.col("batch_id") != batch_id)
-        found = only_new(found, known)
+        found = only_new(found, read_alerts(spark, store.alerts).filter(F.col("batch_id") != batch_id))
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
     write_alerts(found, store.alerts, batch_id)
     return read_alerts(spark, store.alerts)
 
@@ -109,7 +112,3 @@ def daily_job(
         table.write.mode("overwrite").option("header", True).csv(store.export(name, run))
     return tables
 
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)

@@ -17,7 +17,16 @@ from ..operators.dimensions import dim_customers, replace_by_key, type_usage
 from ..schema import CSV_TO_FACT
 from ..session import scratch_path
 from ..sources.events import as_csv_columns, fact_from_events, raw_from_events, read_events
-from ..sources.tables import read_alerts, read_fact, read_table, read_transactions, write_alerts, write_fact
+from ..sources.tables import (
+    read_alerts,
+    read_fact,
+    read_table,
+    read_transactions,
+    read_version,
+    write_alerts,
+    write_fact,
+    write_version,
+)
 from ..streaming.ingest import ingest
 from ..streaming.velocity import hourly_activity, stream_events, write_finished_hours
 
@@ -27,21 +36,43 @@ SPLIT_DAY = 15
 REPORT_DAY = 10
 
 
-_loaded: dict[tuple[str, str], str] = {}
+_loaded: dict[tuple[str, str, str], str] = {}
+
+
+def _load_once(spark: SparkSession, sf_dir: str, table: str, write: Callable[[str], None]) -> str:
+    """Path of a table of a data folder, written below the shared folder on first use in a session."""
+    key = (spark.sparkContext.applicationId, sf_dir, table)
+    if key not in _loaded:
+        path = scratch_path(spark, table)
+        write(path)
+        _loaded[key] = path
+    return _loaded[key]
 
 
 def loaded_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fact table of a data folder; loaded below the shared folder on first use in a session.
+    """The fact table of a data folder.
 
-    Queries run on the stored table, as they do after a real load: its columns are plain, so
-    filters and column lists reach the Parquet scan.
+    Queries run on stored tables, as they do after a real load: columns are plain, so filters and
+    column lists reach the Parquet scan.
     """
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _loaded:
-        path = scratch_path(spark, "fact")
-        write_fact(fact_from_events(spark, sf_dir), path)
-        _loaded[key] = path
-    return read_fact(spark, _loaded[key]).drop("batch_id")
+    path = _load_once(spark, sf_dir, "fact", lambda p: write_fact(fact_from_events(spark, sf_dir), p))
+    return read_fact(spark, path).drop("batch_id")
+
+
+def loaded_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The customer dimension with the refresh score."""
+    path = _load_once(spark, sf_dir, "customers", lambda p: write_version(_refreshed(loaded_fact(spark, sf_dir)), p, 0))
+    return read_version(spark, path, 0)
+
+
+def loaded_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The alert table: every statistical and high-amount alert, every fifth transaction reviewed."""
+
+    def write(path: str) -> None:
+        fact = loaded_fact(spark, sf_dir)
+        write_alerts(alerts_fixture(fact, loaded_customers(spark, sf_dir)), path, 0)
+
+    return read_alerts(spark, _load_once(spark, sf_dir, "alerts", write)).drop("batch_id")
 
 
 # how each type is shown in a result
@@ -63,7 +94,7 @@ def plain_types(df: DataFrame) -> DataFrame:
 
 
 def alerts_fixture(fact: DataFrame, dim: DataFrame) -> DataFrame:
-    """Alert table for the reports: every statistical and high-amount alert, every fifth transaction reviewed."""
+    """Rows of the alert table the reports are run on."""
     found = al.statistical_alerts(st.detector_flags(fact)).unionByName(al.high_amount_alerts(fact, dim))
     reviewed = (F.col("transaction_id") % 5 == 0).cast("int")
     truth = fact.select("transaction_id", "is_fraud")
@@ -258,16 +289,12 @@ ON_FACT: dict[str, Callable[[DataFrame], DataFrame]] = {
     "customer_risk_5factor": risk.customer_risk_5factor,
     "risk_tier_distribution": risk.risk_tier_distribution,
     "recipient_risk": risk.recipient_risk,
-    "peer_comparison": lambda f: risk.peer_comparison(f, _refreshed(f)),
     "dim_risk_load": lambda f: risk.dim_risk_load(dim_customers(f)),
     "dim_risk_refresh": _refreshed,
     "dim_risk_refresh_summary": lambda f: risk.refresh_summary(_refreshed(f)),
     "daily_summary": reports.daily_summary,
     "type_breakdown_by_day": reports.type_breakdown_by_day,
-    "tier_trend": lambda f: reports.tier_trend(f, _refreshed(f)),
-    "review_queue": lambda f: reports.review_queue(f, _refreshed(f)),
     "high_amount_alerts": _high_amount,
-    "report_tier_totals": lambda f: reports.tier_totals(_refreshed(f)),
     "chi2_contingency": hypothesis.contingency,
     "chi2_independence": lambda f: hypothesis.chi2_independence(f, with_p=False),
     "welch_t_test": lambda f: hypothesis.welch_t_test(f, with_p=False),
@@ -280,6 +307,14 @@ ON_FACT: dict[str, Callable[[DataFrame], DataFrame]] = {
     "monthly_rollup": lambda f: reports.period_rollup(f, 30, "month"),
 }
 
+# queries over the fact table and the refreshed customers
+ON_CUSTOMERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
+    "peer_comparison": risk.peer_comparison,
+    "tier_trend": reports.tier_trend,
+    "review_queue": reports.review_queue,
+    "report_tier_totals": lambda f, d: reports.tier_totals(d),
+}
+
 # queries over the fact table, the alert table and the refreshed customers
 ON_ALERTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
     "alert_summary": lambda f, a, d: reports.alert_summary(a, f),
@@ -312,13 +347,14 @@ def _on_fact(run: Callable[[DataFrame], DataFrame]) -> Query:
     return lambda spark, sf_dir: plain_types(run(loaded_fact(spark, sf_dir)))
 
 
-def _on_alerts(run: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        fact = loaded_fact(spark, sf_dir)
-        dim = _refreshed(fact)
-        return plain_types(run(fact, alerts_fixture(fact, dim), dim))
+def _on_customers(run: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_types(run(loaded_fact(spark, sf_dir), loaded_customers(spark, sf_dir)))
+
 
-    return query
+def _on_alerts(run: Callable[[DataFrame, DataFrame, DataFrame], DataFrame]) -> Query:
+    return lambda spark, sf_dir: plain_types(
+        run(loaded_fact(spark, sf_dir), loaded_alerts(spark, sf_dir), loaded_customers(spark, sf_dir))
+    )
 
 
 def _on_files(run: Query) -> Query:
@@ -328,6 +364,7 @@ def _on_files(run: Query) -> Query:
 def all_queries() -> dict[str, Query]:
     return {
         **{name: _on_fact(run) for name, run in ON_FACT.items()},
+        **{name: _on_customers(run) for name, run in ON_CUSTOMERS.items()},
         **{name: _on_alerts(run) for name, run in ON_ALERTS.items()},
         **{name: _on_files(run) for name, run in ON_FILES.items()},
     }

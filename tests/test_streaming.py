@@ -5,6 +5,7 @@ from ledgerwatch.operators.cleaning import clean_transactions, derive_features
 from ledgerwatch.operators.dimensions import dim_customers
 from ledgerwatch.operators.risk import dim_risk_load
 from ledgerwatch.plans.jobs import Store, daily_job, detection_job, load_job, refresh_job
+from ledgerwatch.plans.views import register_views
 from ledgerwatch.session import scratch_path
 from ledgerwatch.sources.events import as_csv_columns, raw_from_events, read_events
 from ledgerwatch.sources.tables import read_alerts, read_fact, read_transactions, write_version
@@ -143,7 +144,7 @@ def test_jobs_from_load_to_daily_run(spark, as_of):
     assert detection_job(spark, new, as_of, 1).count() == alerts  # a later run without new rows
 
     drop(spark, raw(spark), folder, 2)
-    tables = run_daily_twice(spark, folder, as_of)
+    tables, _ = run_daily_twice(spark, folder, as_of)
     assert tables["daily_summary"].count() == 1 and tables["recent_alerts"].count() > 0
     assert tables["risk_distribution"].count() >= 3
 
@@ -153,4 +154,19 @@ def run_daily_twice(spark, folder, as_of):
     whole = derive_features(clean_transactions(read_transactions(spark, folder)))
     write_version(dim_risk_load(dim_customers(whole)), store.customers, 0)
     daily_job(spark, folder, store, as_of, 0)
-    return daily_job(spark, folder, store, as_of, 0)  # no new files: report and exports are written all the same
+    # no new files the second time: report and exports are written all the same
+    return daily_job(spark, folder, store, as_of, 0), store
+
+
+def test_views_answer_sql(spark, as_of):
+    folder = scratch_path(spark, "inbox")
+    drop(spark, raw(spark), folder, 2)
+    store = run_daily_twice(spark, folder, as_of)[1]
+    names = register_views(spark, store, 0)
+    assert len(names) == 8
+    tiers = spark.sql("SELECT risk_tier, count(*) FROM vw_customer_360 WHERE total_alerts > 0 GROUP BY risk_tier").count()
+    open_alerts = spark.sql("SELECT count(*) FROM vw_active_alerts").first()[0]
+    assert tiers > 0 and open_alerts == spark.sql("SELECT count(*) FROM alerts WHERE reviewed = 0").first()[0] > 0
+    assert spark.sql("SELECT txn_change_pct FROM vw_daily_dashboard").collect() == [(None,)]
+    joined = spark.sql("SELECT count(*) FROM fact_transactions f JOIN dim_transaction_types t ON f.transaction_type = t.type_name")
+    assert joined.first()[0] == 1000
