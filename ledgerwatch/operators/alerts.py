@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import ratio, round_half_up
 from ..schema import ALERT
+from .skew import hot_limit, join_per_key
 
 # fixed values: number of each alert type inside the ids of one transaction
 TYPE_NUMBER = {"HIGH_AMOUNT": 0, "IQR_OUTLIER": 1, "ROLLING_DEVIATION": 2, "Z_SCORE": 3, "Z_SCORE_AUTO": 4}
@@ -92,7 +93,13 @@ def batch_zscore_alerts(scored: DataFrame) -> DataFrame:
     )
 
 
-def high_amount_alerts(fact: DataFrame, dim: DataFrame, threshold: float = 5.0, existing: DataFrame | None = None) -> DataFrame:
+def high_amount_alerts(
+    fact: DataFrame,
+    dim: DataFrame,
+    threshold: float = 5.0,
+    existing: DataFrame | None = None,
+    hot_above: float | None = None,
+) -> DataFrame:
     """Amounts above threshold times the customer's average (customers with three or more transactions).
 
     Transactions that already have such an alert are left out. The two upper severities can only
@@ -101,10 +108,13 @@ def high_amount_alerts(fact: DataFrame, dim: DataFrame, threshold: float = 5.0,
     amount, avg = F.col("amount").cast("double"), F.col("avg_transaction").cast("double")
     spread = F.greatest(F.col("max_transaction").cast("double") - avg, F.lit(1.0))
     above = round_half_up(ratio(amount - avg, avg) * 100, 1)
-    customers = dim.filter(F.col("total_transactions") >= 3).select("customer_id", "avg_transaction", "max_transaction")
+    customers = dim.filter(F.col("total_transactions") >= 3).select(
+        "customer_id", "total_transactions", "avg_transaction", "max_transaction"
+    )
+    limit = hot_limit(fact) if hot_above is None else hot_above
+    rows = fact.select("transaction_id", "customer_id", "amount")
     found = (
-        fact.select("transaction_id", "customer_id", "amount")
-        .join(customers, "customer_id")
+        join_per_key(rows, customers, ["customer_id"], "total_transactions", limit, "inner")
         .filter(amount > avg * F.lit(float(threshold)))
         .select(
             "transaction_id",

@@ -12,21 +12,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .skew import HOT_MAX_KEYS, HOT_MIN_ROWS, hot_limit
 
-HOT_MIN_ROWS = 2_000_000
-HOT_MAX_KEYS = 100_000
 BLOCK_ROWS = 1_000_000
 
 
 def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> DataFrame | None:
     """Customers with more rows than one task should hold, or None where there are none.
 
-    A customer is hot above max(min_rows, all rows / max_keys). The counts add up to all rows, so
-    there are fewer than max_keys of them: the result is safe to broadcast at any data size. It is
-    found by one counting pass and stored; a table of at most min_rows needs no pass.
+    There are fewer than max_keys of them, so the result is safe to broadcast at any data size. It
+    is found by one counting pass and stored; a table of at most min_rows needs no pass.
     """
-    all_rows = fact.count()
-    if all_rows <= min_rows:
+    limit = hot_limit(fact, min_rows, max_keys)
+    if limit is None:
         return None
     counted = (
         fact.groupBy("customer_id")
@@ -37,7 +35,7 @@ def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int =
             F.avg("amount").cast("double").alias("cust_mean"),
             F.stddev_samp("amount").alias("cust_std"),
         )
-        .filter(F.col("hot_rows") > max(float(min_rows), all_rows / max_keys))
+        .filter(F.col("hot_rows") > limit)
     )
     hot = stored(counted, "hot-customers")
     return None if hot.isEmpty() else hot

@@ -9,6 +9,7 @@ from ..functions import level_rank, mean_amount, percent, ratio, round_half_up,
 from ..functions.conditions import is_fraud, is_outflow, n_rows
 from ..schema import LEVELS
 from .dimensions import dim_transaction_types
+from .skew import hot_limit, join_per_key
 
 
 
@@ -125,13 +126,14 @@ def compliance_scorecard(fact: DataFrame, alerts: DataFrame, dim: DataFrame) ->
     return transactions.crossJoin(F.broadcast(alerting)).crossJoin(F.broadcast(tiers))
 
 
-def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20) -> DataFrame:
+def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20, hot_above: float | None = None) -> DataFrame:
     """Transactions of CRITICAL and HIGH customers, ranked by score, type weight and size against the average."""
     risky = dim.filter(F.col("risk_tier").isin("CRITICAL", "HIGH")).select(
         "customer_id",
         F.col("risk_tier").alias("customer_risk_tier"),
         F.col("risk_score").alias("customer_risk_score"),
         "avg_transaction",
+        "total_transactions",
     )
     weights = dim_transaction_types(fact.sparkSession).select(
         F.col("type_name").alias("transaction_type"), F.col("risk_weight").alias("type_risk_weight")
@@ -143,7 +145,7 @@ def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20) -> Dat
         2,
     )
     ranked = (
-        fact.join(risky, "customer_id")
+        join_per_key(fact, risky, ["customer_id"], "total_transactions", hot_limit(fact) if hot_above is None else hot_above, "inner")
         .join(F.broadcast(weights), "transaction_type", "left")
         .withColumn("transaction_risk_score", score)
         .select(
@@ -226,7 +228,7 @@ def all_daily_reports(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> Dat
     )
 
 
-def active_alerts(alerts: DataFrame, fact: DataFrame, dim: DataFrame) -> DataFrame:
+def active_alerts(alerts: DataFrame, fact: DataFrame, dim: DataFrame, hot_above: float | None = None) -> DataFrame:
     """Alerts nobody has reviewed, with their transaction and customer; most severe, then newest first."""
     open_alerts = alerts.filter(F.col("reviewed") == 0).select(
         "alert_id", "transaction_id", "customer_id", "alert_type", "severity", "alert_description", "detection_method", "alert_timestamp"
@@ -239,8 +241,14 @@ def active_alerts(alerts: DataFrame, fact: DataFrame, dim: DataFrame) -> DataFra
         F.col("total_transactions").alias("customer_total_txns"),
     )
     return (
-        open_alerts.join(transactions, "transaction_id", "left")
-        .join(customers, "customer_id", "left")
+        join_per_key(
+            open_alerts.join(transactions, "transaction_id", "left"),
+            customers,
+            ["customer_id"],
+            "customer_total_txns",
+            hot_limit(alerts) if hot_above is None else hot_above,
+            row_id="alert_id",
+        )
         .select(*open_alerts.columns, *transactions.columns[1:], *customers.columns[1:])
         .orderBy(level_rank("severity"), F.desc("alert_timestamp"), F.desc("alert_id"))
     )

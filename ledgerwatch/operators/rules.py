@@ -13,6 +13,7 @@ from ..functions.conditions import drained, is_outflow, n_rows
 from ..schema import FAN_OUT_TYPES
 from ..session import stored
 from .history import with_prior_stats
+from .skew import hot_limit, join_per_key
 
 
 
@@ -51,7 +52,7 @@ def velocity_alerts(fact: DataFrame, limit: int | None = 100) -> DataFrame:
     return _top(flagged, limit, F.desc("velocity_z_score"), "customer_id", "transaction_day", "transaction_hour")
 
 
-def balance_drain_alerts(fact: DataFrame, limit: int | None = 200) -> DataFrame:
+def balance_drain_alerts(fact: DataFrame, limit: int | None = 200, hot_above: float | None = None) -> DataFrame:
     """Outflows that take more than 80 % of the balance, with the gap to the customer's previous outflow.
 
     The previous outflow only matters by its step. So the gap comes from the customer's distinct
@@ -82,12 +83,12 @@ def balance_drain_alerts(fact: DataFrame, limit: int | None = 200) -> DataFrame:
     by_step = Window.partitionBy("customer_id").orderBy("step")
     steps = (
         history.groupBy("customer_id", "step")
-        .agg(F.min("transaction_id").alias("first_id"))
+        .agg(F.min("transaction_id").alias("first_id"), n_rows().alias("step_rows"))
         .withColumn("prev_step", F.lag("step").over(by_step))
     )
     gap = F.when(F.col("transaction_id") == F.col("first_id"), F.col("step") - F.coalesce("prev_step", "step")).otherwise(0)
     return (
-        found.join(steps, ["customer_id", "step"])
+        join_per_key(found, steps, ["customer_id", "step"], "step_rows", hot_limit(found) if hot_above is None else hot_above, "inner")
         .withColumn("steps_between_txns", gap)
         .select(
             "customer_id",

@@ -7,9 +7,10 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions import ratio, round_half_up
+from ..functions import round_half_up
 from .history import with_prior_stats
 from .order_stats import exact_quantiles
+from .skew import hot_limit, join_per_key
 
 MAX_BROADCAST_TYPES = 10_000
 
@@ -21,6 +22,7 @@ def _amount() -> Column:
 def customer_stats(fact: DataFrame, keys: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Mean and sample deviation of the amount per customer, pre-aggregated before the shuffle."""
     return fact.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("cust_rows"),
         F.avg("amount").cast("double").alias("cust_mean"),
         F.stddev_samp("amount").alias("cust_std"),
         F.min("amount").cast("double").alias("cust_min"),
@@ -33,22 +35,30 @@ def _z_score() -> Column:
     return F.when(std > 0, F.try_divide(_amount() - F.col("cust_mean"), std)).otherwise(0.0)
 
 
-def zscore_detection(fact: DataFrame, threshold: float = 3.0, history: DataFrame | None = None) -> DataFrame:
+_STATS = ("cust_rows", "cust_mean", "cust_std", "cust_min", "cust_max")
+
+
+def zscore_detection(
+    fact: DataFrame, threshold: float = 3.0, history: DataFrame | None = None, hot_above: float | None = None
+) -> DataFrame:
     """Every row with its z-score inside its customer's amounts, flagged where |z| > threshold.
 
-    ``history`` takes the statistics from another table than the scored rows. The join with the
-    statistics is left to adaptive execution, which splits the partition of a very active customer.
+    ``history`` takes the statistics from another table than the scored rows. Rows of customers
+    with more than ``hot_above`` rows (by default what one task should hold) are spread over tasks.
     """
-    stats = customer_stats(fact if history is None else history)
+    base = fact if history is None else history
+    limit = hot_limit(base) if hot_above is None else hot_above
     return (
-        fact.join(stats.drop("cust_min", "cust_max"), "customer_id", "left")
+        join_per_key(fact, customer_stats(base), ["customer_id"], "cust_rows", limit)
         .withColumn("z_score", _z_score())
         .withColumn("is_anomaly_zscore", (F.abs("z_score") > threshold).cast("int"))
-        .drop("cust_mean", "cust_std")
+        .drop(*_STATS)
     )
 
 
-def zscore_anomalies(fact: DataFrame, threshold: float = 3.0, keys: Sequence[str] = ("customer_id",)) -> DataFrame:
+def zscore_anomalies(
+    fact: DataFrame, threshold: float = 3.0, keys: Sequence[str] = ("customer_id",), hot_above: float | None = None
+) -> DataFrame:
     """Only the flagged rows of :func:`zscore_detection`.
 
     A customer's extreme amounts show whether any of its rows can be flagged, so rows of all other
@@ -57,12 +67,13 @@ def zscore_anomalies(fact: DataFrame, threshold: float = 3.0, keys: Sequence[str
     """
     lowest, highest = F.col("cust_mean") - F.col("cust_min"), F.col("cust_max") - F.col("cust_mean")
     reachable = customer_stats(fact, keys).filter(F.greatest(lowest, highest) >= F.col("cust_std") * (threshold * 0.999999))
+    limit = hot_limit(fact) if hot_above is None else hot_above
     return (
-        fact.join(reachable.drop("cust_min", "cust_max"), list(keys))
+        join_per_key(fact, reachable, keys, "cust_rows", limit, "inner")
         .withColumn("z_score", _z_score())
         .filter(F.abs("z_score") > threshold)
         .withColumn("is_anomaly_zscore", F.lit(1))
-        .drop("cust_mean", "cust_std")
+        .drop(*_STATS)
     )
 
 
@@ -72,6 +83,7 @@ def iqr_limits(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return quartiles.select(
         "transaction_type",
+        F.col("total").alias("type_rows"),
         "q1",
         "q3",
         iqr.alias("iqr"),
@@ -81,16 +93,25 @@ def iqr_limits(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
 
 
 def join_by_type(
-    fact: DataFrame, per_type: DataFrame, max_types: int = MAX_BROADCAST_TYPES, known_types: DataFrame | None = None
+    fact: DataFrame,
+    per_type: DataFrame,
+    max_types: int = MAX_BROADCAST_TYPES,
+    known_types: DataFrame | None = None,
+    hot_above: float | None = None,
 ) -> DataFrame:
     """Adds per-type columns to every row.
 
     The number of types is checked first, on the type column alone: up to ``max_types`` the small
-    side is broadcast and fact is not shuffled, beyond that it is an ordinary shuffled join.
-    ``known_types`` names a cheaper table with the same types to check on.
+    side is broadcast and fact is not shuffled, beyond that it is a shuffled join that spreads hot
+    types. ``known_types`` names a cheaper table with the same rows to check on.
     """
-    types = (fact if known_types is None else known_types).select("transaction_type").distinct().limit(max_types + 1).count()
-    return fact.join(F.broadcast(per_type) if types <= max_types else per_type, "transaction_type", "left")
+    base = fact if known_types is None else known_types
+    types = base.select("transaction_type").distinct().limit(max_types + 1).count()
+    if types <= max_types:
+        return fact.join(F.broadcast(per_type.drop("type_rows")), "transaction_type", "left")
+    keys = ["transaction_type"]
+    limit = hot_limit(base) if hot_above is None else hot_above
+    return join_per_key(fact, per_type, keys, "type_rows", limit, salted="transaction_type").drop("type_rows")
 
 
 def _outside() -> Column:
@@ -100,7 +121,7 @@ def _outside() -> Column:
 
 def iqr_detection(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     """Every row, flagged where its amount is outside its type's limits."""
-    limits = iqr_limits(fact, multiplier).select("transaction_type", "lower", "upper")
+    limits = iqr_limits(fact, multiplier).select("transaction_type", "type_rows", "lower", "upper")
     return join_by_type(fact, limits).withColumn("is_anomaly_iqr", _outside()).drop("lower", "upper")
 
 
@@ -161,7 +182,7 @@ def detector_flags(
     The customer totals for the z-score come from the same window partition as the rolling
     statistics, so fact is shuffled once and never joined with itself.
     """
-    limits = iqr_limits(fact, multiplier).select("transaction_type", "lower", "upper")
+    limits = iqr_limits(fact, multiplier).select("transaction_type", "type_rows", "lower", "upper")
     needed = fact.select("transaction_id", "customer_id", "step", "transaction_type", "amount", "is_fraud")
     history = with_prior_stats(needed, window, with_totals=True, **cutting).withColumn("z_score", _z_score())
     return (

@@ -8,9 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
+def local_session(cores: int | str = "*", shuffle_partitions: int = 8) -> SparkSession:
     """Session for tests and the benchmark; a cluster brings its own."""
-    builder = (
+    spark = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName("ledgerwatch")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
@@ -19,10 +19,8 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", "8g")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
+        .getOrCreate()
     )
-    for key, value in conf.items():
-        builder = builder.config(key.replace("__", "."), value)
-    spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark
 

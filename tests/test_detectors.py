@@ -1,3 +1,4 @@
+import datetime as dt
 import math
 
 import pytest
@@ -6,14 +7,17 @@ from pyspark.sql import functions as F
 from ledgerwatch.operators import alerts as al
 from ledgerwatch.operators import rules
 from ledgerwatch.operators import statistical as st
+from ledgerwatch.operators.dimensions import dim_customers
 from ledgerwatch.operators.history import hot_customers, with_prior_stats
 from ledgerwatch.operators.patterns import pass_through
+from ledgerwatch.operators.reports import active_alerts, review_queue
+from ledgerwatch.operators.risk import dim_risk_refresh
 
 
 def skewed(n=600):
     """One customer holds a third of all rows."""
     return [
-        {"customer_id": "HOT" if i % 3 == 0 else f"C{i % 29}", "step": i * 5 // 40, "amount": 10 + (i * 7919) % 503, "transaction_type": ["TRANSFER", "CASH_OUT", "PAYMENT"][i % 5 % 3]}
+        {"customer_id": "HOT" if i % 3 == 0 else f"C{i % 29}", "step": i * 5 // 40, "amount": 10 + (i * 7919) % 503, "recipient_id": "HOT" if i % 2 else "M1", "old_balance_orig": 100, "new_balance_orig": i % 40, "transaction_type": ["TRANSFER", "CASH_OUT", "PAYMENT"][i % 5 % 3]}
         for i in range(n)
     ]
 
@@ -72,10 +76,10 @@ def test_pruned_zscore_equals_full(small_fact):
 
 
 def test_type_join_without_broadcast_gives_the_same(small_fact):
-    limits = st.iqr_limits(small_fact).select("transaction_type", "lower", "upper")
+    limits = st.iqr_limits(small_fact).select("transaction_type", "type_rows", "lower", "upper")
     a = st.join_by_type(small_fact, limits)
-    b = st.join_by_type(small_fact, limits, max_types=2)
-    assert a.count() == 1000 and a.exceptAll(b).count() == 0
+    for b in (st.join_by_type(small_fact, limits, max_types=2), st.join_by_type(small_fact, limits, max_types=2, hot_above=200)):
+        assert a.count() == b.count() == 1000 and a.select(b.columns).exceptAll(b).count() == 0
     assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
 
 
@@ -209,3 +213,24 @@ def test_pass_through_against_brute_force(make_fact):
             expected[j] = (len(got), sum(a["amount"] for a in got), max(a["step"] for a in got))
     out = pass_through(make_fact(rows), steps=2)
     assert {r.transaction_id: (r.inbound_count, int(r.inbound_total), r.last_inbound_step) for r in out.collect()} == expected
+
+
+def test_salted_joins_give_the_same(make_fact):
+    """With a low limit the customer that holds a third of all rows goes through the salted path."""
+    fact = make_fact(skewed())
+    dim = dim_risk_refresh(dim_customers(fact))
+    alerts = al.as_alert_rows(al.statistical_alerts(st.detector_flags(fact)), dt.datetime(2024, 1, 1))
+    pairs = [
+        (st.zscore_detection(fact), st.zscore_detection(fact, hot_above=100)),
+        (st.zscore_anomalies(fact, 1.2), st.zscore_anomalies(fact, 1.2, hot_above=100)),
+        (al.high_amount_alerts(fact, dim, 1.2), al.high_amount_alerts(fact, dim, 1.2, hot_above=100)),
+        (pass_through(fact), pass_through(fact, hot_above=1)),
+        (rules.balance_drain_alerts(fact, None), rules.balance_drain_alerts(fact, None, hot_above=1)),
+        (active_alerts(alerts, fact, dim), active_alerts(alerts, fact, dim, hot_above=100)),
+        (review_queue(fact, dim.withColumn("risk_tier", F.lit("HIGH")), None), review_queue(fact, dim.withColumn("risk_tier", F.lit("HIGH")), None, hot_above=100)),
+    ]
+    for plain, salted in pairs:
+        assert salted.columns == plain.columns
+        rows = sorted(map(repr, plain.collect()))
+        assert sorted(map(repr, salted.collect())) == rows
+    assert st.zscore_anomalies(fact, 1.2).count() > 0
