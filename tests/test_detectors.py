@@ -22,7 +22,7 @@ def skewed(n=600):
     ]
 
 
-@pytest.mark.parametrize("block", [10, 13, 64, 1000])
+@pytest.mark.parametrize("block", [10, 37])
 def test_cut_histories_equal_plain_windows(make_fact, block):
     fact = make_fact(skewed())
     columns = ["transaction_id", "prior_n", "prior_avg", "prior_std_pop", "prior_std_samp", "cust_mean", "cust_std"]

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB statement on the smallest data."""
 
-import duckdb
 import pytest
 
 import __spark_entry__ as contract
@@ -30,7 +29,3 @@ def test_same_result(spark, duck, name):
 
 def test_entry_gives_rows(spark):
     assert contract.entry(spark).count() > 0
-
-
-def test_duckdb_is_there():
-    assert duckdb.sql("SELECT 1").fetchone() == (1,)
