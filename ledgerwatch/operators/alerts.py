@@ -148,11 +148,11 @@ def alert_ids(alerts: DataFrame) -> DataFrame:
 
 
 def as_alert_rows(alerts: DataFrame, as_of: dt.datetime) -> DataFrame:
-    """Detector output as rows of the alert table: not reviewed, stamped ``as_of``."""
+    """Detector output as rows of the alert table: not reviewed, stamped ``as_of`` (in the session's time zone)."""
     return alert_ids(alerts).select(
         "alert_id",
         *CORE,
-        F.lit(as_of).cast("timestamp").alias("alert_timestamp"),
+        F.lit(as_of.isoformat(sep=" ")).cast("timestamp").alias("alert_timestamp"),
         F.lit(0).alias("reviewed"),
         F.lit(None).cast("int").alias("false_positive"),
         F.lit(None).cast("string").alias("reviewer_notes"),

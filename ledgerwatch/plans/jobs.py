@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from ..operators.reports import daily_report, latest_reports, recent_alerts, tie
 from ..operators.risk import dim_risk_load, dim_risk_refresh
 from ..operators.statistical import detector_flags
 from ..sources.tables import (
+    FIRST_LOAD,
     assign_ids,
     read_alerts,
     read_fact,
@@ -63,7 +63,7 @@ class Store:
 def load_job(spark: SparkSession, csv_path: str, store: Store, version: int = 0) -> DataFrame:
     """First bulk load: read, clean, derive, store, build the customer dimension; returns the quality report."""
     rows = derive_features(clean_transactions(read_transactions(spark, csv_path), require_parties=False))
-    write_fact(assign_ids(rows, 0), store.fact, 0)
+    write_fact(assign_ids(rows, FIRST_LOAD), store.fact, FIRST_LOAD)
     fact = read_fact(spark, store.fact)
     write_version(dim_risk_load(dim_customers(fact)), store.customers, version)
     return quality_report(fact)
@@ -79,13 +79,9 @@ def detection_job(spark: SparkSession, store: Store, as_of: dt.datetime, batch_i
     """Runs all statistical detectors and appends the alerts the table does not hold yet."""
     fact = read_fact(spark, store.fact)
     found = as_alert_rows(statistical_alerts(detector_flags(fact)), as_of)
-    try:
-        # a repeated run must not see its own earlier output as already known
-        found = only_new(found, read_alerts(spark, store.alerts).filter(F.col("batch_id") != batch_id))
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-    write_alerts(found, store.alerts, batch_id)
+    # a repeated run must not see its own earlier output as already known
+    own = (F.col("source") == "detection") & (F.col("batch_id") == batch_id)
+    write_alerts(only_new(found, read_alerts(spark, store.alerts).filter(~own)), store.alerts, batch_id)
     return read_alerts(spark, store.alerts)
 
 
@@ -101,7 +97,8 @@ def daily_job(
     dim = read_version(spark, store.customers, dim_version)
     latest = fact.agg(F.max("transaction_day")).first()[0]
     if latest is not None:
-        write_reports(daily_report(fact, alerts, dim, latest).withColumn("report_generated_at", F.lit(as_of)), store.reports)
+        generated = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+        write_reports(daily_report(fact, alerts, dim, latest).withColumn("report_generated_at", generated), store.reports)
     tables = {
         "daily_summary": latest_reports(spark.read.parquet(store.reports)),
         "risk_distribution": tier_totals(dim),

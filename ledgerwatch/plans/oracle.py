@@ -304,7 +304,7 @@ def oracle_statements() -> dict[str, str]:
         f"SELECT transaction_type, {cnt('count(*) txn_count')}, {num('sum(amount) total_volume')} FROM fact WHERE transaction_day >= 10 GROUP BY ALL"
     )
     o["incremental_files"] = stmt(
-        f"SELECT {cnt('CASE WHEN transaction_day < 15 THEN 0 ELSE 1 END batch_id', 'transaction_day transaction_day', 'count(*) txn_count')} FROM fact GROUP BY ALL"
+        f"SELECT {cnt('CASE WHEN transaction_day < 15 THEN 1 ELSE 2 END batch_id', 'transaction_day transaction_day', 'count(*) txn_count')} FROM fact GROUP BY ALL"
     )
     o["incremental_ingest_job"] = stmt(f"SELECT {RAW_NO_ID}, {DERIVED} FROM fact")
     o["dim_transaction_types"] = stmt(f"""
@@ -636,7 +636,7 @@ def oracle_statements() -> dict[str, str]:
       WHERE risk_tier IN ('CRITICAL', 'HIGH') ORDER BY transaction_risk_score DESC, fact.transaction_id LIMIT 20""", CUSTOMERS)
     o["daily_report"] = stmt(f"SELECT {REPORT_COLS} FROM report WHERE report_day = 10", *ALERTING, REPORTS)
     o["all_daily_reports"] = stmt(f"SELECT {REPORT_COLS} FROM report", *ALERTING, REPORTS)
-    o["high_amount_alerts"] = stmt(f"SELECT {ALERT_CORE} FROM high_alerts WHERE transaction_id % 7 <> 0", CUSTOMERS, HIGH_ALERTS)
+    o["high_amount_alerts"] = stmt(f"SELECT {ALERT_CORE} FROM high_alerts WHERE transaction_id NOT IN (SELECT transaction_id FROM fact WHERE transaction_day < 15)", CUSTOMERS, HIGH_ALERTS)
     stamp = "strftime(alert_timestamp, '%Y-%m-%d %H:%M:%S') AS alert_timestamp"
     o["active_alerts"] = stmt(f"""
       SELECT {cnt('alert_id alert_id')}, {ALERT_CORE}, {stamp}, {num('amount amount')}, transaction_type,

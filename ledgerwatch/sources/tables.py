@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -11,8 +12,9 @@ from ..schema import ALERT, FACT, RAW_CSV
 ROW_BITS = 25
 PART_BITS = 18
 BATCH_BITS = 16
+FIRST_LOAD = 0  # batch number of the bulk load; incremental loads are numbered from 1
 STORED_FACT = T.StructType([*FACT.fields, T.StructField("batch_id", T.IntegerType())])
-STORED_ALERT = T.StructType([*ALERT.fields, T.StructField("batch_id", T.IntegerType())])
+STORED_ALERT = T.StructType([*ALERT.fields, T.StructField("source", T.StringType()), T.StructField("batch_id", T.IntegerType())])
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
@@ -36,7 +38,7 @@ def assign_ids(rows: DataFrame, batch_id: int) -> DataFrame:
     return rows.withColumn("transaction_id", F.when(fits, packed).otherwise(F.raise_error(F.lit("too many rows for one load"))))
 
 
-def write_fact(rows: DataFrame, path: str, batch_id: int = 0) -> None:
+def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
     """Stores one load below its own batch folder, by day inside it.
 
     Writing the same batch again replaces it, which makes retries harmless. The rebalance hint
@@ -64,13 +66,19 @@ def read_table(spark: SparkSession, path: str, view: str) -> DataFrame:
     return table
 
 
-def write_alerts(alerts: DataFrame, path: str, batch_id: int) -> None:
-    """Alerts of one batch; a repeated batch replaces its own alerts only."""
-    alerts.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+def write_alerts(alerts: DataFrame, path: str, batch_id: int, source: str = "detection") -> None:
+    """Alerts of one batch of one job; a repeated batch replaces its own alerts only."""
+    alerts.write.mode("overwrite").parquet(f"{path}/source={source}/batch_id={batch_id}")
 
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(STORED_ALERT).parquet(path)
+    """All alerts with the job and batch that raised them; empty where none has been written yet."""
+    try:
+        return spark.read.schema(STORED_ALERT).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], STORED_ALERT)
 
 
 def write_version(table: DataFrame, path: str, version: int) -> None:

@@ -9,9 +9,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import as_alert_rows, batch_zscore_alerts
 from ..operators.cleaning import clean_transactions, derive_features
-from ..operators.statistical import zscore_anomalies
+from ..operators.statistical import zscore_anomalies, zscore_detection
 from ..schema import RAW_CSV
-from ..sources.tables import assign_ids, read_fact, write_alerts, write_fact
+from ..sources.tables import FIRST_LOAD, assign_ids, read_fact, write_alerts, write_fact
 
 
 def stream_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
@@ -40,19 +40,18 @@ def ingest(
     own statistics, or with ``full_history`` those of all stored transactions.
     """
 
-    def load(batch: DataFrame, batch_id: int) -> None:
+    def load(batch: DataFrame, stream_batch: int) -> None:
         session = batch.sparkSession
+        batch_id = FIRST_LOAD + 1 + stream_batch
         rows = assign_ids(derive_features(clean_transactions(batch)), batch_id)
         write_fact(rows, fact_path, batch_id)
         # alerts come from the stored rows, so they carry the ids that were written
         stored = session.read.parquet(f"{fact_path}/batch_id={batch_id}")
         if full_history:
-            from ..operators.statistical import zscore_detection
-
             scored = zscore_detection(stored, threshold, history=read_fact(session, fact_path))
         else:
             scored = zscore_anomalies(stored, threshold)
-        write_alerts(as_alert_rows(batch_zscore_alerts(scored), as_of), alert_path, batch_id)
+        write_alerts(as_alert_rows(batch_zscore_alerts(scored), as_of), alert_path, batch_id, "ingest")
 
     query = (
         stream_files(spark, folder, max_files)

@@ -88,7 +88,7 @@ def test_history_scores_use_all_batches(spark, as_of):
     drop_text(spark, ["2,PAYMENT,500,C1,0,0,M1,0,0,0,0"], folder)
     ingest(spark, folder, fact, alerts, progress, as_of, full_history=True)
     (alert,) = read_alerts(spark, alerts).collect()
-    assert alert.batch_id == 1 and alert.alert_description.endswith("Amount=500.00")
+    assert (alert.source, alert.batch_id) == ("ingest", 2) and alert.alert_description.endswith("Amount=500.00")
 
 
 def test_finished_hours_equal_batch_counts(spark, small_fact):
@@ -143,7 +143,16 @@ def test_jobs_from_load_to_daily_run(spark, as_of):
     assert detection_job(spark, new, as_of, 0).count() == alerts > 0  # the same run again
     assert detection_job(spark, new, as_of, 1).count() == alerts  # a later run without new rows
 
-    drop(spark, raw(spark), folder, 2)
+    # the daily run adds to the loaded rows and alerts, its own batches do not touch them
+    drop(spark, raw(spark).filter("step >= 600"), folder, 2)
+    daily_job(spark, folder, new, as_of, 1)
+    fact = read_fact(spark, new.fact)
+    assert fact.count() == 1000 > loaded and fact.select("transaction_id").distinct().count() == 1000
+    assert read_alerts(spark, new.alerts).filter("source = 'detection'").count() == alerts
+    later = detection_job(spark, new, as_of, 2)
+    assert later.count() > alerts and later.count() == later.select("transaction_id", "alert_type").distinct().count()
+
+    drop(spark, raw(spark).filter("step < 600"), folder, 2)
     tables, _ = run_daily_twice(spark, folder, as_of)
     assert tables["daily_summary"].count() == 1 and tables["recent_alerts"].count() > 0
     assert tables["risk_distribution"].count() >= 3
