@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import level_rank, mean_amount, percent, ratio, round_half_up
 from ..functions.conditions import is_fraud, n_rows
+from ..schema import TRANSACTION_TYPES
 
 
 
@@ -158,3 +159,23 @@ def quality_report(fact: DataFrame) -> DataFrame:
         .otherwise(metrics(txn_count=rows))
     )
     return sums.select("section", "key", F.inline(lines))
+
+
+def integrity_report(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Keys and references that a stored table does not enforce, as (check_name, violations) rows."""
+
+    def repeated(table: DataFrame, key: str) -> DataFrame:
+        return table.groupBy(key).agg(n_rows().alias("times")).filter(F.col("times") > 1)
+
+    unknown = ~F.coalesce(F.col("transaction_type").isin(TRANSACTION_TYPES), F.lit(False))
+    checks = {
+        "transaction_id used twice": repeated(fact, "transaction_id"),
+        "customer_id used twice": repeated(dim, "customer_id"),
+        "alert without transaction": alerts.select("transaction_id").join(fact.select("transaction_id"), "transaction_id", "left_anti"),
+        "transaction with unknown type": fact.filter(unknown),
+    }
+    rows = [found.agg(n_rows().alias("violations")).select(F.lit(name).alias("check_name"), "violations") for name, found in checks.items()]
+    report = rows[0]
+    for row in rows[1:]:
+        report = report.unionByName(row)
+    return report

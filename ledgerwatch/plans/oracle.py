@@ -368,6 +368,13 @@ def oracle_statements() -> dict[str, str]:
       UNION ALL SELECT 'nulls', 'all', 'amount', count(*) FILTER (WHERE amount IS NULL) FROM fact
       UNION ALL SELECT 'nulls', 'all', 'transaction_hour', count(*) FILTER (WHERE transaction_hour IS NULL) FROM fact""")
 
+    o["dq_integrity"] = stmt("""
+      SELECT 'transaction_id used twice' AS check_name, count(*) AS violations FROM (SELECT transaction_id FROM fact GROUP BY 1 HAVING count(*) > 1) a
+      UNION ALL SELECT 'customer_id used twice', count(*) FROM (SELECT customer_id FROM dim GROUP BY 1 HAVING count(*) > 1) b
+      UNION ALL SELECT 'alert without transaction', count(*) FROM alerts WHERE transaction_id NOT IN (SELECT transaction_id FROM fact)
+      UNION ALL SELECT 'transaction with unknown type', count(*) FROM fact
+        WHERE transaction_type NOT IN ('CASH_IN', 'CASH_OUT', 'DEBIT', 'PAYMENT', 'TRANSFER')""", *ALERTING)
+
     # exploration
     o["volume_by_type"] = stmt(
         f"""SELECT transaction_type, count(*) AS txn_count, {pct('count(*)', total, 2)} AS pct_of_total,

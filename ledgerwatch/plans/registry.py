@@ -318,6 +318,7 @@ ON_CUSTOMERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 
 # queries over the fact table, the alert table and the refreshed customers
 ON_ALERTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
+    "dq_integrity": quality.integrity_report,
     "alert_summary": lambda f, a, d: reports.alert_summary(a, f),
     "compliance_scorecard": lambda f, a, d: reports.compliance_scorecard(f, a, d),
     "daily_report": lambda f, a, d: reports.daily_report(f, a, d, REPORT_DAY),

@@ -42,12 +42,14 @@ def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
     """Stores one load below its own batch folder, by day inside it.
 
     Writing the same batch again replaces it, which makes retries harmless. The rebalance hint
-    lets adaptive execution size the files and split the rows of a very busy day.
+    lets adaptive execution size the files and split the rows of a very busy day; inside a file
+    rows are sorted by customer, so a lookup of one customer skips most row groups.
     """
     names = [f.name for f in FACT.fields]
     (
         rows.select(names)
         .hint("rebalance", "transaction_day")
+        .sortWithinPartitions("transaction_day", "customer_id")
         .write.mode("overwrite")
         .partitionBy("transaction_day")
         .parquet(f"{path}/batch_id={batch_id}")

@@ -94,3 +94,10 @@ def test_profile_counts_nulls(make_fact):
 def test_scans_read_only_what_they_need(small_fact):
     plan = fraud_rate_by_type(small_fact)._jdf.queryExecution().executedPlan().toString()
     assert "ReadSchema: struct<transaction_type:string,amount:decimal(15,2),is_fraud:int>" in plan
+
+
+def test_integrity_finds_violations(spark, make_fact):
+    fact = make_fact([{"transaction_id": 1}, {"transaction_id": 1}, {"transaction_type": "GIFT"}, {"transaction_type": None}])
+    dim = dim_customers(fact).union(dim_customers(fact))
+    alerts = alert_frame(spark, [(1, "HIGH", 0, None, 1), (99, "LOW", 0, None, 1)])
+    assert [r.violations for r in quality.integrity_report(fact, alerts, dim).collect()] == [1, 1, 1, 2]

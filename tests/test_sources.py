@@ -84,6 +84,9 @@ def test_rewriting_a_batch_replaces_it(spark, small_fact):
     stored = read_fact(spark, path)
     assert stored.count() == 1000
     assert stored.select(small_fact.columns).exceptAll(small_fact).count() == 0
+    for file in stored.inputFiles()[:3]:
+        customers = [r.customer_id for r in spark.read.parquet(file).select("customer_id").collect()]
+        assert customers == sorted(customers)
     plan = stored.filter("transaction_day = 7").select("amount")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(transaction_day" in plan and "ReadSchema: struct<amount:decimal(15,2)>" in plan
 
