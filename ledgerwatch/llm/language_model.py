@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections import Counter
 from dataclasses import dataclass
 from math import log10
@@ -9,7 +10,6 @@ from math import log10
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import zlib
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,16 +18,16 @@ from ledgerwatch.session import stored
 
 END = b"\n"  # no word holds a line break
 #: Most frequent tokens that are units of the model; the others are met through classes of endings.
-FREQUENT = 640
+FREQUENT = 512
 #: Classes of the other tokens, by a hash of their last three bytes.
-CLASSES = 384
+CLASSES = 256
 CONTEXT = 2
 WIDTH = 16
 #: Frequent words whose counts go to every task; rarer ones meet their counts in a join.
 KNOWN = 150_000
 #: Passes over disjoint parts of the training documents; parameters are averaged after each.
 ROUNDS = 2
-_BATCH, _NOISE, _RATE = 4096, 128, 0.15
+_BATCH, _NOISE, _RATE = 4096, 64, 0.06
 
 
 def ending_class(word: bytes) -> int:
@@ -52,18 +52,42 @@ class Vocabulary:
         return len(self.units) + ending_class(word) if u is None else u
 
 
-class _Units(dict):
-    """Units of words, remembered up to a fixed number."""
+class _Codes(dict):
+    """A number for each word: its place among the known ones, or behind them its class of endings.
+
+    ``unit``, ``log_count`` (log10 of count + 1) and ``in_class`` are arrays over these numbers. Words that
+    are not known are remembered up to a fixed number.
+    """
 
     def __init__(self, vocabulary: Vocabulary):
-        self.vocabulary = vocabulary
+        super().__init__((word, i) for i, word in enumerate(vocabulary.known))
+        self.n_known = len(self)
+        self.setdefault(END, self.n_known + CLASSES)
+        self.vocabulary, exact = vocabulary, len(vocabulary.units)
+        self.unit = np.array([*map(vocabulary.unit, vocabulary.known), *range(exact, exact + CLASSES), vocabulary.unit(END), vocabulary.start], np.int32)
+        self.start = len(self.unit) - 1
+        self.log_count = np.log10(np.array([*vocabulary.known.values(), *[0] * (CLASSES + 2)]) + 1.0)
+        self.in_class = self.unit >= exact
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) >= 300_000:
+        if len(self) >= self.n_known + 200_000:
+            known = list(self.vocabulary.known)
             self.clear()
-        value = self[word] = self.vocabulary.unit(word)
+            self.update((w, i) for i, w in enumerate(known))
+            self.setdefault(END, self.n_known + CLASSES)
+        value = self[word] = self.n_known + ending_class(word)
         return value
 
+    def flat(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The numbers of all texts' tokens, each text with CONTEXT starts in front and END behind."""
+        out: list[int] = []
+        front, end, get = [self.start] * CONTEXT, self[END], self.__getitem__
+        for words in texts:
+            out += front
+            out += map(get, words)
+            out.append(end)
+        return np.array(out, np.int32)
+
 
 class Model:
     """score(w | context) = (sum of place weights x context vectors) . vector of w + bias of w."""
@@ -75,7 +99,7 @@ class Model:
         self.r = rng.normal(0, 0.1, (n, WIDTH)).astype(np.float32)
         self.c = np.ones((CONTEXT, WIDTH), np.float32)
         self.b = np.log(p).astype(np.float32)
-        self.noise = p
+        self.noise, self.steps = p, np.cumsum(p)
         self.squares = [np.full_like(x, 1e-8) for x in self.parts]
 
     @property
@@ -95,9 +119,9 @@ class Model:
         return sum(self.q[context[:, k]] * self.c[k] for k in range(CONTEXT))
 
     def step(self, context: np.ndarray, target: np.ndarray, rng: np.random.Generator) -> None:
-        """One Adagrad step on the NCE loss; all targets of the batch share their noise."""
+        """One Adagrad step on the NCE loss; all targets of the batch share their noise, drawn at even steps of its distribution."""
         m = len(target)
-        noise = rng.choice(len(self.noise), _NOISE, p=self.noise)
+        noise = np.minimum(np.searchsorted(self.steps, (np.arange(_NOISE) + rng.random()) / _NOISE), len(self.noise) - 1)
         log_kp = np.log(_NOISE * self.noise).astype(np.float32)
         hat = self.predict(context)
         with np.errstate(over="ignore"):
@@ -123,23 +147,27 @@ class Model:
     def log10_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Normalised over all units, in blocks; contexts that recur in a block are normalised once."""
         out = np.empty(len(target))
-        for at in range(0, len(target), 1 << 17):
-            c, t = context[at : at + (1 << 17)], target[at : at + (1 << 17)]
+        table = np.ascontiguousarray(np.column_stack([self.r, self.b]).T)
+        ones = np.ones(len(self.b), np.float32)
+        for at in range(0, len(target), 1 << 19):
+            c, t = context[at : at + (1 << 19)], target[at : at + (1 << 19)]
             packed = c[:, 0].astype(np.int64)
             for k in range(1, CONTEXT):
                 packed = packed * (len(self.b) + 1) + c[:, k]
             _, first, back = np.unique(packed, return_index=True, return_inverse=True)
-            hats = self.predict(c[first])
+            hats = np.column_stack([self.predict(c[first]), np.ones(len(first), np.float32)])
             norms = np.empty(len(first), np.float32)
-            for low in range(0, len(first), 2048):
-                scores = hats[low : low + 2048] @ self.r.T
-                scores += self.b
-                top = scores.max(axis=1)
-                scores -= top[:, None]
-                np.exp(scores, out=scores)
-                norms[low : low + 2048] = np.log(scores.sum(axis=1)) + top
-            own = np.einsum("ij,ij->i", hats[back], self.r[t]) + self.b[t]
-            out[at : at + (1 << 17)] = (own - norms[back]) / np.log(10)
+            for low in range(0, len(first), 256):
+                scores = hats[low : low + 256] @ table
+                with np.errstate(over="ignore"):
+                    sums = np.exp(scores) @ ones
+                if not np.isfinite(sums).all():
+                    top = scores.max(axis=1)
+                    norms[low : low + 256] = np.log(np.exp(scores - top[:, None]) @ ones) + top
+                else:
+                    norms[low : low + 256] = np.log(sums)
+            own = np.einsum("ij,ij->i", hats[back, :-1], self.r[t]) + self.b[t]
+            out[at : at + (1 << 19)] = (own - norms[back]) / np.log(10)
         return out
 
 
@@ -150,13 +178,10 @@ def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     into[at] += np.add.reduceat(values[order], first, axis=0)
 
 
-def _pairs(units: _Units, start: int, texts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
-    """Contexts and targets of token lists, each with CONTEXT starts in front."""
-    flat = np.fromiter((u for words in texts for u in (*[start] * CONTEXT, *map(units.__getitem__, words), units[END])), np.int32)
-    if not len(flat):
-        return np.empty((0, CONTEXT), np.int32), flat
-    places = np.flatnonzero(flat != start)
-    return np.stack([flat[places - CONTEXT + k] for k in range(CONTEXT)], axis=1), flat[places]
+def _pairs(units: np.ndarray, start: int) -> tuple[np.ndarray, np.ndarray]:
+    """Contexts and targets of a row of units in which CONTEXT starts stand before each text."""
+    places = np.flatnonzero(units != start)
+    return np.stack([units[places - CONTEXT + k] for k in range(CONTEXT)], axis=1), units[places]
 
 
 def token_counts(train: DataFrame, text_col: str = "text") -> DataFrame:
@@ -228,12 +253,12 @@ def train_model(train: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id"
 
         def run(batches, shared=shared):
             words, start_vector = shared.value
-            local, units, rng, seen = Model(words), _Units(words), np.random.default_rng(11), 0
+            local, codes, rng, seen = Model(words), _Codes(words), np.random.default_rng(11), 0
             local.load(start_vector)
             waiting: list[list[bytes]] = []
 
             def learn(texts):
-                context, target = _pairs(units, words.start, texts)
+                context, target = _pairs(codes.unit[codes.flat(texts)], words.start)
                 mixed = rng.permutation(len(target))
                 for at in range(0, len(mixed), _BATCH):
                     local.step(context[mixed[at : at + _BATCH]], target[mixed[at : at + _BATCH]], rng)
@@ -295,40 +320,31 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     def run(batches):
         words, vector = shared.value
-        local, units = Model(words), _Units(words)
+        local, codes = Model(words), _Codes(words)
         local.load(vector)
-        shares = np.log10(words.totals + words.kinds + 1.0)
-        exact = len(words.units)
+        shares = np.where(np.arange(len(words.totals)) >= len(words.units), np.log10(words.totals + words.kinds + 1.0), 0.0)
         for batch in batches:
-            ids, texts = batch.column("i"), columns_of(batch, "t")[0]
-            out_n, out_known, out_base, out_score, rare = [], [], [], [], []
-            for low in range(0, len(texts), 256):
-                tokens = [words_of(t) for t in texts[low : low + 256]]
-                context, target = _pairs(units, words.start, tokens)
-                logs = local.log10_probabilities(context, target)
-                logs -= np.where(target >= exact, shares[target], 0.0)
-                sums = np.add.reduceat(logs, np.cumsum([0, *(len(t) + 1 for t in tokens[:-1])])) if tokens else []
-                for words_here, total in zip(tokens, sums):
-                    own = Counter(words_here)
-                    own[END] += 1
-                    base = share = 0.0
-                    n_known, unknown = 0, []
-                    for token, times in own.items():
-                        c = words.known.get(token)
-                        if c is None:
-                            unknown.append((token, times))
-                        else:
-                            n_known += times
-                            base += times * log10(c + 1)
-                            if token not in words.units:
-                                share += times * log10(c + 1)
-                    out_n.append(len(words_here) + 1)
-                    out_known.append(n_known)
-                    out_base.append(base)
-                    out_score.append(float(total) + share)
-                    rare.append(unknown)
+            texts = columns_of(batch, "t")[0]
+            n_tokens, n_known, base, score, rare = [], [], [], [], []
+            for low in range(0, len(texts), 1024):
+                tokens = [words_of(t) for t in texts[low : low + 1024]]
+                flat = codes.flat(tokens)
+                context, target = _pairs(codes.unit[flat], words.start)
+                own = flat[flat != codes.start]
+                known = own < codes.n_known
+                logs, counted = local.log10_probabilities(context, target) - shares[target], codes.log_count[own]
+                sizes = [len(t) + 1 for t in tokens]
+                starts = np.cumsum([0, *sizes[:-1]])
+                n_tokens += sizes
+                n_known += np.add.reduceat(known, starts, dtype=np.int64).tolist()
+                base += np.add.reduceat(counted, starts).tolist()
+                score += np.add.reduceat(logs + np.where(codes.in_class[own], counted, 0.0), starts).tolist()
+                flags = known.tolist()
+                for at, words_here in zip(starts.tolist(), tokens):
+                    unknown = Counter(w for w, k in zip(words_here, flags[at : at + len(words_here)]) if not k) if not all(flags[at : at + len(words_here)]) else {}
+                    rare.append([{"token": w, "times": k} for w, k in unknown.items()])
             yield pa.RecordBatch.from_arrays(
-                [ids, batch.column("held_out"), pa.array(out_n, pa.int64()), pa.array(out_known, pa.int64()), pa.array(out_base), pa.array(out_score), pa.array([[{"token": t, "times": k} for t, k in x] for x in rare], pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int32())])))],
+                [batch.column("i"), batch.column("held_out"), pa.array(n_tokens, pa.int64()), pa.array(n_known, pa.int64()), pa.array(base), pa.array(score), pa.array(rare, pa.list_(pa.struct([("token", pa.binary()), ("times", pa.int32())])))],
                 ["i", "held_out", "n_tokens", "n_known", "base", "score", "rare"],
             )
 
