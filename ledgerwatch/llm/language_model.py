@@ -149,8 +149,8 @@ class Model:
         out = np.empty(len(target))
         table = np.ascontiguousarray(np.column_stack([self.r, self.b]).T)
         ones = np.ones(len(self.b), np.float32)
-        for at in range(0, len(target), 1 << 19):
-            c, t = context[at : at + (1 << 19)], target[at : at + (1 << 19)]
+        for at in range(0, len(target), 1 << 18):
+            c, t = context[at : at + (1 << 18)], target[at : at + (1 << 18)]
             packed = c[:, 0].astype(np.int64)
             for k in range(1, CONTEXT):
                 packed = packed * (len(self.b) + 1) + c[:, k]
@@ -167,7 +167,7 @@ class Model:
                 else:
                     norms[low : low + 256] = np.log(sums)
             own = np.einsum("ij,ij->i", hats[back, :-1], self.r[t]) + self.b[t]
-            out[at : at + (1 << 19)] = (own - norms[back]) / np.log(10)
+            out[at : at + (1 << 18)] = (own - norms[back]) / np.log(10)
         return out
 
 
@@ -326,8 +326,8 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             texts = columns_of(batch, "t")[0]
             n_tokens, n_known, base, score, rare = [], [], [], [], []
-            for low in range(0, len(texts), 1024):
-                tokens = [words_of(t) for t in texts[low : low + 1024]]
+            for low in range(0, len(texts), 512):
+                tokens = [words_of(t) for t in texts[low : low + 512]]
                 flat = codes.flat(tokens)
                 context, target = _pairs(codes.unit[flat], words.start)
                 own = flat[flat != codes.start]

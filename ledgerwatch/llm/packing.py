@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -19,37 +21,52 @@ UNITS = 64
 DEPTH = 4
 #: Pieces that are placed together; only their ids and lengths meet.
 GROUP = 8_192
-_WORDS = 400_000
+#: Words remembered in each of two generations; when the new one is full it replaces the old.
+_WORDS = 300_000
 
 
 class WordIds(dict):
     """Ids of the words between white space, as little-endian unsigned 32-bit bytes.
 
     Only for tokenizers that never look across white space (``separable``): then a text's ids are those of
-    its words one after the other, and a word is encoded once for as long as it is remembered.
+    its words one after the other, and a word is encoded once for as long as it is remembered. Where
+    the tokenizer lower-cases, words are remembered in lower case; a word's last mark of punctuation
+    is a token start of its own and is looked up apart (``splits``).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
-        self.model = Tokenizer.from_file(path)
-        probe = "ab  cd\n'll 12 ü\t<|endoftext|> x'd"
-        self.separable = self._ids(probe) == [i for w in probe.encode().split() for i in self._ids(w.decode())]
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        self.model, self.old = Tokenizer.from_file(path), {}
+        probe = "ab  cd\n'll 12 ü\t<|endoftext|> x'd a.b c, d."
+        self.separable = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
+        self.lowers = self._ids(["ABC Xyz"]) == self._ids(["abc xyz"])
+        pre = self.model.pre_tokenizer
+        self.splits = self.separable and pre is not None and all([p for _, p in pre.pre_tokenize_str(f"ab{c}")] == [(0, 2), (2, 3)] and [p for _, p in pre.pre_tokenize_str(f"1{c}")][-1] == (1, 2) for c in ".,;:!?")
 
-    def _ids(self, text: str) -> list[int]:
-        return self.model.encode(text, add_special_tokens=False).ids
+    def _ids(self, texts: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def encode(self, text: str) -> bytes:
+    def encode(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text; words not remembered are encoded in one call."""
         if not self.separable:
-            return np.asarray(self._ids(text), "<u4").tobytes()
-        words = text.encode("utf-8", "replace").split()
-        return b"".join(map(self.__getitem__, words))
-
-    def __missing__(self, word: bytes) -> bytes:
+            return self._ids(texts)
+        raw = [t.encode("utf-8", "replace") for t in texts]
+        # strings of special tokens keep their case: in another case they are ordinary text
+        cut = [(t.lower() if self.lowers and b"<|" not in t else t).split() for t in raw]
         if len(self) >= _WORDS:
+            self.old = dict(self)
             self.clear()
-        value = self[word] = np.asarray(self._ids(word.decode()), "<u4").tobytes()
-        return value
+        new = set().union(*cut).difference(self)
+        self.update((w, self.old[w]) for w in new & self.old.keys())
+        new.difference_update(self.old)
+        bare = {w: w[:-1] for w in new if self.splits and len(w) > 1 and w[-1:] in b".,;:!?" and w[-2:-1].isalnum()}
+        alone = list((new - bare.keys()).union({w[-1:] for w in bare}, bare.values()).difference(self))
+        self.update(zip(alone, self._ids([w.decode() for w in alone])))
+        for word, stem in bare.items():
+            self[word] = self[stem] + self[word[-1:]]
+        return [b"".join(map(self.__getitem__, words)) for words in cut]
 
 
 @lru_cache(maxsize=2)
@@ -71,8 +88,10 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int, end_id: int |
         model = word_ids(tokenizer_path)
         for batch in batches:
             out = ([], [], [], [], [])
-            for doc, text in zip(*columns_of(batch, "i", "t")):
-                ids = model.encode(text or "") + tail
+            docs_here, texts = columns_of(batch, "i", "t")
+            coded = (ids for low in range(0, len(texts), 256) for ids in model.encode([t or "" for t in texts[low : low + 256]]))
+            for doc, ids in zip(docs_here, coded):
+                ids += tail
                 for piece, at in enumerate(range(0, max(1, len(ids)), 4 * limit)):
                     part = ids[at : at + 4 * limit]
                     for column, value in zip(out, (doc, piece, at // 4, len(part) // 4, part)):

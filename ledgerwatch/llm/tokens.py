@@ -21,6 +21,8 @@ class PieceEncoder:
     """A sentencepiece model; ``spans`` gives the place at which each token of a text begins."""
 
     mark = "▁"
+    #: The encoder puts a mark in front of a text, which stands for the space at a cut.
+    skip = 1
 
     def __init__(self, path: str):
         import sentencepiece
@@ -59,6 +61,8 @@ class PieceEncoder:
 class WordEncoder:
     """A file of the tokenizers library."""
 
+    skip = 0
+
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
@@ -116,12 +120,12 @@ def spliced_count(model, text: str, chunk: int = CHUNK, overlap: int = OVERLAP)
                     return total + len(starts)
             wide *= 2
         total += bisect_left(starts, cut - begin)
-        begin = cut
+        begin = cut + model.skip
 
 
 def _common_cut(model, text: str, begin: int, end: int, starts: list[int], wide: int) -> int | None:
     """The last stable place in the ``wide`` characters before ``end`` where the chunk's encoding and one of text on both sides of ``end`` agree on a token's start."""
-    low = max(begin + 1, end - wide)
+    low = max(begin + 2, end - wide)
     places = [at for at in range(end - 1, low - 1, -1) if model.stable(text, at)]
     if not places:
         return None
