@@ -233,6 +233,8 @@ def vocabulary_of(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, in
 
     totals, kinds = np.zeros(len(units) + CLASSES, np.int64), np.zeros(len(units) + CLASSES, np.int64)
     known_counts = {bytes(t): int(n) for t, n in zip(top["token"], top["n"])}
+    if END not in known_counts:  # the end is looked up in no join
+        known_counts |= {END: int(r.n) for r in counts.where(F.col("token") == F.lit(END)).take(1)}
     for t, u in units.items():
         totals[u], kinds[u] = known_counts.get(t, 0), 1
     for row in rest.mapInArrow(classed, "class int, n long, kinds long").groupBy("class").agg(F.sum("n").alias("n"), F.sum("kinds").alias("kinds")).collect():  # CLASSES rows
