@@ -175,20 +175,21 @@ def drain_scatter(fact: DataFrame, legit_points: int = 5000, seed: int = 42) ->
 
 
 def random_sample(rows: DataFrame, n: int, seed: int = 42, key: str = "transaction_id") -> DataFrame:
-    """n rows (all, where there are fewer) picked by a seeded hash of the key: repeatable.
+    """n rows (all, where there are fewer) picked by a seeded MD5 of the key: repeatable on any engine.
 
     Only rows whose hash falls into a share slightly above n / count are sorted, so the sort sees
     about n rows and not the table. The margin is ten standard deviations of the number that
     falls into the share.
     """
     spread = 2**40
-    draw = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(spread))
+    draw = F.md5(F.concat_ws("-", F.lit(str(seed)), F.col(key).cast("string")))
+    place = F.conv(F.substring("_draw", 1, 10), 16, 10).cast("double")
     count = rows.agg(F.count(F.lit(1)).alias("_all"))
     bound = F.lit(float(n + 10 * n**0.5 + 100)) / F.col("_all") * F.lit(float(spread))
     return (
         rows.withColumn("_draw", draw)
         .crossJoin(F.broadcast(count))
-        .filter(F.col("_draw") < bound)
+        .filter(place < bound)
         .drop("_all")
         .orderBy("_draw", key)
         .limit(n)

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from functools import reduce
+from operator import or_
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import ratio
@@ -14,8 +17,7 @@ REQUIRED = ["customer_id", "recipient_id", "transaction_type"]
 def clean_transactions(raw: DataFrame, require_parties: bool = True) -> DataFrame:
     """Rename CSV columns, keep positive amounts, default missing balances to 0.
 
-    ``require_parties`` also drops rows without sender, recipient or type, as the daily job does;
-    the first bulk load keeps them.
+    ``require_parties`` also drops rows without sender, recipient or type, as the load jobs do.
     """
     rows = raw.withColumnsRenamed(CSV_TO_FACT).filter(F.col("amount") > 0)
     if require_parties:
@@ -23,6 +25,16 @@ def clean_transactions(raw: DataFrame, require_parties: bool = True) -> DataFram
     return rows.withColumns({b: F.coalesce(F.col(b), F.lit(0).cast(MONEY)) for b in BALANCES})
 
 
+def rejection_reason(bad_record: str = "_bad_record") -> Column:
+    """Why a row of the log cannot be loaded, NULL where it can; the first reason that applies."""
+    missing = [F.col(c).isNull() for c in ("nameOrig", "nameDest", "type", "step")]
+    return (
+        F.when(F.col(bad_record).isNotNull(), "unreadable")
+        .when(reduce(or_, missing), "missing")
+        .when(F.col("amount").isNull() | (F.col("amount") <= 0), "amount")
+    )
+
+
 def derive_features(rows: DataFrame) -> DataFrame:
     """Hour, day, balance change and amount-to-balance ratio (half to even); flags become integers."""
     old = F.col("old_balance_orig")

@@ -30,8 +30,6 @@ def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int =
         fact.groupBy("customer_id")
         .agg(
             F.count(F.lit(1)).alias("hot_rows"),
-            F.min("transaction_id").alias("min_id"),
-            F.max("transaction_id").alias("max_id"),
             F.avg("amount").cast("double").alias("cust_mean"),
             F.stddev_samp("amount").alias("cust_std"),
         )
@@ -44,14 +42,11 @@ def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int =
 def _positions(rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
     """Rows of hot customers with their 0-based position in the customer's history.
 
-    Rows are counted per (customer, step, slice of the id range); running sums over those counts
-    give every slice its first position, and rows are numbered inside their slice only.
+    Rows are counted per (customer, step, slice), a slice being block_rows neighbouring ids. Ids are
+    unique, so no slice holds more rows than a block, however the ids of a customer lie. Running sums
+    over the counts give every slice its first position; rows are numbered inside their slice only.
     """
-    slices = F.ceil(F.col("hot_rows") / F.lit(block_rows))
-    width = F.greatest(F.ceil((F.col("max_id") - F.col("min_id") + 1) / slices), F.lit(1))
-    sliced = rows.join(F.broadcast(hot), "customer_id").withColumn(
-        "_slice", F.floor((F.col("transaction_id") - F.col("min_id")) / width).cast("long")
-    )
+    sliced = rows.join(F.broadcast(hot), "customer_id").withColumn("_slice", F.expr(f"transaction_id div {block_rows}"))
     cells = stored(sliced.groupBy("customer_id", "step", "_slice").agg(F.count(F.lit(1)).alias("_n")), "history-cells")
     by_step = Window.partitionBy("customer_id").orderBy("step")
     by_slice = Window.partitionBy("customer_id", "step").orderBy("_slice")

@@ -9,21 +9,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.alerts import as_alert_rows, only_new, statistical_alerts
-from ..operators.cleaning import clean_transactions, derive_features
 from ..operators.dimensions import dim_customers
 from ..operators.quality import quality_report
 from ..operators.reports import daily_report, latest_reports, recent_alerts, tier_totals
 from ..operators.risk import dim_risk_load, dim_risk_refresh
 from ..operators.statistical import detector_flags
+from ..sources.batches import load_batch
 from ..sources.tables import (
-    FIRST_LOAD,
-    assign_ids,
     read_alerts,
     read_fact,
     read_transactions,
     read_version,
     write_alerts,
-    write_fact,
     write_reports,
     write_version,
 )
@@ -61,9 +58,11 @@ class Store:
 
 
 def load_job(spark: SparkSession, csv_path: str, store: Store, version: int = 0) -> DataFrame:
-    """First bulk load: read, clean, derive, store, build the customer dimension; returns the quality report."""
-    rows = derive_features(clean_transactions(read_transactions(spark, csv_path), require_parties=False))
-    write_fact(assign_ids(rows, FIRST_LOAD), store.fact, FIRST_LOAD)
+    """Bulk load: adds the new files of a folder, builds the customer dimension; returns the quality report.
+
+    Loads append. Rows that cannot be loaded are in :func:`read_rejected`, with their reasons.
+    """
+    load_batch(read_transactions(spark, csv_path), store.fact)
     fact = read_fact(spark, store.fact)
     write_version(dim_risk_load(dim_customers(fact)), store.customers, version)
     return quality_report(fact)
@@ -86,13 +85,19 @@ def detection_job(spark: SparkSession, store: Store, as_of: dt.datetime, batch_i
 
 
 def daily_job(
-    spark: SparkSession, folder: str, store: Store, as_of: dt.datetime, dim_version: int, max_files: int | None = None
+    spark: SparkSession,
+    folder: str,
+    store: Store,
+    as_of: dt.datetime,
+    dim_version: int,
+    max_files: int | None = None,
+    full_history: bool = False,
 ) -> dict[str, DataFrame]:
     """New files, then the report of the latest day and the three export tables.
 
     The report and the exports are written even when no file is new.
     """
-    ingest(spark, folder, store.fact, store.alerts, store.progress, as_of, max_files=max_files)
+    ingest(spark, folder, store.fact, store.alerts, store.progress, as_of, max_files=max_files, full_history=full_history)
     fact, alerts = read_fact(spark, store.fact), read_alerts(spark, store.alerts)
     dim = read_version(spark, store.customers, dim_version)
     latest = fact.agg(F.max("transaction_day")).first()[0]

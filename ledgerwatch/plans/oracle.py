@@ -275,9 +275,10 @@ def _metric_lines() -> str:
 
 
 def _corr_rows() -> str:
-    cols = ["amount", "old_balance_orig", "new_balance_orig", "new_balance_dest", "balance_change", "is_fraud"]
+    cols = ["amount", "old_balance_orig", "new_balance_orig", "old_balance_dest", "new_balance_dest", "balance_change", "is_fraud"]
     rows = [
-        f"SELECT '{cols[j]}' AS y, '{cols[i]}' AS x, {rnd(f'corr(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE))', 6)} AS r FROM fact"
+        f"""SELECT '{cols[j]}' AS y, '{cols[i]}' AS x, CASE WHEN count(DISTINCT {cols[i]}) > 1 AND count(DISTINCT {cols[j]}) > 1
+            THEN {rnd(f'corr(CAST({cols[i]} AS DOUBLE), CAST({cols[j]} AS DOUBLE))', 6)} END AS r FROM fact"""
         for i in range(len(cols))
         for j in range(i + 1, len(cols))
     ]
@@ -301,8 +302,20 @@ def oracle_statements() -> dict[str, str]:
     o["derive_features"] = stmt(f"SELECT {RAW}, {DERIVED} FROM fact")
     o["write_fact"] = stmt(f"SELECT {RAW}, {DERIVED}, CAST(transaction_id % 2 AS BIGINT) AS batch_id FROM fact")
     o["read_table"] = stmt(
-        f"SELECT transaction_type, {cnt('count(*) txn_count')}, {num('sum(amount) total_volume')} FROM fact WHERE transaction_day >= 10 GROUP BY ALL"
+        f"SELECT transaction_type, {cnt('count(*) txn_count')}, {num('sum(amount) total_volume')} FROM fact GROUP BY ALL"
     )
+    o["two_bulk_loads"] = stmt(
+        f"SELECT {RAW_NO_ID}, {DERIVED}, CAST(CASE WHEN transaction_id % 2 = 1 THEN 1 ELSE 2 END AS BIGINT) AS batch_id FROM fact"
+    )
+    o["rejected_rows"] = stmt("""
+      SELECT CAST(1 AS BIGINT) AS batch_id, ['unreadable', 'amount', 'unreadable', 'missing', 'unreadable'][1 + (transaction_id // 11) % 5] AS reason,
+             count(*) AS row_count FROM fact WHERE transaction_id % 11 = 0 GROUP BY ALL""")
+    o["random_sample"] = stmt(f"SELECT {RAW}, {DERIVED} FROM fact ORDER BY md5('42-' || transaction_id), transaction_id LIMIT 1000")
+    o["drain_scatter"] = stmt(f"""
+      , points AS (SELECT transaction_id, is_fraud, old_balance_orig, amount FROM fact WHERE {OUT} AND old_balance_orig > 0),
+      legit AS (SELECT * FROM points WHERE is_fraud = 0 ORDER BY md5('42-' || transaction_id), transaction_id LIMIT 300)
+      SELECT {cnt('transaction_id transaction_id', 'is_fraud is_fraud')}, {num('old_balance_orig old_balance_orig', 'amount amount')}
+      FROM (FROM points WHERE is_fraud = 1 UNION ALL FROM legit)""")
     o["incremental_files"] = stmt(
         f"SELECT {cnt('CASE WHEN transaction_day < 15 THEN 1 ELSE 2 END batch_id', 'transaction_day transaction_day', 'count(*) txn_count')} FROM fact GROUP BY ALL"
     )
@@ -675,9 +688,9 @@ def oracle_statements() -> dict[str, str]:
     o["chi2_contingency"] = stmt(
         f"SELECT transaction_type, o0 AS legitimate, o1 AS fraud, {pct('o1', '(o0 + o1)', 4)} AS fraud_rate_pct FROM per_type", CHI_TYPE
     )
-    o["chi2_independence"] = stmt(f"SELECT 'Chi-Square: Fraud x Type' AS test, {rnd('stat', 6)} AS statistic, {cnt('dof dof')} FROM chi_type", CHI_TYPE)
+    o["chi2_independence"] = stmt(f"SELECT 'Chi-Square: Fraud x Type' AS test, {rnd('stat', 6)} AS statistic, {cnt('dof dof')}, {rnd('greatest(' + tail_chi2('stat', 'dof') + ', 0)', 6)} AS p_value FROM chi_type", CHI_TYPE)
     o["welch_t_test"] = stmt(f"""
-      SELECT 'Welch t-test: Amount' AS test, {rnd('t', 6)} AS statistic, {rnd('dof', 4)} AS dof, {rnd('d', 6)} AS cohens_d,
+      SELECT 'Welch t-test: Amount' AS test, {rnd('t', 6)} AS statistic, {rnd('dof', 4)} AS dof, {rnd('greatest(' + tail_t('t', 'dof') + ', 0)', 6)} AS p_value, {rnd('d', 6)} AS cohens_d,
              CASE WHEN abs(d) > 0.8 THEN 'large' WHEN abs(d) > 0.5 THEN 'medium' ELSE 'small' END AS effect,
              {", ".join(f"n{i} AS {p}_count, {rnd(f'm{i}')} AS {p}_mean, {rnd(f'd{i}', 4)} AS {p}_median, {rnd(f'sqrt(v{i})')} AS {p}_std, {num(f'a{i} {p}_min', f'z{i} {p}_max')}" for i, p in ((1, 'fraud'), (0, 'legit')))}
       FROM welch""", WELCH)
@@ -687,10 +700,10 @@ def oracle_statements() -> dict[str, str]:
         for i, p in ((1, "fraud"), (0, "legit"))
     )
     o["point_biserial"] = stmt(
-        f"SELECT 'Point-Biserial: Drain' AS test, {rnd('(SELECT r FROM biserial)', 6)} AS statistic, count(*) - 2 AS dof, count(*) AS n, {drain_cols} FROM drains", BISERIAL
+        f"SELECT 'Point-Biserial: Drain' AS test, {rnd('(SELECT r FROM biserial)', 6)} AS statistic, count(*) - 2 AS dof, {rnd('(SELECT greatest(' + tail_t('t', '(n - 2)') + ', 0) FROM biserial)', 6)} AS p_value, count(*) AS n, {drain_cols} FROM drains", BISERIAL
     )
     o["chi2_goodness"] = stmt(
-        f"SELECT 'Chi-Square: Fraud by Hour' AS test, {rnd('stat', 6)} AS statistic, {cnt('dof dof', 'total_fraud total_fraud')} FROM chi_hour", CHI_HOUR
+        f"SELECT 'Chi-Square: Fraud by Hour' AS test, {rnd('stat', 6)} AS statistic, {cnt('dof dof', 'total_fraud total_fraud')}, {rnd('greatest(' + tail_chi2('stat', 'dof') + ', 0)', 6)} AS p_value FROM chi_hour", CHI_HOUR
     )
     o["chi2_goodness_hours"] = stmt(
         f"""SELECT {cnt('transaction_hour transaction_hour', 'observed observed')}, expected, {rnd(div('observed', 'expected'), 4)} AS ratio,

@@ -2,40 +2,82 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import DataStreamReader
 
 from ..schema import ALERT, FACT, RAW_CSV
+from ..session import stored
 
-ROW_BITS = 25
-PART_BITS = 18
-BATCH_BITS = 16
-FIRST_LOAD = 0  # batch number of the bulk load; incremental loads are numbered from 1
+FIRST_LOAD = 0  # batch number of a table written in one piece; loads of files are numbered from 1
 STORED_FACT = T.StructType([*FACT.fields, T.StructField("batch_id", T.IntegerType())])
 STORED_ALERT = T.StructType([*ALERT.fields, T.StructField("source", T.StringType()), T.StructField("batch_id", T.IntegerType())])
+BAD_RECORD = "_bad_record"
+# what identifies a source file
+SOURCE_FILE = {"_file": T.StringType(), "_bytes": T.LongType(), "_modified": T.TimestampType()}
+_SOURCE = ("_metadata.file_path AS _file", "_metadata.file_size AS _bytes", "_metadata.file_modification_time AS _modified")
+
+
+def csv_rows(reader: DataFrameReader | DataStreamReader, path: str, header: Sequence[str] = tuple(RAW_CSV.names)) -> DataFrame:
+    """The raw columns by name, the record where a cell could not be read, and the source file.
+
+    ``header`` is the order of the columns in the files; a file with another header is an error.
+    Columns beyond the eleven are left out.
+    """
+    by_name = {f.name.lower(): f for f in RAW_CSV}
+    fields = [by_name.get(name.lower(), T.StructField(name, T.StringType())) for name in header]
+    missing = sorted(set(RAW_CSV.names) - {f.name for f in fields})
+    if missing:
+        raise ValueError(f"columns missing in the log: {', '.join(missing)}")
+    options = {"header": True, "enforceSchema": False, "columnNameOfCorruptRecord": BAD_RECORD}
+    reader = reader.schema(T.StructType([*fields, T.StructField(BAD_RECORD, T.StringType())])).options(**options)
+    return reader.csv(path).selectExpr(*RAW_CSV.names, BAD_RECORD, *_SOURCE)
+
+
+def header_of(spark: SparkSession, path: str) -> list[str]:
+    """Column names in the first line of one file; the usual ones where there is no file yet."""
+    try:
+        return spark.read.option("header", True).csv(path).columns or RAW_CSV.names
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return RAW_CSV.names
 
 
 def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with the eleven raw columns; splits of large files are read in parallel."""
-    return spark.read.schema(RAW_CSV).option("header", True).csv(path)
+    """Header CSV with the eleven raw columns in any order; splits of large files are read in parallel."""
+    return csv_rows(spark.read, path, header_of(spark, path))
 
 
-def assign_ids(rows: DataFrame, batch_id: int) -> DataFrame:
-    """A unique transaction_id per row of a load, without a numbering pass.
+def number_rows(rows: DataFrame, first_id: int = 1) -> tuple[DataFrame, int]:
+    """rows with dense ids from first_id in transaction_id, and how many there are.
 
-    The id packs batch number, task number and row number inside the task; it stops with an error
-    where a number does not fit instead of giving an id twice. A batch that runs again replaces
-    all its rows, so the ids of a finished batch never change.
+    The rows are stored with their task and their place in it. Running sums of the rows per task
+    (one line per task, which bounds the broadcast) turn both into a number, at any number of tasks
+    and rows. Files that are read again in the same splits get the same ids.
     """
-    if not 0 <= batch_id < 2**BATCH_BITS:
-        raise ValueError(f"batch_id must be between 0 and {2**BATCH_BITS - 1}")
-    raw = F.monotonically_increasing_id()
-    part, row = F.shiftright(raw, 33), raw.bitwiseAND(F.lit(2**33 - 1))
-    packed = F.lit(batch_id).cast("long") * 2 ** (PART_BITS + ROW_BITS) + part * 2**ROW_BITS + row + 1
-    fits = (part < 2**PART_BITS) & (row < 2**ROW_BITS - 1)
-    return rows.withColumn("transaction_id", F.when(fits, packed).otherwise(F.raise_error(F.lit("too many rows for one load"))))
+    placed = stored(rows.withColumn("_at", F.monotonically_increasing_id()), "load")
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND(F.lit(2**33 - 1))
+    counts = placed.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_rows"))
+    before = F.sum("_rows").over(Window.orderBy("_part")) - F.col("_rows")
+    offsets = stored(counts.select("_part", "_rows", before.alias("_before")), "offsets")
+    n_rows = offsets.agg(F.coalesce(F.sum("_rows"), F.lit(0))).first()[0]
+    numbered = placed.withColumn("_part", part).join(F.broadcast(offsets.drop("_rows")), "_part")
+    return numbered.withColumn("transaction_id", F.lit(first_id) + F.col("_before") + place).drop("_at", "_part", "_before"), n_rows
+
+
+def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A stored table; empty where it has not been written yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
 
 
 def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
@@ -51,14 +93,15 @@ def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
         .hint("rebalance", "transaction_day")
         .sortWithinPartitions("transaction_day", "customer_id")
         .write.mode("overwrite")
+        .option("partitionOverwriteMode", "static")
         .partitionBy("transaction_day")
         .parquet(f"{path}/batch_id={batch_id}")
     )
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """All loads; filters on transaction_day prune folders."""
-    return spark.read.schema(STORED_FACT).parquet(path)
+    """All loads; filters on transaction_day prune folders. Empty before the first load."""
+    return read_or_empty(spark, path, STORED_FACT)
 
 
 def read_table(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -75,12 +118,7 @@ def write_alerts(alerts: DataFrame, path: str, batch_id: int, source: str = "det
 
 def read_alerts(spark: SparkSession, path: str) -> DataFrame:
     """All alerts with the job and batch that raised them; empty where none has been written yet."""
-    try:
-        return spark.read.schema(STORED_ALERT).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], STORED_ALERT)
+    return read_or_empty(spark, path, STORED_ALERT)
 
 
 def write_version(table: DataFrame, path: str, version: int) -> None:

@@ -8,18 +8,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.alerts import as_alert_rows, batch_zscore_alerts
-from ..operators.cleaning import clean_transactions, derive_features
 from ..operators.statistical import zscore_anomalies, zscore_detection
-from ..schema import RAW_CSV
-from ..sources.tables import FIRST_LOAD, assign_ids, read_fact, write_alerts, write_fact
+from ..sources.batches import load_batch
+from ..sources.tables import csv_rows, header_of, read_fact, write_alerts
 
 
 def stream_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
     """CSV files of a folder as a stream; the checkpoint remembers which ones are done."""
-    reader = spark.readStream.schema(RAW_CSV).option("header", True)
+    reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
-    return reader.csv(folder)
+    return csv_rows(reader, folder, header_of(spark, folder))
 
 
 def ingest(
@@ -35,23 +34,23 @@ def ingest(
 ) -> StreamingQuery:
     """Processes the files that arrived since the last run and stops.
 
-    Every batch writes its rows and alerts below its own batch number, replacing what an
-    interrupted attempt left, so rows and alerts are stored exactly once. Scores use the batch's
-    own statistics, or with ``full_history`` those of all stored transactions.
+    Every batch goes through :func:`load_batch`, which numbers it by what the store holds and not
+    by the stream, so a lost or new checkpoint neither replaces rows nor loads them twice. Scores
+    use the batch's own statistics, or with ``full_history`` those of all stored transactions.
     """
 
-    def load(batch: DataFrame, stream_batch: int) -> None:
+    def load(batch: DataFrame, _: int) -> None:
         session = batch.sparkSession
-        batch_id = FIRST_LOAD + 1 + stream_batch
-        rows = assign_ids(derive_features(clean_transactions(batch)), batch_id)
-        write_fact(rows, fact_path, batch_id)
-        # alerts come from the stored rows, so they carry the ids that were written
-        stored = session.read.parquet(f"{fact_path}/batch_id={batch_id}")
-        if full_history:
-            scored = zscore_detection(stored, threshold, history=read_fact(session, fact_path))
-        else:
-            scored = zscore_anomalies(stored, threshold)
-        write_alerts(as_alert_rows(batch_zscore_alerts(scored), as_of), alert_path, batch_id, "ingest")
+
+        def alert(rows: DataFrame, batch_id: int) -> None:
+            # alerts come from the stored rows, so they carry the ids that were written
+            if full_history:
+                scored = zscore_detection(rows, threshold, history=read_fact(session, fact_path).drop("batch_id"))
+            else:
+                scored = zscore_anomalies(rows, threshold)
+            write_alerts(as_alert_rows(batch_zscore_alerts(scored), as_of), alert_path, batch_id, "ingest")
+
+        load_batch(batch, fact_path, alert)
 
     query = (
         stream_files(spark, folder, max_files)

@@ -1,13 +1,15 @@
 from decimal import Decimal
 
+import pytest
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators.cleaning import clean_transactions, derive_features
 from ledgerwatch.operators.dimensions import replace_by_key
 from ledgerwatch.schema import RAW_CSV
 from ledgerwatch.session import scratch_path
+from ledgerwatch.sources.batches import load_batch, read_manifest, read_rejected, rejected_counts
 from ledgerwatch.sources.events import fact_from_events
-from ledgerwatch.sources.tables import assign_ids, read_fact, write_fact, write_reports
+from ledgerwatch.sources.tables import number_rows, read_fact, read_transactions, write_fact, write_reports
 
 # rows, amount, old balance, new balance, frauds, flagged, customers, recipients, steps, days
 TOTALS = {
@@ -70,11 +72,12 @@ def test_derived_columns(spark):
     assert (c.transaction_day, c.amount_to_balance_ratio) == (0, None)
 
 
-def test_ids_are_unique_over_batches(spark):
-    rows = spark.range(0, 5000, 1, 7)
-    ids = assign_ids(rows, 0).union(assign_ids(rows, 1)).union(assign_ids(rows, 65535))
-    assert ids.select("transaction_id").distinct().count() == 15000
-    assert ids.agg(F.min("transaction_id"), (F.max("transaction_id") < 2**59)).first() == (1, True)
+def test_ids_are_dense_with_any_number_of_tasks(spark):
+    for n, tasks in ((5000, 7), (3, 20), (0, 4)):  # more tasks than rows, tasks without rows
+        rows, counted = number_rows(spark.range(0, n, 1, tasks), 2**60)
+        assert counted == n
+        ids = sorted((r.id, r.transaction_id) for r in rows.collect())
+        assert [i for _, i in ids] == list(range(2**60, 2**60 + n))  # in the order of the rows
 
 
 def test_rewriting_a_batch_replaces_it(spark, small_fact):
@@ -91,6 +94,78 @@ def test_rewriting_a_batch_replaces_it(spark, small_fact):
     assert "PartitionFilters: [isnotnull(transaction_day" in plan and "ReadSchema: struct<amount:decimal(15,2)>" in plan
 
 
+def lines(spark, *text):
+    folder = scratch_path(spark, "csv")
+    spark.createDataFrame([(t,) for t in text], "value string").coalesce(1).write.option("compression", "none").text(folder)
+    return folder
+
+
+def test_columns_are_read_by_name(spark):
+    folder = lines(
+        spark,
+        "nameDest,type,amount,nameOrig,oldbalanceOrg,newbalanceOrig,step,note,oldbalanceDest,newbalanceDest,isFraud,isFlaggedFraud",
+        "M1,PAYMENT,7.50,C1,9,1.5,5,extra,0,0,1,0",
+    )
+    (row,) = read_transactions(spark, folder).collect()
+    assert (row.nameOrig, row.nameDest, row.step, row.amount, row.isFraud) == ("C1", "M1", 5, Decimal("7.50"), 1)
+
+
+def test_missing_column_and_mixed_headers_stop_the_load(spark):
+    with pytest.raises(ValueError, match="nameDest"):
+        read_transactions(spark, lines(spark, ",".join(n for n in RAW_CSV.names if n != "nameDest"), "1"))
+    names = list(RAW_CSV.names)
+    folder = lines(spark, ",".join(names), "5,PAYMENT,7,C1,1,1,M1,0,0,0,0")
+    names[3], names[6] = names[6], names[3]
+    spark.createDataFrame([(",".join(names),), ("5,PAYMENT,7,M1,1,1,C1,0,0,0,0",)], "value string").coalesce(1).write.mode(
+        "append"
+    ).option("compression", "none").text(folder)
+    with pytest.raises(Exception, match="(?i)header"):
+        read_transactions(spark, folder).collect()
+
+
+def test_rows_that_cannot_be_loaded_are_kept_with_a_reason(spark):
+    folder = lines(
+        spark,
+        ",".join(RAW_CSV.names),
+        "5,PAYMENT,7,C1,,,M1,,,0,0",
+        "5,PAYMENT,12x,C2,1,1,M1,0,0,0,0",
+        "5,PAYMENT,123456789012345678.00,C3,1,1,M1,0,0,0,0",
+        "5,PAYMENT,7,C4,?,1,M1,0,0,0,0",
+        "5,PAYMENT,0,C5,1,1,M1,0,0,0,0",
+        "5,PAYMENT,,C6,1,1,M1,0,0,0,0",
+        "5,PAYMENT,7,,1,1,M1,0,0,0,0",
+        ",PAYMENT,7,C8,1,1,M1,0,0,0,0",
+    )
+    path = scratch_path(spark, "fact")
+    assert load_batch(read_transactions(spark, folder), path) == 1
+    assert [(r.customer_id, r.old_balance_orig) for r in read_fact(spark, path).collect()] == [("C1", 0)]
+    rejected = read_rejected(spark, path)
+    found = sorted((r.transaction_id, r.reason) for r in rejected.collect())
+    assert found == list(zip(range(2, 9), ["unreadable"] * 3 + ["amount"] * 2 + ["missing"] * 2))
+    assert "12x" in rejected.filter("transaction_id = 2").first().record
+    assert {(r.reason, r.row_count) for r in rejected_counts(rejected).collect()} == {("unreadable", 3), ("amount", 2), ("missing", 2)}
+
+
+def test_a_load_with_nothing_but_rejects_still_counts(spark):
+    path, folder = scratch_path(spark, "fact"), lines(spark, ",".join(RAW_CSV.names), "5,PAYMENT,0,C1,1,1,M1,0,0,0,0")
+    assert load_batch(read_transactions(spark, folder), path) == 1
+    assert load_batch(read_transactions(spark, folder), path) is None
+    assert read_fact(spark, path).count() == 0 and read_rejected(spark, path).count() == 1
+
+
+def test_an_interrupted_load_is_replaced_by_its_retry(spark):
+    path, folder = scratch_path(spark, "fact"), lines(spark, ",".join(RAW_CSV.names), "5,PAYMENT,7,C1,1,1,M1,0,0,0,0")
+
+    def lost(rows, batch_id):
+        raise RuntimeError("executor lost")
+
+    with pytest.raises(RuntimeError):
+        load_batch(read_transactions(spark, folder), path, lost)
+    assert read_manifest(spark, path).count() == 0
+    assert load_batch(read_transactions(spark, folder), path) == 1
+    assert [(r.transaction_id, r.batch_id) for r in read_fact(spark, path).collect()] == [(1, 1)]
+
+
 def test_reports_are_replaced_by_day(spark):
     path = scratch_path(spark, "reports")
     for rows in ([(1, 10), (2, 20)], [(2, 21), (3, 30)]):
