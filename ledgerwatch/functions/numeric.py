@@ -21,10 +21,14 @@ def ratio(num: Column | str, den: Column | str) -> Column:
 
 
 def round_half_up(c: Column | str, digits: int) -> Column:
-    """Half away from zero, written with floor so that the last bit does not depend on the engine."""
+    """Half away from zero, cut to a whole number so that the last bit does not depend on the engine.
+
+    The remainder is taken off instead of calling floor, which gives a BIGINT and ends at its largest value.
+    """
     c = _col(c).cast("double")
     scale = float(10**digits)
-    return F.signum(c) * (F.floor(F.abs(c) * scale + 0.5) / scale)
+    shifted = F.abs(c) * scale + 0.5
+    return F.signum(c) * ((shifted - shifted % 1.0) / scale)
 
 
 def percent(part: Column | str, whole: Column | str, digits: int) -> Column:

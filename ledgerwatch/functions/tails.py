@@ -21,6 +21,10 @@ _EPS = 1e-15
 _TINY = 1e-300
 
 
+def _unsettled() -> ArithmeticError:
+    return ArithmeticError(f"tail probability did not settle in {_STEPS} steps")
+
+
 def chi2_tail(x: float, dof: float) -> float:
     """P(X > x) for a chi-square variable: the upper regularised incomplete gamma function."""
     if dof <= 0:
@@ -36,6 +40,8 @@ def chi2_tail(x: float, dof: float) -> float:
             total += term
             if term < total * _EPS:
                 break
+        else:
+            raise _unsettled()
         return max(0.0, 1.0 - front * total)
     b = z + 1 - a  # continued fraction of the upper function
     c, d = 1.0 / _TINY, 1.0 / b
@@ -48,6 +54,8 @@ def chi2_tail(x: float, dof: float) -> float:
         h *= d * c
         if abs(d * c - 1) < _EPS:
             break
+    else:
+        raise _unsettled()
     return front * h
 
 
@@ -78,6 +86,8 @@ def _beta_ratio(a: float, b: float, x: float) -> float:
             h *= d * c
         if abs(d * c - 1) < _EPS:
             break
+    else:
+        raise _unsettled()
     return front * h
 
 
