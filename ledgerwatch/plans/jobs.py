@@ -18,6 +18,7 @@ from ..sources.batches import load_batch
 from ..sources.tables import (
     read_alerts,
     read_fact,
+    read_or_empty,
     read_transactions,
     read_version,
     write_alerts,
@@ -95,17 +96,22 @@ def daily_job(
 ) -> dict[str, DataFrame]:
     """New files, then the report of the latest day and the three export tables.
 
-    The report and the exports are written even when no file is new.
+    The report and the exports are written even when no file is new. The first run on a store
+    without this version of the customer dimension builds it; with no rows at all, the tables are empty.
     """
     ingest(spark, folder, store.fact, store.alerts, store.progress, as_of, max_files=max_files, full_history=full_history)
     fact, alerts = read_fact(spark, store.fact), read_alerts(spark, store.alerts)
-    dim = read_version(spark, store.customers, dim_version)
     latest = fact.agg(F.max("transaction_day")).first()[0]
+    built = dim_risk_refresh(dim_customers(fact))
+    dim = read_or_empty(spark, f"{store.customers}/version={dim_version}", built.schema)
+    if latest is not None and dim.isEmpty():
+        dim = refresh_job(spark, store, dim_version)
+    generated = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+    report = daily_report(fact, alerts, dim, latest or 0).withColumn("report_generated_at", generated)
     if latest is not None:
-        generated = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
-        write_reports(daily_report(fact, alerts, dim, latest).withColumn("report_generated_at", generated), store.reports)
+        write_reports(report, store.reports)
     tables = {
-        "daily_summary": latest_reports(spark.read.parquet(store.reports)),
+        "daily_summary": latest_reports(read_or_empty(spark, store.reports, report.schema)),
         "risk_distribution": tier_totals(dim),
         "recent_alerts": recent_alerts(alerts),
     }

@@ -43,7 +43,8 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
     try:
         return spark.read.option("header", True).csv(path).columns or RAW_CSV.names
     except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
+        # no such folder, or a folder without files
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise
         return RAW_CSV.names
 

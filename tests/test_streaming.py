@@ -184,6 +184,17 @@ def test_jobs_from_load_to_daily_run(spark, as_of):
     assert tables["risk_distribution"].count() >= 3
 
 
+def test_daily_run_on_an_empty_store(spark, as_of):
+    folder, store = scratch_path(spark, "inbox"), Store(scratch_path(spark, "daily"))
+    spark.createDataFrame([], "value string").write.text(folder)  # a folder without rows
+    tables = daily_job(spark, folder, store, as_of, 0)
+    assert {name: t.count() for name, t in tables.items()} == dict.fromkeys(tables, 0)
+    # the first run with rows builds the customer dimension itself
+    drop(spark, raw(spark).filter("step < 50"), folder)
+    tables = daily_job(spark, folder, store, as_of, 0)
+    assert tables["daily_summary"].count() == 1 and tables["risk_distribution"].count() > 0
+
+
 def run_daily_twice(spark, folder, as_of):
     store = Store(scratch_path(spark, "daily"))
     whole = derive_features(clean_transactions(read_transactions(spark, folder)))
