@@ -23,30 +23,53 @@ DEPTH = 4
 GROUP = 8_192
 #: Words remembered in each of two generations; when the new one is full it replaces the old.
 _WORDS = 300_000
+#: Letters below this code point have one form only: no combining marks, nothing to compose.
+_LATIN = 0x250
 
 
-class WordIds(dict):
+def _is_plain(word: str) -> bool:
+    """Letters of the Latin blocks only, none of them a capital."""
+    return word.isalpha() and word.islower() and max(word) < chr(_LATIN)
+
+
+class WordIds:
     """Ids of the words between white space, as little-endian unsigned 32-bit bytes.
 
     Only for tokenizers that never look across white space (``separable``): then a text's ids are those of
     its words one after the other, and a word is encoded once for as long as it is remembered. Where
     the tokenizer lower-cases, words are remembered in lower case; a word's last mark of punctuation
-    is a token start of its own and is looked up apart (``splits``).
+    is a token start of its own and is looked up apart (``splits``). Lower-case Latin words skip the
+    normaliser and the word pattern where neither changes any such letter (``plain``).
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-        self.model, self.old = Tokenizer.from_file(path), {}
+        self.model = Tokenizer.from_file(path)
+        # plain dictionaries: a set subtracts one by looking its own few words up, not by walking over all keys
+        self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
         probe = "ab  cd\n'll 12 ü\t<|endoftext|> x'd a.b c, d."
         self.separable = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
         self.lowers = self._ids(["ABC Xyz"]) == self._ids(["abc xyz"])
         pre = self.model.pre_tokenizer
         self.splits = self.separable and pre is not None and all([p for _, p in pre.pre_tokenize_str(f"ab{c}")] == [(0, 2), (2, 3)] and [p for _, p in pre.pre_tokenize_str(f"1{c}")][-1] == (1, 2) for c in ".,;:!?")
+        self.plain = self._without_normaliser() if self.separable else None
+
+    def _without_normaliser(self):
+        """The bare model behind bytes, or None if a lower-case Latin letter inside a word then gets other ids."""
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        plain = Tokenizer(self.model.model)
+        plain.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = [c for c in map(chr, range(_LATIN)) if _is_plain(f"b{c}")]
+        probes = [*(f"b{c}" for c in letters), *(f"{c}d" for c in letters), *(f"b{c}d" for c in letters), "".join(letters)]
+        return plain if self._ids(probes) == self._ids(probes, plain) else None
 
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.model.encode_batch_fast(texts, add_special_tokens=False)]
+    def _ids(self, texts: list[str], model=None) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text; words not remembered are encoded in one call."""
@@ -55,18 +78,22 @@ class WordIds(dict):
         raw = [t.encode("utf-8", "replace") for t in texts]
         # strings of special tokens keep their case: in another case they are ordinary text
         cut = [(t.lower() if self.lowers and b"<|" not in t else t).split() for t in raw]
-        if len(self) >= _WORDS:
-            self.old = dict(self)
-            self.clear()
-        new = set().union(*cut).difference(self)
-        self.update((w, self.old[w]) for w in new & self.old.keys())
-        new.difference_update(self.old)
+        if len(self.known) >= _WORDS:
+            self.old, self.known = self.known, {}
+        new = set().union(*cut).difference(self.known)
+        known_before = new.difference(new.difference(self.old))
+        self.known.update((w, self.old[w]) for w in known_before)
+        new -= known_before
         bare = {w: w[:-1] for w in new if self.splits and len(w) > 1 and w[-1:] in b".,;:!?" and w[-2:-1].isalnum()}
-        alone = list((new - bare.keys()).union({w[-1:] for w in bare}, bare.values()).difference(self))
-        self.update(zip(alone, self._ids([w.decode() for w in alone])))
+        alone = (new - bare.keys()).union({w[-1:] for w in bare}, bare.values()).difference(self.known)
+        simple, other = [], []
+        for word in map(bytes.decode, alone):
+            (simple if self.plain and _is_plain(word) else other).append(word)
+        for model, words in ((self.plain, simple), (self.model, other)):
+            self.known.update(zip(map(str.encode, words), self._ids(words, model)))
         for word, stem in bare.items():
-            self[word] = self[stem] + self[word[-1:]]
-        return [b"".join(map(self.__getitem__, words)) for words in cut]
+            self.known[word] = self.known[stem] + self.known[word[-1:]]
+        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
 
 @lru_cache(maxsize=2)
