@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import simhash
+from ledgerwatch.llm import packing, simhash
 from ledgerwatch.llm.components import connected_components
 from ledgerwatch.llm.language_model import score_texts
 from ledgerwatch.llm.leaks import alignment, find_leaks
@@ -167,6 +167,19 @@ def test_packing_places_every_token_once(spark):
     assert packed_documents(docs.limit(0), WORDS, 512).count() == 0
 
 
+def test_remembered_words_have_the_ids_of_whole_texts(monkeypatch):
+    """Plain Latin words go around the normaliser; capitals, composed letters and other scripts don't."""
+    monkeypatch.setattr(packing, "_WORDS", 40)  # generations change all the time
+    model = packing.WordIds(WORDS)
+    assert model.plain is not None
+    texts = ["École école ÉCOLE e\u0301cole straße ǆ ǅ aƻ ªb \u0130x iıi", "œuvre, naïve. don't x<|endoftext|> μ привет 你好 ﬁn a1b été!", *(prose(k, 30) for k in range(6))]
+    for _ in range(2):
+        for text in texts:
+            want = np.asarray(model.model.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
+            assert model.encode([text]) == [want]
+    assert model.encode(texts) == [b"".join(model.encode([t])) for t in texts]
+
+
 def test_nnls_solves():
     a = np.random.default_rng(1).random((12, 8))
     x = np.array([0, 1, 2, 0, 0, 3, 0, 0.5])
