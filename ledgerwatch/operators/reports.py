@@ -210,7 +210,7 @@ def daily_report(fact: DataFrame, alerts: DataFrame, dim: DataFrame, day: int) -
 def all_daily_reports(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> DataFrame:
     """Report rows of all days from the first to the last, days without transactions included."""
     days = fact.groupBy("transaction_day").agg(*_day_figures())
-    span = fact.agg(F.min("transaction_day").alias("first"), F.max("transaction_day").alias("last"))
+    span = days.agg(F.min("transaction_day").alias("first"), F.max("transaction_day").alias("last"))
     calendar = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("report_day"))
     alerted = (
         alerts.select("transaction_id")

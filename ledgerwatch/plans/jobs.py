@@ -8,10 +8,10 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.alerts import as_alert_rows, only_new, statistical_alerts
+from ..operators.alerts import as_alert_rows, high_amount_alerts, only_new, statistical_alerts
 from ..operators.dimensions import dim_customers
 from ..operators.quality import quality_report
-from ..operators.reports import daily_report, latest_reports, recent_alerts, tier_totals
+from ..operators.reports import all_daily_reports, daily_report, latest_reports, recent_alerts, tier_totals
 from ..operators.risk import dim_risk_load, dim_risk_refresh
 from ..operators.statistical import detector_flags
 from ..sources.batches import load_batch
@@ -85,6 +85,24 @@ def detection_job(spark: SparkSession, store: Store, as_of: dt.datetime, batch_i
     return read_alerts(spark, store.alerts)
 
 
+def high_amount_job(spark: SparkSession, store: Store, as_of: dt.datetime, batch_id: int, dim_version: int) -> DataFrame:
+    """Appends HIGH_AMOUNT alerts, judged by one snapshot of the customers, that the table does not hold yet."""
+    fact, dim = read_fact(spark, store.fact), read_version(spark, store.customers, dim_version)
+    own = (F.col("source") == "high_amount") & (F.col("batch_id") == batch_id)
+    found = high_amount_alerts(fact, dim, existing=read_alerts(spark, store.alerts).filter(~own))
+    write_alerts(as_alert_rows(found, as_of), store.alerts, batch_id, source="high_amount")
+    return read_alerts(spark, store.alerts)
+
+
+def report_job(spark: SparkSession, store: Store, as_of: dt.datetime, dim_version: int) -> DataFrame:
+    """Writes the reports of all days, from the first to the last; days written earlier are replaced."""
+    fact, dim = read_fact(spark, store.fact), read_version(spark, store.customers, dim_version)
+    reports = all_daily_reports(fact, read_alerts(spark, store.alerts), dim)
+    generated = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+    write_reports(reports.withColumn("report_generated_at", generated), store.reports)
+    return spark.read.parquet(store.reports)
+
+
 def daily_job(
     spark: SparkSession,
     folder: str,

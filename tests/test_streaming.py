@@ -4,7 +4,7 @@ from conftest import SMALL
 from ledgerwatch.operators.cleaning import clean_transactions, derive_features
 from ledgerwatch.operators.dimensions import dim_customers
 from ledgerwatch.operators.risk import dim_risk_load
-from ledgerwatch.plans.jobs import Store, daily_job, detection_job, load_job, refresh_job
+from ledgerwatch.plans.jobs import Store, daily_job, detection_job, high_amount_job, load_job, refresh_job, report_job
 from ledgerwatch.plans.views import register_views
 from ledgerwatch.schema import RAW_CSV
 from ledgerwatch.session import scratch_path
@@ -178,6 +178,18 @@ def test_jobs_from_load_to_daily_run(spark, as_of):
     later = detection_job(spark, new, as_of, 2)
     assert later.count() > alerts and later.count() == later.select("transaction_id", "alert_type").distinct().count()
 
+    # HIGH_AMOUNT alerts once per transaction, whatever is run again; then the reports of all days
+    known = high_amount_job(spark, new, as_of, 0, 1)
+    raised = known.filter("alert_type = 'HIGH_AMOUNT'").count()
+    assert raised > 0 and known.filter("source = 'detection'").count() == later.count() - read_alerts(spark, new.alerts).filter("source NOT IN ('detection', 'high_amount')").count()
+    for batch in (0, 1):
+        assert high_amount_job(spark, new, as_of, batch, 1).filter("alert_type = 'HIGH_AMOUNT'").count() == raised
+    first, last = fact.selectExpr("min(transaction_day)", "max(transaction_day)").first()
+    for _ in range(2):
+        reports = report_job(spark, new, as_of, 1)
+        assert [r[0] for r in reports.select("report_day").orderBy("report_day").collect()] == list(range(first, last + 1))
+    assert reports.selectExpr("sum(total_txns)").first()[0] == 1000
+
     drop(spark, raw(spark).filter("step < 600"), folder, 2)
     tables, _ = run_daily_twice(spark, folder, as_of)
     assert tables["daily_summary"].count() == 1 and tables["recent_alerts"].count() > 0
