@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.components import connected_components
+from ledgerwatch.llm.minhash import SIMILAR, WIDTH, node_of, similar_links
 from ledgerwatch.llm.text import columns_of, map_batches, words_of
 from ledgerwatch.session import stored
 
@@ -101,13 +102,20 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
 
-    Rows that repeat that id are cut to one; rows without an id stay, as they can't be told apart.
+    Texts link at a Jaccard similarity of ``threshold`` or more between their sets of ``width``-word shingles
+    (the query's fingerprints are not used). Rows that repeat the smallest id are cut to one; rows
+    without an id stay, as they can't be told apart.
     """
-    found = near_duplicates(docs, id_col, text_col)
-    kept = found.where(F.col(id_col) == F.col("component_id")).groupBy(id_col).agg(F.count("*").alias("rows_of_id"))
+    groups = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id")).groupBy("node").agg(F.min("id").alias("first_id"))
+    groups = stored(groups, "groups")
+    parts = stored(connected_components(similar_links(docs, text_col, width, threshold)), "parts")
+    tops = groups.join(parts, "node").groupBy("label").agg(F.min("first_id").alias("top"))
+    found = groups.join(parts.join(tops, "label").select("node", "top"), "node", "left").select("node", F.coalesce("top", "first_id").alias("top"))
+    rows = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id"))
+    kept = rows.join(found, "node").where("id = top").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("rows_of_id"))
     kept = stored(kept, "kept")
     once = docs.join(kept.where("rows_of_id = 1").select(id_col), id_col, "left_semi")
     repeated = docs.join(kept.where("rows_of_id > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
