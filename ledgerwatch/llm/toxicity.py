@@ -156,10 +156,13 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The two models and the coefficients that turn ``evidence`` into a probability; None with fewer than two classes.
 
     Of the labelled rows outside fold ``held``, up to ``sample`` of each class are read: those with the least
-    hash of the id. Three quarters are counted, the rest sets the coefficients.
+    hash of the id. Three quarters are counted, the rest sets the coefficients, where each text stands for as
+    many as its class has labelled rows for a row read: so the constant keeps the labels' class shares at any size.
     """
     wanted = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where((remainder("i", folds) != held) & F.col("y").isin(0, 1)).groupBy("i").agg(F.max("y").alias("y"))
     picked = wanted.withColumn("h", F.xxhash64(F.col("i").cast("string"), F.lit("toxic")))
+    totals = {r.y: r["count"] for r in wanted.groupBy("y").count().collect()}
+    weight = np.array([max(1.0, totals.get(y, 0) / sample) for y in (0, 1)])
     rows = []
     for y in (0, 1):
         some = picked.where(F.col("y") == y).orderBy("h").limit(sample)
@@ -176,7 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = KneserNey([t for t, c in zip(texts, count) if c and len(t)], np.array([r[1] for r, c in zip(rows, count) if c and len(r[2])]))
     use = ~count if len(set(y[~count])) == 2 else count
     x = np.array([evidence_of(model, t) for t, u in zip(texts, use) if u])
-    beta = logistic(x, y[use].astype(float), np.ones(use.sum()))
+    weights = weight[y[use]]
+    beta = logistic(x, y[use].astype(float), weights / weights.mean())
     return model, beta
 
 

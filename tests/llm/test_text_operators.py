@@ -241,6 +241,15 @@ def test_toxicity_on_held_out_texts(spark):
     assert set(score_toxicity(docs, labels.limit(0)).toPandas().score) == {0.0}
 
 
+def test_toxicity_keeps_class_shares_at_any_sample(spark):
+    """A word of all toxic texts and of 30 % of the ordinary ones, eight times as many: likelier ordinary than toxic."""
+    texts = [f"{prose(k, 12)} {'grumble' if k % 9 == 0 or k % 10 < 3 else 'rumble'} {prose(k + 5000, 12)}" for k in range(2000)]
+    docs = table(spark, texts)
+    labels = spark.createDataFrame([(k, 1, int(k % 9 == 0)) for k in range(2000)], "doc_id long, quality int, toxic int")
+    shares = [score_toxicity(docs, labels, sample=n).agg(F.avg("predicted"), F.avg("score")).first() for n in (150, 4000)]
+    assert abs(shares[0][0] - shares[1][0]) < 0.05 and abs(shares[0][1] - shares[1][1]) < 0.06
+
+
 def test_secrets_by_ownership(spark):
     key, shared = "a1B2c3D4e5F6g7H8i9J0k1L2m3", "q9W8e7R6t5Y4u3I2o1P0a9S8d7"
     texts = ["password: hunter22 API_KEY='abcdefgh'", "token=short", f"AKIA{'A1' * 8} {'0f' * 20}", f"see {key} here", *[f"example {shared} is public"] * 8, None, "", "ſecret=abcdefghij é token = zzzzzzzzz"]
