@@ -1,4 +1,4 @@
-"""Benchmark passages in training texts: rare n-gram seeds, then local alignment."""
+"""Benchmark passages in training texts: n-gram seeds, then local alignment."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.text import columns_of, words_of
@@ -103,18 +103,6 @@ def passages_of(benchmark: DataFrame, id_col: str = "item_id", text_col: str = "
     return rows.mapInArrow(run, f"item {kind}, part int, words string, seeds array<bigint>").where("size(seeds) > 0")
 
 
-def _rarest(seeds: DataFrame, counts: DataFrame, n: int) -> DataFrame:
-    """``seed``, ``item``, ``part``: of every ``n`` neighbouring seeds of a passage those that the fewest texts have.
-
-    A seed's least count of any stretch it lies in can't exceed its own; it is kept if one equals it.
-    """
-    weighed = seeds.join(counts, "seed", "left").withColumn("c", F.coalesce("in_texts", F.lit(0)))
-    order = Window.partitionBy("item", "part").orderBy("at")  # at most PASSAGE rows
-    stretch = weighed.withColumn("least", F.min("c").over(order.rowsBetween(0, n - 1)))
-    kept = stretch.withColumn("most", F.max("least").over(order.rowsBetween(1 - n, 0)))
-    return kept.where("c > 0 AND most = c").select("seed", "item", "part").distinct()
-
-
 def _filter_bits(seeds: DataFrame) -> bytes:
     """One bitmap with the low bits of every seed, joined from one bitmap a partition; its size is fixed."""
     mask = FILTER_BITS - 1
@@ -168,9 +156,15 @@ def _encoded(words: str) -> np.ndarray:
     return np.fromiter(map(_HASHES.__getitem__, words.encode().split()), np.uint64)
 
 
-def _aligned(pairs: DataFrame) -> DataFrame:
+def _may_reach(item: np.ndarray, window: np.ndarray, threshold: float) -> bool:
+    """Whether enough of the item's words stand in the window at all: a score is at most that of all of them in order."""
+    return np.isin(item, window).sum() >= threshold * len(item)
+
+
+def _aligned(pairs: DataFrame, threshold: float) -> DataFrame:
     def run(frames):
         for frame in frames:
+            frame = frame[[_may_reach(_encoded(i), _encoded(w), threshold) for i, w in zip(frame.item_words, frame.window)]]
             found = [alignment(_encoded(i), _encoded(w)) for i, w in zip(frame.item_words, frame.window)]
             yield pd.DataFrame({"print": frame.print, "item": frame.item, "part": frame.part, "score": [f[0] for f in found], "a": [f[1] for f in found], "b": [f[2] for f in found], "size": [len(_encoded(i)) for i in frame.item_words]})
 
@@ -181,29 +175,28 @@ def _aligned(pairs: DataFrame) -> DataFrame:
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", n: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
     """Training passages that copy a test item: id, item, ``similarity`` and the passage's words ``begin`` to ``end``.
 
-    A seed is a run of ``n`` words of an item. Of each stretch of ``n`` neighbouring seeds of an item the
-    rarest in the corpus is kept (counted over all windows; ties all stay), so an item has seeds however
-    common its words or its copies are, and every run of 2n - 1 untouched words holds one. Texts that
-    share a seed are aligned with the item by Smith-Waterman over words; the score divided by that of
-    an untouched copy must reach ``threshold``. Edits, insertions and gaps inside the passage are met.
+    A seed is a run of ``n`` words of an item, and all seeds count, however common. Windows of texts that share
+    any seed with an item are aligned with it by Smith-Waterman over words, unless too few of the item's
+    words stand in the window for any alignment to do; the score divided by that of an untouched copy must
+    reach ``threshold``. Edits, insertions and gaps inside the passage are met; a copy without ``n`` untouched
+    words in a row is not.
 
     One row for each id and item, with the best passage. Null or empty texts and items of fewer than
     ``n`` words take no part; repeated rows give one row for each id; a null id can't be reported and is
     left out; an empty benchmark or corpus gives an empty result.
     """
     passages = stored(passages_of(benchmark, item_id_col, item_text_col, n), "passages")
-    seeds = passages.select("item", "part", F.posexplode("seeds").alias("at", "seed"))
+    seeds = passages.select("item", "part", F.explode(F.array_distinct("seeds")).alias("seed"))
     longest = int(passages.agg(F.coalesce(F.max(F.size("seeds")), F.lit(1))).first()[0]) + n
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(seeds))
     hits = stored(seed_hits(docs.where(F.col(id_col).isNotNull()), bits, id_col, text_col, longest, n), "hits")
 
     # equal windows (copied passages) are searched and aligned once
-    windows = stored(hits.groupBy("print").agg(F.first("window").alias("window"), F.first("seeds").alias("seeds"), F.count("*").alias("copies")), "windows")
-    runs = windows.select("print", "copies", F.explode("seeds").alias("seed"))
-    counts = runs.groupBy("seed").agg(F.sum("copies").alias("in_texts"))
-    pairs = runs.join(_rarest(seeds, counts, n), "seed").select("print", "item", "part").distinct()
+    windows = stored(hits.groupBy("print").agg(F.first("window").alias("window"), F.first("seeds").alias("seeds")), "windows")
+    runs = windows.select("print", F.explode("seeds").alias("seed"))
+    pairs = runs.join(seeds, "seed").select("print", "item", "part").distinct()
     pairs = pairs.join(passages.select("item", "part", F.col("words").alias("item_words")), ["item", "part"]).join(windows.select("print", "window"), "print")
-    found = _aligned(pairs.repartition("print", "item", "part")).withColumn("similarity", F.col("score") / (F.lit(float(_MATCH)) * F.col("size"))).where(F.col("similarity") >= threshold)
+    found = _aligned(pairs.repartition("print", "item", "part"), threshold).withColumn("similarity", F.col("score") / (F.lit(float(_MATCH)) * F.col("size"))).where(F.col("similarity") >= threshold)
     placed = found.join(hits.select("print", "doc", "offset"), "print")
     best = placed.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-(F.col("offset") + F.col("a"))).alias("from"), (F.col("offset") + F.col("b")).alias("to"))).alias("best"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.from")).alias("begin"), F.col("best.to").alias("end"))

@@ -164,6 +164,22 @@ def test_leaks_copied_and_edited(spark):
     assert find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_densely_edited_leaks_as_by_brute_force(spark):
+    """A word changed in every 5 to 7, the last one too, so that no run of 2n - 1 words is untouched."""
+    items = [prose(600 + k, 42) for k in range(9)]
+    texts = []
+    for k, item in enumerate(items):
+        every = 5 + k % 3
+        words = [f"new{k}x{i}" if i % every == 41 % every else w for i, w in enumerate(item.split())]
+        texts.append(f"{prose(700 + k, 30)} {' '.join(words)} {prose(800 + k, 30)}")
+    code = {}
+    encode = lambda text: np.array([code.setdefault(w, len(code)) for w in text.lower().split()])
+    want = {(i, k) for i, t in enumerate(texts) for k, item in enumerate(items) if alignment(encode(item), encode(t))[0] >= 0.6 * 2 * 42}
+    assert len(want) == 9
+    found = find_leaks(table(spark, texts), spark.createDataFrame(list(enumerate(items)), "item_id long, text string"))
+    assert {(r.doc_id, r.item_id) for r in found.collect()} == want
+
+
 def test_alignment_is_smith_waterman():
     rng = np.random.default_rng(0)
     for _ in range(60):
