@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerwatch.llm.harmonic import harmonic_sequences
 from ledgerwatch.llm.language_model import score_texts
 from ledgerwatch.llm.leaks import find_leaks
 from ledgerwatch.llm.packing import packed_documents
@@ -16,6 +17,7 @@ from ledgerwatch.llm.secrets import scan_secrets
 from ledgerwatch.llm.simhash import near_duplicates
 from ledgerwatch.llm.tokens import count_tokens
 from ledgerwatch.llm.toxicity import score_toxicity
+from ledgerwatch.llm.trie import prefix_trie, turn_sequences
 from ledgerwatch.llm.urls import judge_urls
 from ledgerwatch.llm.weak_labels import score_quality
 
@@ -95,6 +97,25 @@ def quality_scores(spark: SparkSession, folder: str) -> DataFrame:
     return score_quality(_table(spark, folder, "documents"))
 
 
+def rebuilt(sequences: DataFrame) -> DataFrame:
+    """Conversations that begin with the first h turns of the one whose id is the next smaller multiple of five."""
+    h = (F.crc32(F.col("conv_id").cast("string")) % 9).cast("int")
+    first = sequences.where("conv_id % 5 = 0").select(F.col("conv_id").alias("first_id"), F.slice("turns", 1, 8).alias("head"))
+    both = sequences.withColumn("h", h).join(first, F.col("first_id") == F.col("conv_id") - F.col("conv_id") % 5, "left")
+    own = F.slice("turns", F.col("h") + 1, F.greatest(F.size("turns") - F.col("h"), F.lit(0)))
+    head = F.when(F.col("head").isNull(), F.slice("turns", 1, 0)).otherwise(F.slice("head", F.lit(1), F.col("h")))
+    return both.select("conv_id", F.concat(head, own).alias("turns"))
+
+
+def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(rebuilt(turn_sequences(_table(spark, folder, "conversations"))))
+
+
+def harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _table(spark, folder, "documents")
+    return harmonic_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("ids")
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_simhash": near_copies,
@@ -107,6 +128,8 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_toxicity": toxicity,
         "op9_secrets": secret_spans,
         "op10_weak_labels": quality_scores,
+        "op11_prefix_trie": conversation_trie,
+        "op13_harmonic": harmonic_packing,
     }
 
 
@@ -180,7 +203,40 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM judged
 """
 
+_OP11 = r"""
+WITH turns AS (
+  SELECT conv_id AS c, turn, {'role': coalesce(role, ''), 'text': coalesce(text, '')} AS t FROM conversations WHERE conv_id IS NOT NULL
+), original AS (
+  SELECT c, list(t ORDER BY turn NULLS FIRST, t) AS l FROM turns GROUP BY c
+), hashed AS (
+  SELECT c, l,
+         xor(4294967295, list_reduce(
+           list_transform(range(1, length(CAST(c AS VARCHAR)) + 1), lambda i: CAST(ascii(substr(CAST(c AS VARCHAR), i, 1)) AS BIGINT)),
+           lambda a, b: list_reduce(CAST(range(8) AS BIGINT[]), lambda x, k: xor(x >> 1, 3988292384 * (x & 1)), xor(a, b)),
+           4294967295::BIGINT)) % 9 AS h
+  FROM original
+), built AS (
+  SELECT o.c, list_concat(coalesce(p.l, [])[1:o.h], o.l[o.h + 1:]) AS l FROM hashed o LEFT JOIN original p ON p.c = o.c - o.c % 5
+), begun AS (
+  SELECT c, l, unnest(range(0, len(l) + 1)) AS d FROM built
+), nodes AS (
+  SELECT l[1:d] AS p, d, min(c) AS conv_id, count(*) AS n,
+         sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len(l) = d), '')) AS ends
+  FROM begun GROUP BY l[1:d], d
+), children AS (
+  SELECT p[1:d - 1] AS p, count(*) AS n FROM nodes WHERE d > 0 GROUP BY p[1:d - 1]
+), each AS (
+  SELECT n.p, n.d, CASE WHEN c.n IS NULL THEN 1 ELSE 0 END AS leaf, CASE WHEN n.d = 0 THEN 0 ELSE (n.n - 1) * strlen(n.p[n.d].text) END AS saved
+  FROM nodes n LEFT JOIN children c ON c.p = n.p
+), above AS (
+  SELECT p[1:k] AS p, sum(leaf) AS leaves, sum(saved) AS saved FROM (SELECT *, unnest(range(0, d + 1)) AS k FROM each) GROUP BY p[1:k]
+)
+SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.n AS n_convs, coalesce(c.n, 0) AS n_children,
+       CAST(a.leaves AS BIGINT) AS n_leaves, CAST(a.saved AS BIGINT) AS saved_tokens, n.ends AS ends_sha256
+FROM nodes n JOIN above a ON a.p = n.p LEFT JOIN children c ON c.p = n.p LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
+"""
+
 
 def llm_statements() -> dict[str, str]:
     """The others need a tokenizer, XXH64, a trained model or places of matches; tests hold them against brute force."""
-    return {"op4_urls": _OP4, "op5_quality": _OP5}
+    return {"op4_urls": _OP4, "op5_quality": _OP5, "op11_prefix_trie": _OP11}
