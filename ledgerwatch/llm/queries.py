@@ -12,6 +12,7 @@ from ledgerwatch.llm.harmonic import harmonic_sequences
 from ledgerwatch.llm.language_model import score_texts
 from ledgerwatch.llm.leaks import find_leaks
 from ledgerwatch.llm.packing import packed_documents
+from ledgerwatch.llm.phrases import collocations
 from ledgerwatch.llm.quality import MEASURES, ledger, passes
 from ledgerwatch.llm.secrets import scan_secrets
 from ledgerwatch.llm.simhash import near_duplicates
@@ -111,6 +112,10 @@ def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(rebuilt(turn_sequences(_table(spark, folder, "conversations"))))
 
 
+def phrases(spark: SparkSession, folder: str) -> DataFrame:
+    return collocations(_table(spark, folder, "documents"))
+
+
 def harmonic_packing(spark: SparkSession, folder: str) -> DataFrame:
     docs = _table(spark, folder, "documents")
     return harmonic_sequences(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")).drop("ids")
@@ -129,6 +134,7 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_secrets": secret_spans,
         "op10_weak_labels": quality_scores,
         "op11_prefix_trie": conversation_trie,
+        "op12_collocations": phrases,
         "op13_harmonic": harmonic_packing,
     }
 
@@ -236,7 +242,43 @@ SELECT n.conv_id, CAST(n.d AS BIGINT) AS depth, up.conv_id AS parent_conv_id, n.
 FROM nodes n JOIN above a ON a.p = n.p LEFT JOIN children c ON c.p = n.p LEFT JOIN nodes up ON n.d > 0 AND up.d = n.d - 1 AND up.p = n.p[1:n.d - 1]
 """
 
+_OP12 = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents
+), words AS (
+  SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces
+), grams AS (
+  SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS g FROM words, (VALUES (1), (2), (3)) AS sizes(k)
+), f AS (
+  SELECT lang, k, g, count(*) AS c FROM grams GROUP BY lang, k, g
+), sizes AS (
+  SELECT lang, CAST(sum(c) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang
+), candidates AS (
+  SELECT lang, k, g, c AS a, string_split(g, ' ') AS w FROM f WHERE k > 1 AND c >= 10
+), inside AS (
+  SELECT lang, part, max(a) AS most
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
+), cuts AS (
+  SELECT c.lang, c.k, c.g, c.a, unnest(range(1, c.k)) AS at, c.w
+  FROM candidates c LEFT JOIN inside i ON c.k = 2 AND i.lang = c.lang AND i.part = c.g
+  WHERE i.most IS NULL OR 100 * i.most < 50 * c.a
+), scored AS (
+  SELECT c.lang, c.g, c.a, c.at, l.c AS l, r.c AS r,
+         CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.c AS HUGEINT) * r.c) AS BIGINT) AS score
+  FROM cuts c
+  JOIN f l ON l.lang = c.lang AND l.k = c.at AND l.g = array_to_string(c.w[1:c.at], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - c.at AND r.g = array_to_string(c.w[c.at + 1:], ' ')
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, at) = 1
+)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
+FROM lowest s JOIN sizes USING (lang)
+QUALIFY rank <= 2000
+"""
+
 
 def llm_statements() -> dict[str, str]:
     """The others need a tokenizer, XXH64, a trained model or places of matches; tests hold them against brute force."""
-    return {"op4_urls": _OP4, "op5_quality": _OP5, "op11_prefix_trie": _OP11}
+    return {"op4_urls": _OP4, "op5_quality": _OP5, "op11_prefix_trie": _OP11, "op12_collocations": _OP12}
