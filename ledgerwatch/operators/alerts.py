@@ -9,11 +9,12 @@ from pyspark.sql import functions as F
 
 from ..functions import ratio, round_half_up
 from ..schema import ALERT
-from .skew import hot_limit, join_per_key
 
 # fixed values: number of each alert type inside the ids of one transaction
 TYPE_NUMBER = {"HIGH_AMOUNT": 0, "IQR_OUTLIER": 1, "ROLLING_DEVIATION": 2, "Z_SCORE": 3, "Z_SCORE_AUTO": 4}
 IDS_PER_TRANSACTION = 16
+# what the reports ask of an alert's transaction
+CARRIED = ["transaction_day", "transaction_type", "amount", "old_balance_orig", "new_balance_orig"]
 CORE = ["transaction_id", "customer_id", "alert_type", "severity", "alert_description", "detection_method"]
 
 
@@ -28,7 +29,7 @@ def z_severity(z: Column) -> Column:
 
 
 def statistical_alerts(flags: DataFrame) -> DataFrame:
-    """One alert per (row, method) from the output of ``detector_flags``; every row, no cap.
+    """One alert per (row, method) from the output of ``detector_flags``; every row, no cap, with what reports need of the row.
 
     A row fans out into its alerts in place, so the three kinds need one pass and no union.
     """
@@ -63,7 +64,7 @@ def statistical_alerts(flags: DataFrame) -> DataFrame:
             "PYTHON_ROLLING",
         ),
     )
-    return flags.select("transaction_id", "customer_id", F.inline(F.array_compact(candidates))).select(CORE)
+    return flags.select("transaction_id", "customer_id", F.inline(F.array_compact(candidates)), *CARRIED).select(*CORE, *CARRIED)
 
 
 def first_per_type(alerts: DataFrame, n: int = 500) -> DataFrame:
@@ -90,6 +91,7 @@ def batch_zscore_alerts(scored: DataFrame) -> DataFrame:
             F.lit("Auto-detected: Z-score="), money_text(round_half_up(z, 2)), F.lit(", Amount="), money_text("amount")
         ).alias("alert_description"),
         F.lit("PYTHON_AUTO_ZSCORE").alias("detection_method"),
+        *CARRIED,
     )
 
 
@@ -98,10 +100,10 @@ def high_amount_alerts(
     dim: DataFrame,
     threshold: float = 5.0,
     existing: DataFrame | None = None,
-    hot_above: float | None = None,
 ) -> DataFrame:
     """Amounts above threshold times the customer's average (customers with three or more transactions).
 
+    ``dim`` is a stored table, so that adaptive execution can split the rows of a very busy customer.
     Transactions that already have such an alert are left out. The two upper severities can only
     arise when the customer row is older than the transaction.
     """
@@ -111,10 +113,9 @@ def high_amount_alerts(
     customers = dim.filter(F.col("total_transactions") >= 3).select(
         "customer_id", "total_transactions", "avg_transaction", "max_transaction"
     )
-    limit = hot_limit(fact) if hot_above is None else hot_above
-    rows = fact.select("transaction_id", "customer_id", "amount")
+    rows = fact.select("transaction_id", "customer_id", *CARRIED)
     found = (
-        join_per_key(rows, customers, ["customer_id"], "total_transactions", limit, "inner")
+        rows.join(customers, "customer_id")
         .filter(amount > avg * F.lit(float(threshold)))
         .select(
             "transaction_id",
@@ -131,12 +132,13 @@ def high_amount_alerts(
                 F.lit("%"),
             ).alias("alert_description"),
             F.lit("SQL_HIGH_AMOUNT").alias("detection_method"),
+            *CARRIED,
         )
     )
     if existing is None:
         return found
     known = existing.filter((F.col("alert_type") == "HIGH_AMOUNT") & F.col("transaction_id").isNotNull()).select("transaction_id")
-    return found.join(known, "transaction_id", "left_anti").select(CORE)
+    return found.join(known, "transaction_id", "left_anti").select(*CORE, *CARRIED)
 
 
 def alert_ids(alerts: DataFrame) -> DataFrame:
@@ -156,6 +158,7 @@ def as_alert_rows(alerts: DataFrame, as_of: dt.datetime) -> DataFrame:
         F.lit(0).alias("reviewed"),
         F.lit(None).cast("int").alias("false_positive"),
         F.lit(None).cast("string").alias("reviewer_notes"),
+        *CARRIED,
     ).to(ALERT)
 
 

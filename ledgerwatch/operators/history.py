@@ -1,9 +1,8 @@
-"""Statistics of the rows before each row of the same customer.
+"""Statistics of the rows before each row of the same customer, by one plan at every size.
 
-A customer's history is ordered by (step, transaction_id). Ordinary customers go through a plain
-window. A customer with very many rows would put all of them into one task, so such histories are
-cut into blocks of fixed length that carry the last rows of the block before; every block is then
-its own window partition and the result is the same to the row.
+A customer's history is ordered by (step, transaction_id). All rows are range-partitioned by customer and
+history and stored, so a customer with very many rows lies in several parts. Every part is then a window
+partition of its own that is handed the last rows before it, and the result is the same to the row.
 """
 
 from __future__ import annotations
@@ -12,55 +11,53 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
-from .skew import HOT_MAX_KEYS, HOT_MIN_ROWS, hot_limit
 
-BLOCK_ROWS = 1_000_000
+HISTORY = ["customer_id", "step", "transaction_id"]
+ROWS_A_PART = 1_000_000
 
 
-def hot_customers(fact: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> DataFrame | None:
-    """Customers with more rows than one task should hold, or None where there are none.
+def parts_of(rows: DataFrame, parts: int | None = None, rows_a_part: int = ROWS_A_PART) -> int:
+    """Number of parts for a range partitioning: at least the shuffle setting, no part with much more than ``rows_a_part`` rows."""
+    if parts is not None:
+        return parts
+    return max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows.count() // rows_a_part))
 
-    There are fewer than max_keys of them, so the result is safe to broadcast at any data size. It
-    is found by one counting pass and stored; a table of at most min_rows needs no pass.
+
+def in_parts(rows: DataFrame, order: list[str], parts: int, label: str = "parts") -> DataFrame:
+    """rows range-partitioned by ``order`` into ``_part`` 0, 1, ... and stored.
+
+    Range bounds are sampled, so the parts are only fixed once they are written.
     """
-    limit = hot_limit(fact, min_rows, max_keys)
-    if limit is None:
-        return None
-    counted = (
-        fact.groupBy("customer_id")
-        .agg(
-            F.count(F.lit(1)).alias("hot_rows"),
-            F.avg("amount").cast("double").alias("cust_mean"),
-            F.stddev_samp("amount").alias("cust_std"),
-        )
-        .filter(F.col("hot_rows") > limit)
-    )
-    hot = stored(counted, "hot-customers")
-    return None if hot.isEmpty() else hot
-
-
-def _positions(rows: DataFrame, hot: DataFrame, block_rows: int) -> DataFrame:
-    """Rows of hot customers with their 0-based position in the customer's history.
-
-    Rows are counted per (customer, step, slice), a slice being block_rows neighbouring ids. Ids are
-    unique, so no slice holds more rows than a block, however the ids of a customer lie. Running sums
-    over the counts give every slice its first position; rows are numbered inside their slice only.
+    placed = rows.repartitionByRange(parts, *order).withColumn("_part", F.spark_partition_id())
+    return stored(placed, label)
+
+
+def carried_rows(placed: DataFrame, length: int, order: list[str] = HISTORY) -> DataFrame:
+    """The last ``length`` rows of a part's first key that lie in earlier parts, under that part's number.
+
+    The rows that matter are the last ones of each part: ``length`` of them for every part, whatever the
+    part's size. One line per part tells its first key; among both, the rows before that line are the ones
+    to hand over, also where they come from several short parts.
     """
-    sliced = rows.join(F.broadcast(hot), "customer_id").withColumn("_slice", F.expr(f"transaction_id div {block_rows}"))
-    cells = stored(sliced.groupBy("customer_id", "step", "_slice").agg(F.count(F.lit(1)).alias("_n")), "history-cells")
-    by_step = Window.partitionBy("customer_id").orderBy("step")
-    by_slice = Window.partitionBy("customer_id", "step").orderBy("_slice")
-    steps = (
-        cells.groupBy("customer_id", "step")
-        .agg(F.sum("_n").alias("_step_n"))
-        .select("customer_id", "step", (F.sum("_step_n").over(by_step) - F.col("_step_n")).alias("_steps_before"))
-    )
-    firsts = cells.select(
-        "customer_id", "step", "_slice", (F.sum("_n").over(by_slice) - F.col("_n")).alias("_slices_before")
-    ).join(steps, ["customer_id", "step"])
-    inside = Window.partitionBy("customer_id", "step", "_slice").orderBy("transaction_id")
-    position = F.col("_steps_before") + F.col("_slices_before") + F.row_number().over(inside) - 1
-    return sliced.join(firsts, ["customer_id", "step", "_slice"]).withColumn("_pos", position.cast("long"))
+    key, columns = order[0], placed.columns
+    newest = Window.partitionBy("_part").orderBy(*[F.col(c).desc() for c in order])
+    last = placed.withColumn("_place", F.row_number().over(newest)).filter(F.col("_place") <= length)
+    edges = placed.groupBy("_part").agg(F.min(F.struct(*order))[key].alias("_low"), F.max(F.struct(*order))[key].alias("_high"))
+    tails = last.join(edges.select("_part", "_high"), "_part").filter(F.col(key).eqNullSafe(F.col("_high")))
+    row = F.struct(*[c for c in columns if c != "_part"])
+    lines = tails.select(F.col(key).alias("_key"), "_part", F.lit(1).alias("_kind"), (-F.col("_place")).alias("_place"), row.alias("_row"))
+    nothing = F.lit(None).cast(lines.schema["_row"].dataType)
+    heads = edges.select(F.col("_low").alias("_key"), "_part", F.lit(0).alias("_kind"), F.lit(0).alias("_place"), nothing.alias("_row"))
+    # between two rows there is one head at most, as every part before the last brings a row
+    before = Window.partitionBy("_key").orderBy("_part", "_kind", "_place").rowsBetween(-2 * length, -1)
+    handed = lines.unionByName(heads).withColumn("_rows", F.collect_list("_row").over(before)).filter(F.col("_kind") == 0)
+    return handed.select("_part", F.explode(F.slice(F.reverse("_rows"), 1, length)).alias("_row")).select("_part", "_row.*")
+
+
+def split_keys(placed: DataFrame, key: str = "customer_id") -> DataFrame:
+    """Keys that lie in several parts: fewer than there are parts."""
+    edges = placed.groupBy("_part").agg(F.min(F.struct(key))[key].alias("low"), F.max(F.struct(key))[key].alias("high"))
+    return edges.select(F.explode(F.array_distinct(F.array("low", "high"))).alias(key)).groupBy(key).agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1").select(key)
 
 
 def _stats(window, length: int) -> dict[str, Column]:
@@ -73,43 +70,32 @@ def _stats(window, length: int) -> dict[str, Column]:
     }
 
 
-def with_prior_stats(
-    fact: DataFrame,
-    length: int = 10,
-    with_totals: bool = False,
-    min_rows: int = HOT_MIN_ROWS,
-    max_keys: int = HOT_MAX_KEYS,
-    block_rows: int = BLOCK_ROWS,
-) -> DataFrame:
+def with_prior_stats(fact: DataFrame, length: int = 10, with_totals: bool = False, parts: int | None = None, earlier: DataFrame | None = None) -> DataFrame:
     """Every row of fact plus count, mean and both deviations over the ``length`` rows before it.
 
-    ``with_totals`` adds cust_mean and cust_std (sample) over the customer's whole history.
+    ``with_totals`` adds cust_mean and cust_std (sample) over the customer's whole history. ``earlier`` has
+    rows of the same columns that lie before all rows of fact in their customer's history: they are
+    counted as history and not returned. Rows without a customer are one history.
     """
-    if block_rows < length:
-        raise ValueError("a block must be at least as long as the window")
     columns = list(fact.columns)
-    history = Window.partitionBy("customer_id").orderBy("step", "transaction_id")
-    new = _stats(history, length)
+    rows = fact.withColumn("_known", F.lit(False))
+    if earlier is not None:
+        rows = rows.unionByName(earlier.select(columns).withColumn("_known", F.lit(True)))
+    placed = in_parts(rows, HISTORY, parts_of(rows, parts), "histories")
+    handed = carried_rows(placed, length).withColumn("_known", F.lit(True)).withColumn("_handed", F.lit(True))
+    history = Window.partitionBy("_part", "customer_id").orderBy("step", "transaction_id")
+    found = placed.withColumn("_handed", F.lit(False)).unionByName(handed).withColumns(_stats(history, length))
     if with_totals:
-        whole = history.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-        new["cust_mean"] = F.avg("amount").over(whole).cast("double")
-        new["cust_std"] = F.stddev_samp("amount").over(whole)
-
-    hot = hot_customers(fact, min_rows, max_keys)
-    if hot is None:
-        return fact.withColumns(new)
-
-    cold = fact.join(F.broadcast(hot.select("customer_id")), "customer_id", "left_anti").withColumns(new)
-    own = F.expr(f"_pos div {block_rows}")
-    home = F.struct(own.alias("block"), F.lit(False).alias("carried"))
-    next_one = F.struct((own + 1).alias("block"), F.lit(True).alias("carried"))
-    near_end = F.col("_pos") % block_rows >= block_rows - length
-    in_block = Window.partitionBy("customer_id", "_copy.block").orderBy("_pos")
-    blocks = (
-        _positions(fact, hot, block_rows)
-        .withColumn("_copy", F.explode(F.when(near_end, F.array(home, next_one)).otherwise(F.array(home))))
-        .withColumns(_stats(in_block, length))
-        .filter(~F.col("_copy.carried"))
-    )
-    kept = [*columns, *new]
-    return cold.select(kept).unionByName(blocks.select(kept))
+        own = F.when(~F.col("_handed"), F.col("amount"))
+        whole = Window.partitionBy("_part", "customer_id")
+        found = found.withColumns({"cust_mean": F.avg(own).over(whole).cast("double"), "cust_std": F.stddev_samp(own).over(whole)})
+        # customers in several parts: fewer than parts, so their totals may be sent everywhere
+        split = split_keys(placed).withColumnRenamed("customer_id", "_customer")
+        same = F.col("customer_id").eqNullSafe(F.col("_customer"))
+        totals = placed.select("customer_id", "amount").join(F.broadcast(split), same, "left_semi").groupBy("customer_id")
+        totals = totals.agg(F.avg("amount").cast("double").alias("_mean"), F.stddev_samp("amount").alias("_std"))
+        totals = totals.withColumnRenamed("customer_id", "_customer").withColumn("_split", F.lit(True))
+        found = found.join(F.broadcast(totals), same, "left")
+        found = found.withColumns({name: F.when(F.col("_split"), F.col(whole_one)).otherwise(F.col(name)) for name, whole_one in (("cust_mean", "_mean"), ("cust_std", "_std"))})
+    new = ["prior_n", "prior_avg", "prior_std_pop", "prior_std_samp", *(["cust_mean", "cust_std"] if with_totals else [])]
+    return found.filter(~F.col("_known")).select(*columns, *new)

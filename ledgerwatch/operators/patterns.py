@@ -5,16 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .skew import hot_limit, join_per_key
+from .skew import join_lines
 
 
-def pass_through(fact: DataFrame, steps: int = 3, hot_above: float | None = None) -> DataFrame:
+def pass_through(fact: DataFrame, steps: int = 3) -> DataFrame:
     """Cash-outs within ``steps`` steps after the customer received transfers.
 
     Transfers are summed per (recipient, step) before they meet a cash-out, and each sum is carried
     forward to the steps it reaches. A cash-out therefore joins at most one row, whatever the
-    number of transfers: no pairs are formed, and the range join becomes an equi-join. Where one
-    customer and step holds more cash-outs than a task should, they are spread over tasks.
+    number of transfers: no pairs are formed, and the range join becomes an equi-join.
     """
     inbound = (
         fact.filter(F.col("transaction_type") == "TRANSFER")
@@ -31,10 +30,7 @@ def pass_through(fact: DataFrame, steps: int = 3, hot_above: float | None = None
         )
     )
     cash = fact.filter(F.col("transaction_type") == "CASH_OUT").select("transaction_id", "customer_id", "step", "amount", "is_fraud")
-    keys = ["customer_id", "step"]
-    reached = cash.groupBy(*keys).agg(F.count(F.lit(1)).alias("cash_outs")).join(reach, keys)
-    limit = hot_limit(fact) if hot_above is None else hot_above
-    return join_per_key(cash, reached, keys, "cash_outs", limit, "inner").select(
+    return join_lines(cash, reach, ["customer_id", "step"], "inner").select(
         "transaction_id",
         "customer_id",
         "step",

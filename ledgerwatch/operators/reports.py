@@ -9,9 +9,6 @@ from ..functions import level_rank, mean_amount, percent, ratio, round_half_up,
 from ..functions.conditions import is_fraud, is_outflow, n_rows
 from ..schema import LEVELS
 from .dimensions import dim_transaction_types
-from .skew import hot_limit, join_per_key
-
-
 
 def _count_type(*kinds: str) -> Column:
     return F.count_if(F.col("transaction_type").isin(*kinds))
@@ -67,13 +64,11 @@ def type_breakdown_by_day(fact: DataFrame) -> DataFrame:
     )
 
 
-def alert_summary(alerts: DataFrame, fact: DataFrame) -> DataFrame:
+def alert_summary(alerts: DataFrame) -> DataFrame:
     """Alerts per type and severity with review figures and the average amount behind them."""
     judged = F.count("false_positive")
     return (
-        alerts.select("transaction_id", "alert_type", "severity", "reviewed", "false_positive")
-        .join(fact.select("transaction_id", "amount"), "transaction_id", "left")
-        .groupBy("alert_type", "severity")
+        alerts.groupBy("alert_type", "severity")
         .agg(
             n_rows().alias("total_alerts"),
             F.count_if(F.col("reviewed") == 1).alias("reviewed_count"),
@@ -126,14 +121,16 @@ def compliance_scorecard(fact: DataFrame, alerts: DataFrame, dim: DataFrame) ->
     return transactions.crossJoin(F.broadcast(alerting)).crossJoin(F.broadcast(tiers))
 
 
-def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20, hot_above: float | None = None) -> DataFrame:
-    """Transactions of CRITICAL and HIGH customers, ranked by score, type weight and size against the average."""
+def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20) -> DataFrame:
+    """Transactions of CRITICAL and HIGH customers, ranked by score, type weight and size against the average.
+
+    ``dim`` is a stored table, so that adaptive execution can split the rows of a very busy customer.
+    """
     risky = dim.filter(F.col("risk_tier").isin("CRITICAL", "HIGH")).select(
         "customer_id",
         F.col("risk_tier").alias("customer_risk_tier"),
         F.col("risk_score").alias("customer_risk_score"),
         "avg_transaction",
-        "total_transactions",
     )
     weights = dim_transaction_types(fact.sparkSession).select(
         F.col("type_name").alias("transaction_type"), F.col("risk_weight").alias("type_risk_weight")
@@ -145,7 +142,7 @@ def review_queue(fact: DataFrame, dim: DataFrame, limit: int | None = 20, hot_ab
         2,
     )
     ranked = (
-        join_per_key(fact, risky, ["customer_id"], "total_transactions", hot_limit(fact) if hot_above is None else hot_above, "inner")
+        fact.join(risky, "customer_id")
         .join(F.broadcast(weights), "transaction_type", "left")
         .withColumn("transaction_risk_score", score)
         .select(
@@ -198,7 +195,7 @@ _REPORT = [
 def daily_report(fact: DataFrame, alerts: DataFrame, dim: DataFrame, day: int) -> DataFrame:
     """The report row of one day; a day without transactions has counts 0 and no sums."""
     today = fact.filter(F.col("transaction_day") == day)
-    on_day = alerts.select("transaction_id").join(today.select("transaction_id"), "transaction_id")
+    on_day = alerts.filter(F.col("transaction_day") == day)
     figures = today.agg(*_day_figures()).withColumn("report_day", F.lit(day))
     return (
         figures.crossJoin(F.broadcast(on_day.agg(n_rows().alias("alert_count"))))
@@ -212,12 +209,7 @@ def all_daily_reports(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> Dat
     days = fact.groupBy("transaction_day").agg(*_day_figures())
     span = days.agg(F.min("transaction_day").alias("first"), F.max("transaction_day").alias("last"))
     calendar = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("report_day"))
-    alerted = (
-        alerts.select("transaction_id")
-        .join(fact.select("transaction_id", "transaction_day"), "transaction_id")
-        .groupBy("transaction_day")
-        .agg(n_rows().alias("alert_count"))
-    )
+    alerted = alerts.groupBy("transaction_day").agg(n_rows().alias("alert_count"))
     return (
         calendar.join(days.withColumnRenamed("transaction_day", "report_day"), "report_day", "left")
         .join(alerted.withColumnRenamed("transaction_day", "report_day"), "report_day", "left")
@@ -228,12 +220,13 @@ def all_daily_reports(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> Dat
     )
 
 
-def active_alerts(alerts: DataFrame, fact: DataFrame, dim: DataFrame, hot_above: float | None = None) -> DataFrame:
-    """Alerts nobody has reviewed, with their transaction and customer; most severe, then newest first."""
-    open_alerts = alerts.filter(F.col("reviewed") == 0).select(
-        "alert_id", "transaction_id", "customer_id", "alert_type", "severity", "alert_description", "detection_method", "alert_timestamp"
-    )
-    transactions = fact.select("transaction_id", "amount", "transaction_type", "old_balance_orig", "new_balance_orig")
+def active_alerts(alerts: DataFrame, dim: DataFrame) -> DataFrame:
+    """Alerts nobody has reviewed, with their transaction and customer; most severe, then newest first.
+
+    ``dim`` is a stored table, so that adaptive execution can split the alerts of a very busy customer.
+    """
+    shown = ["alert_id", "transaction_id", "customer_id", "alert_type", "severity", "alert_description", "detection_method", "alert_timestamp"]
+    transaction = ["amount", "transaction_type", "old_balance_orig", "new_balance_orig"]
     customers = dim.select(
         "customer_id",
         F.col("risk_tier").alias("customer_risk_tier"),
@@ -241,15 +234,10 @@ def active_alerts(alerts: DataFrame, fact: DataFrame, dim: DataFrame, hot_above:
         F.col("total_transactions").alias("customer_total_txns"),
     )
     return (
-        join_per_key(
-            open_alerts.join(transactions, "transaction_id", "left"),
-            customers,
-            ["customer_id"],
-            "customer_total_txns",
-            hot_limit(alerts) if hot_above is None else hot_above,
-            row_id="alert_id",
-        )
-        .select(*open_alerts.columns, *transactions.columns[1:], *customers.columns[1:])
+        alerts.filter(F.col("reviewed") == 0)
+        .select(*shown, *transaction)
+        .join(customers, "customer_id", "left")
+        .select(*shown, *transaction, *customers.columns[1:])
         .orderBy(level_rank("severity"), F.desc("alert_timestamp"), F.desc("alert_id"))
     )
 

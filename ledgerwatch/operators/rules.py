@@ -13,9 +13,7 @@ from ..functions.conditions import drained, is_outflow, n_rows
 from ..schema import FAN_OUT_TYPES
 from ..session import stored
 from .history import with_prior_stats
-from .skew import hot_limit, join_per_key
-
-
+from .skew import join_lines
 
 def _top(rows: DataFrame, limit: int | None, *order) -> DataFrame:
     ordered = rows.orderBy(*order)
@@ -52,7 +50,7 @@ def velocity_alerts(fact: DataFrame, limit: int | None = 100) -> DataFrame:
     return _top(flagged, limit, F.desc("velocity_z_score"), "customer_id", "transaction_day", "transaction_hour")
 
 
-def balance_drain_alerts(fact: DataFrame, limit: int | None = 200, hot_above: float | None = None) -> DataFrame:
+def balance_drain_alerts(fact: DataFrame, limit: int | None = 200) -> DataFrame:
     """Outflows that take more than 80 % of the balance, with the gap to the customer's previous outflow.
 
     The previous outflow only matters by its step. So the gap comes from the customer's distinct
@@ -77,18 +75,16 @@ def balance_drain_alerts(fact: DataFrame, limit: int | None = 200, hot_above: fl
     history = outflows.select("customer_id", "step", "transaction_id")
     if limit is not None:
         found = stored(found.orderBy(*order).limit(limit), "drain-list")
-        if limit <= 10_000:  # the names on the list are then few enough to broadcast
-            names = found.select("customer_id").distinct()
-            history = history.join(F.broadcast(names), "customer_id", "left_semi")
+        history = history.join(found.select("customer_id").distinct(), "customer_id", "left_semi")
     by_step = Window.partitionBy("customer_id").orderBy("step")
     steps = (
         history.groupBy("customer_id", "step")
-        .agg(F.min("transaction_id").alias("first_id"), n_rows().alias("step_rows"))
+        .agg(F.min("transaction_id").alias("first_id"))
         .withColumn("prev_step", F.lag("step").over(by_step))
     )
     gap = F.when(F.col("transaction_id") == F.col("first_id"), F.col("step") - F.coalesce("prev_step", "step")).otherwise(0)
     return (
-        join_per_key(found, steps, ["customer_id", "step"], "step_rows", hot_limit(found) if hot_above is None else hot_above, "inner")
+        join_lines(found, steps, ["customer_id", "step"], "inner")
         .withColumn("steps_between_txns", gap)
         .select(
             "customer_id",
@@ -110,12 +106,12 @@ def balance_drain_alerts(fact: DataFrame, limit: int | None = 200, hot_above: fl
     )
 
 
-def rolling_deviation_alerts(fact: DataFrame, limit: int | None = 200, **cutting) -> DataFrame:
+def rolling_deviation_alerts(fact: DataFrame, limit: int | None = 200, **parts) -> DataFrame:
     """Amounts more than 3 deviations above the customer's previous ten (at least five)."""
     needed = fact.select("transaction_id", "customer_id", "step", "amount", "transaction_type", "is_fraud")
     z = F.try_divide(F.col("amount").cast("double") - F.col("prior_avg"), F.col("prior_std_pop"))
     flagged = (
-        with_prior_stats(needed, 10, **cutting)
+        with_prior_stats(needed, 10, **parts)
         .filter((F.col("prior_n") >= 5) & (F.col("prior_std_pop") > 0) & (z > 3))
         .select(
             "transaction_id",

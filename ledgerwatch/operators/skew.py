@@ -1,62 +1,27 @@
-"""Joins and limits that hold up when one key owns a large part of all rows."""
+"""Joins that hold up when one key owns a large part of all rows."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_MIN_ROWS = 2_000_000
-HOT_MAX_KEYS = 100_000
-SPREAD = 10_000
+from ..session import stored
 
 
-def hot_limit(rows: DataFrame, min_rows: int = HOT_MIN_ROWS, max_keys: int = HOT_MAX_KEYS) -> float | None:
-    """Number of rows above which a key is hot; None where the table is too small for any.
+def join_lines(rows: DataFrame, lines: DataFrame, keys: Sequence[str], how: str = "left", nulls_meet: bool = False) -> DataFrame:
+    """rows with the columns of lines, which has one line per key; NULL keys meet each other only with ``nulls_meet``.
 
-    Counts per key add up to all rows, so fewer than max_keys keys can be above the limit.
-    Counting a stored table reads file footers only.
+    The lines are stored first. The join then has plain shuffles on both sides, so adaptive execution
+    can split a key that owns very many rows (it can't where one side is an aggregate), and the
+    size of the stored table tells the planner whether it may be sent to all tasks instead.
     """
-    all_rows = rows.count()
-    return None if all_rows <= min_rows else max(float(min_rows), all_rows / max_keys)
-
-
-def join_per_key(
-    rows: DataFrame,
-    per_key: DataFrame,
-    keys: Sequence[str],
-    count: str,
-    limit: float | None,
-    how: str = "left",
-    row_id: str = "transaction_id",
-    salted: str = "customer_id",
-) -> DataFrame:
-    """rows with the columns of per_key, which has one line per key and its number of rows in ``count``.
-
-    Lines of hot keys (fewer than HOT_MAX_KEYS, see :func:`hot_limit`) are broadcast. Their rows
-    take part in the shuffled join under random values of the ``salted`` key, so they are spread
-    over all tasks; the other rows join as usual. A hot row keeps its broadcast line whatever it
-    meets there. Adaptive execution cannot split such a key when per_key is an aggregate.
-    """
-    keys = list(keys)
-    columns = [c for c in per_key.columns if c not in keys]
-    if limit is None:
-        return rows.join(per_key, keys, how).select(*rows.columns, *columns)
-    line = F.struct(*columns)
-    others = [k for k in keys if k != salted]
-    is_hot = F.col(count) > limit
-    hot = per_key.filter(is_hot).select(*keys, line.alias("_hot"))
-    cold = per_key.filter(~is_hot).select(*others, F.col(salted).alias("_key"), line.alias("_cold"))
-    # a constant salt on the other side would be folded away, so the key itself carries the salt
-    scattered = F.concat(F.lit("~"), F.pmod(F.xxhash64(row_id), F.lit(SPREAD)))
-    key = F.when(F.col("_hot").isNull() & F.col(salted).isNotNull(), F.col(salted)).otherwise(scattered)
-    joined = (
-        rows.join(F.broadcast(hot), keys, "left")
-        .withColumn("_key", key)
-        .join(cold, [*others, "_key"], "left")
-        .withColumn("_line", F.coalesce("_hot", "_cold"))
-    )
-    if how == "inner":
-        joined = joined.filter(F.col("_line").isNotNull())
-    return joined.select(*rows.columns, "_line.*")
+    lines = stored(lines, "lines")
+    if not nulls_meet:
+        return rows.join(lines, list(keys), how)
+    own = {k: f"_line_{k}" for k in keys}
+    same = reduce(and_, [F.col(k).eqNullSafe(F.col(v)) for k, v in own.items()])
+    return rows.join(lines.withColumnsRenamed(own), same, how).drop(*own.values())

@@ -10,9 +10,7 @@ from pyspark.sql import functions as F
 from ..functions import round_half_up
 from .history import with_prior_stats
 from .order_stats import exact_quantiles
-from .skew import hot_limit, join_per_key
-
-MAX_BROADCAST_TYPES = 10_000
+from .skew import join_lines
 
 
 def _amount() -> Column:
@@ -22,7 +20,6 @@ def _amount() -> Column:
 def customer_stats(fact: DataFrame, keys: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Mean and sample deviation of the amount per customer, pre-aggregated before the shuffle."""
     return fact.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("cust_rows"),
         F.avg("amount").cast("double").alias("cust_mean"),
         F.stddev_samp("amount").alias("cust_std"),
         F.min("amount").cast("double").alias("cust_min"),
@@ -35,30 +32,25 @@ def _z_score() -> Column:
     return F.when(std > 0, F.try_divide(_amount() - F.col("cust_mean"), std)).otherwise(0.0)
 
 
-_STATS = ("cust_rows", "cust_mean", "cust_std", "cust_min", "cust_max")
+_STATS = ("cust_mean", "cust_std", "cust_min", "cust_max")
 
 
-def zscore_detection(
-    fact: DataFrame, threshold: float = 3.0, history: DataFrame | None = None, hot_above: float | None = None
-) -> DataFrame:
+def zscore_detection(fact: DataFrame, threshold: float = 3.0, history: DataFrame | None = None) -> DataFrame:
     """Every row with its z-score inside its customer's amounts, flagged where |z| > threshold.
 
-    ``history`` takes the statistics from another table than the scored rows. Rows of customers
-    with more than ``hot_above`` rows (by default what one task should hold) are spread over tasks.
+    ``history`` takes the statistics from another table than the scored rows. Rows without a customer are
+    scored as one customer, as they are in :func:`detector_flags`.
     """
-    base = fact if history is None else history
-    limit = hot_limit(base) if hot_above is None else hot_above
+    stats = customer_stats(fact if history is None else history)
     return (
-        join_per_key(fact, customer_stats(base), ["customer_id"], "cust_rows", limit)
+        join_lines(fact, stats, ["customer_id"], nulls_meet=True)
         .withColumn("z_score", _z_score())
         .withColumn("is_anomaly_zscore", (F.abs("z_score") > threshold).cast("int"))
         .drop(*_STATS)
     )
 
 
-def zscore_anomalies(
-    fact: DataFrame, threshold: float = 3.0, keys: Sequence[str] = ("customer_id",), hot_above: float | None = None
-) -> DataFrame:
+def zscore_anomalies(fact: DataFrame, threshold: float = 3.0, keys: Sequence[str] = ("customer_id",)) -> DataFrame:
     """Only the flagged rows of :func:`zscore_detection`.
 
     A customer's extreme amounts show whether any of its rows can be flagged, so rows of all other
@@ -67,9 +59,8 @@ def zscore_anomalies(
     """
     lowest, highest = F.col("cust_mean") - F.col("cust_min"), F.col("cust_max") - F.col("cust_mean")
     reachable = customer_stats(fact, keys).filter(F.greatest(lowest, highest) >= F.col("cust_std") * (threshold * 0.999999))
-    limit = hot_limit(fact) if hot_above is None else hot_above
     return (
-        join_per_key(fact, reachable, keys, "cust_rows", limit, "inner")
+        join_lines(fact, reachable, keys, "inner", nulls_meet=True)
         .withColumn("z_score", _z_score())
         .filter(F.abs("z_score") > threshold)
         .withColumn("is_anomaly_zscore", F.lit(1))
@@ -83,7 +74,6 @@ def iqr_limits(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     iqr = F.col("q3") - F.col("q1")
     return quartiles.select(
         "transaction_type",
-        F.col("total").alias("type_rows"),
         "q1",
         "q3",
         iqr.alias("iqr"),
@@ -92,28 +82,6 @@ def iqr_limits(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     )
 
 
-def join_by_type(
-    fact: DataFrame,
-    per_type: DataFrame,
-    max_types: int = MAX_BROADCAST_TYPES,
-    known_types: DataFrame | None = None,
-    hot_above: float | None = None,
-) -> DataFrame:
-    """Adds per-type columns to every row.
-
-    The number of types is checked first, on the type column alone: up to ``max_types`` the small
-    side is broadcast and fact is not shuffled, beyond that it is a shuffled join that spreads hot
-    types. ``known_types`` names a cheaper table with the same rows to check on.
-    """
-    base = fact if known_types is None else known_types
-    types = base.select("transaction_type").distinct().limit(max_types + 1).count()
-    if types <= max_types:
-        return fact.join(F.broadcast(per_type.drop("type_rows")), "transaction_type", "left")
-    keys = ["transaction_type"]
-    limit = hot_limit(base) if hot_above is None else hot_above
-    return join_per_key(fact, per_type, keys, "type_rows", limit, salted="transaction_type").drop("type_rows")
-
-
 def _outside() -> Column:
     outside = (_amount() < F.col("lower")) | (_amount() > F.col("upper"))
     return F.coalesce(outside, F.lit(False)).cast("int")
@@ -121,14 +89,14 @@ def _outside() -> Column:
 
 def iqr_detection(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     """Every row, flagged where its amount is outside its type's limits."""
-    limits = iqr_limits(fact, multiplier).select("transaction_type", "type_rows", "lower", "upper")
-    return join_by_type(fact, limits).withColumn("is_anomaly_iqr", _outside()).drop("lower", "upper")
+    limits = iqr_limits(fact, multiplier).select("transaction_type", "lower", "upper")
+    return join_lines(fact, limits, ["transaction_type"]).withColumn("is_anomaly_iqr", _outside()).drop("lower", "upper")
 
 
 def iqr_bounds(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     """Per type: quartiles, limits (the lower one shown as at least 0), outliers and frauds among them."""
     limits = iqr_limits(fact, multiplier)
-    placed = join_by_type(fact.select("transaction_type", "amount", "is_fraud"), limits).withColumn("hit", _outside())
+    placed = join_lines(fact.select("transaction_type", "amount", "is_fraud"), limits, ["transaction_type"]).withColumn("hit", _outside())
     digits = 6
     return (
         placed.groupBy("transaction_type", "q1", "q3", "iqr", "lower", "upper")
@@ -156,13 +124,13 @@ def _rolling_flags(threshold: float, min_rows: int = 3) -> dict[str, Column]:
     }
 
 
-def rolling_detection(fact: DataFrame, window: int = 10, threshold: float = 2.0, **cutting) -> DataFrame:
+def rolling_detection(fact: DataFrame, window: int = 10, threshold: float = 2.0, **parts) -> DataFrame:
     """Every row, flagged where its amount exceeds mean + threshold deviations of the previous rows.
 
     ``has_history`` tells the rows that could be judged: three previous rows with some spread.
     """
     return (
-        with_prior_stats(fact, window, **cutting)
+        with_prior_stats(fact, window, **parts)
         .withColumns(_rolling_flags(threshold))
         .withColumnsRenamed({"prior_avg": "rolling_mean", "prior_std_samp": "rolling_std"})
         .drop("prior_n", "prior_std_pop")
@@ -175,18 +143,18 @@ def detector_flags(
     multiplier: float = 1.5,
     window: int = 10,
     threshold: float = 2.0,
-    **cutting,
+    **parts,
 ) -> DataFrame:
     """All three detectors on every row, from one partitioning of fact by customer.
 
-    The customer totals for the z-score come from the same window partition as the rolling
-    statistics, so fact is shuffled once and never joined with itself.
+    The customer totals for the z-score come from the same parts as the rolling statistics, so fact is
+    partitioned once and never joined with itself.
     """
-    limits = iqr_limits(fact, multiplier).select("transaction_type", "type_rows", "lower", "upper")
-    needed = fact.select("transaction_id", "customer_id", "step", "transaction_type", "amount", "is_fraud")
-    history = with_prior_stats(needed, window, with_totals=True, **cutting).withColumn("z_score", _z_score())
+    limits = iqr_limits(fact, multiplier).select("transaction_type", "lower", "upper")
+    needed = fact.select("transaction_id", "customer_id", "step", "transaction_type", "amount", "is_fraud", "transaction_day", "old_balance_orig", "new_balance_orig")
+    history = with_prior_stats(needed, window, with_totals=True, **parts).withColumn("z_score", _z_score())
     return (
-        join_by_type(history, limits, known_types=fact)
+        join_lines(history, limits, ["transaction_type"])
         .withColumn("is_anomaly_iqr", _outside())
         .drop("lower", "upper")
         .withColumn("is_anomaly_zscore", (F.abs("z_score") > z_threshold).cast("int"))

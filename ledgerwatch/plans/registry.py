@@ -15,7 +15,7 @@ from ..operators import statistical as st
 from ..operators.cleaning import clean_transactions
 from ..operators.dimensions import dim_customers, replace_by_key, type_usage
 from ..schema import CSV_TO_FACT
-from ..session import scratch_path
+from ..session import scratch_path, stored
 from ..sources.batches import load_batch, read_rejected, rejected_counts
 from ..sources.events import as_csv_columns, fact_from_events, raw_from_events, read_events
 from ..sources.tables import (
@@ -251,13 +251,13 @@ def _scored(df: DataFrame, *columns: str) -> DataFrame:
 
 def _batch_zscore(fact: DataFrame) -> DataFrame:
     batches = fact.withColumn("batch", F.expr("step div 240"))
-    return al.batch_zscore_alerts(st.zscore_anomalies(batches, 3.0, ["batch", "customer_id"]))
+    return al.batch_zscore_alerts(st.zscore_anomalies(batches, 3.0, ["batch", "customer_id"])).select(al.CORE)
 
 
 def _high_amount(fact: DataFrame) -> DataFrame:
     """All transactions are judged; those of the early days carry the alert already."""
     known = fact.filter(F.col("transaction_day") < SPLIT_DAY).select("transaction_id", F.lit("HIGH_AMOUNT").alias("alert_type"))
-    return al.high_amount_alerts(fact, dim_customers(fact), 5.0, known)
+    return al.high_amount_alerts(fact, stored(dim_customers(fact), "customers"), 5.0, known).select(al.CORE)
 
 
 def _rolling(fact: DataFrame) -> DataFrame:
@@ -326,7 +326,7 @@ ON_FACT: dict[str, Callable[[DataFrame], DataFrame]] = {
     "ensemble_detection": st.ensemble_detection,
     "ensemble_distribution": lambda f: st.ensemble_distribution(st.ensemble_detection(f)),
     "detector_metrics": lambda f: st.detector_metrics(st.ensemble_detection(f)),
-    "python_alerts": lambda f: al.statistical_alerts(st.detector_flags(f)),
+    "python_alerts": lambda f: al.statistical_alerts(st.detector_flags(f)).select(al.CORE),
     "batch_zscore_alerts": _batch_zscore,
     "customer_risk_5factor": risk.customer_risk_5factor,
     "risk_tier_distribution": risk.risk_tier_distribution,
@@ -360,11 +360,11 @@ ON_CUSTOMERS: dict[str, Callable[[DataFrame, DataFrame], DataFrame]] = {
 # queries over the fact table, the alert table and the refreshed customers
 ON_ALERTS: dict[str, Callable[[DataFrame, DataFrame, DataFrame], DataFrame]] = {
     "dq_integrity": quality.integrity_report,
-    "alert_summary": lambda f, a, d: reports.alert_summary(a, f),
+    "alert_summary": lambda f, a, d: reports.alert_summary(a),
     "compliance_scorecard": lambda f, a, d: reports.compliance_scorecard(f, a, d),
     "daily_report": lambda f, a, d: reports.daily_report(f, a, d, REPORT_DAY),
     "all_daily_reports": lambda f, a, d: reports.all_daily_reports(f, a, d),
-    "active_alerts": lambda f, a, d: reports.active_alerts(a, f, d),
+    "active_alerts": lambda f, a, d: reports.active_alerts(a, d),
     "daily_dashboard": lambda f, a, d: reports.daily_dashboard(reports.all_daily_reports(f, a, d)),
     "customer_360": lambda f, a, d: reports.customer_360(d, a, f),
     "report_latest_days": lambda f, a, d: reports.latest_reports(reports.all_daily_reports(f, a, d)),

@@ -25,7 +25,7 @@ def register_views(spark: SparkSession, store: Store, dim_version: int) -> dict[
         "dim_transaction_types": dim_transaction_types(spark),
         "alerts": alerts,
         "daily_monitoring_report": reports,
-        "vw_active_alerts": active_alerts(alerts, fact, customers),
+        "vw_active_alerts": active_alerts(alerts, customers),
         "vw_daily_dashboard": daily_dashboard(reports),
         "vw_customer_360": customer_360(customers, alerts, fact),
     }

@@ -89,5 +89,11 @@ ALERT = T.StructType(
         T.StructField("reviewed", T.IntegerType()),
         T.StructField("false_positive", T.IntegerType()),
         T.StructField("reviewer_notes", T.StringType()),
+        # copied from the transaction, so that reports need not look it up
+        T.StructField("transaction_day", T.IntegerType()),
+        T.StructField("transaction_type", T.StringType()),
+        T.StructField("amount", MONEY),
+        T.StructField("old_balance_orig", MONEY),
+        T.StructField("new_balance_orig", MONEY),
     ]
 )

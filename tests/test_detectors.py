@@ -1,5 +1,5 @@
-import datetime as dt
 import math
+import statistics
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,10 +8,9 @@ from ledgerwatch.operators import alerts as al
 from ledgerwatch.operators import rules
 from ledgerwatch.operators import statistical as st
 from ledgerwatch.operators.dimensions import dim_customers
-from ledgerwatch.operators.history import hot_customers, with_prior_stats
+from ledgerwatch.operators.history import with_prior_stats
+from ledgerwatch.operators.skew import join_lines
 from ledgerwatch.operators.patterns import pass_through
-from ledgerwatch.operators.reports import active_alerts, review_queue
-from ledgerwatch.operators.risk import dim_risk_refresh
 
 
 def skewed(n=600):
@@ -22,25 +21,52 @@ def skewed(n=600):
     ]
 
 
-@pytest.mark.parametrize("block", [10, 37])
-def test_cut_histories_equal_plain_windows(make_fact, block):
-    fact = make_fact(skewed())
-    columns = ["transaction_id", "prior_n", "prior_avg", "prior_std_pop", "prior_std_samp", "cust_mean", "cust_std"]
+def plain_history(rows, length=10):
+    """Figures of the rows before each row, and of the customer's whole history, computed one by one."""
+    own = {}
+    for i, r in enumerate(rows, 1):
+        own.setdefault(r["customer_id"], []).append((r["step"], r.get("transaction_id", i), r["amount"]))
+    out = {}
+    for history in own.values():
+        history.sort()
+        whole = [float(a) for *_, a in history]
+        for n, (_, tid, _) in enumerate(history):
+            prior = whole[max(0, n - length) : n]
+            out[tid] = (
+                len(prior), sum(prior) / len(prior) if prior else None, statistics.pstdev(prior) if prior else None,
+                statistics.stdev(prior) if len(prior) > 1 else None, sum(whole) / len(whole), statistics.stdev(whole) if len(whole) > 1 else None,
+            )
+    return out
 
-    def rows(df):
-        return {r[0]: tuple(None if v is None else round(v, 3) for v in r[1:]) for r in df.select(columns).collect()}
 
-    assert hot_customers(fact, 100).select("customer_id").collect() == [("HOT",)]
-    plain = rows(with_prior_stats(fact, 10, True))
-    cut = rows(with_prior_stats(fact, 10, True, min_rows=100, block_rows=block))
-    assert len(plain) == 600 and cut == plain
-    assert rows(with_prior_stats(fact, 10, True, min_rows=5, block_rows=block)) == plain
+HISTORY_COLUMNS = ["transaction_id", "prior_n", "prior_avg", "prior_std_pop", "prior_std_samp", "cust_mean", "cust_std"]
 
 
-def test_number_of_hot_customers_is_bounded(make_fact):
-    fact = make_fact([{"customer_id": f"C{i % 40}"} for i in range(400)])
-    assert hot_customers(fact, 1, max_keys=20) is None  # all have 10 rows, more than 20 are needed
-    assert hot_customers(fact, 500) is None
+def same_figures(found, expected):
+    got = {r[0]: tuple(r[1:]) for r in found.select(HISTORY_COLUMNS).collect()}
+    assert got.keys() == expected.keys()
+    for tid, figures in got.items():
+        assert figures == pytest.approx(expected[tid], abs=1e-3), tid
+
+
+@pytest.mark.parametrize("parts", [1, 2, 7, 300])
+def test_history_is_the_same_in_any_number_of_parts(make_fact, parts):
+    """300 parts leave two rows in each, so what is handed over comes from several parts."""
+    rows = skewed() + [{"customer_id": None, "step": i, "amount": i} for i in range(30)]
+    same_figures(with_prior_stats(make_fact(rows), 10, True, parts=parts), plain_history(rows))
+
+
+@pytest.mark.parametrize("parts", [2, 300])
+def test_detectors_are_the_same_in_any_number_of_parts(small_fact, parts):
+    for run in (st.rolling_detection, rules.rolling_deviation_alerts, st.ensemble_detection):
+        assert sorted(map(repr, run(small_fact, parts=parts).collect())) == sorted(map(repr, run(small_fact).collect()))
+
+
+def test_rows_without_a_customer_are_scored_alike(make_fact):
+    fact = make_fact([{"customer_id": None if i % 2 else "A", "amount": 1 if i > 1 else 100} for i in range(40)])
+    flags = {r.transaction_id: (round(r.z_score, 9), r.is_anomaly_zscore) for r in st.detector_flags(fact).collect()}
+    assert {r.transaction_id: (round(r.z_score, 9), r.is_anomaly_zscore) for r in st.zscore_detection(fact).collect()} == flags
+    assert {r.transaction_id for r in st.zscore_anomalies(fact).collect()} == {t for t, (_, hit) in flags.items() if hit} == {1, 2}
 
 
 def test_rolling_matches_pandas(small_fact):
@@ -75,14 +101,6 @@ def test_pruned_zscore_equals_full(small_fact):
     assert {r.transaction_id for r in st.zscore_anomalies(small_fact).collect()} == full and len(full) == 11
 
 
-def test_type_join_without_broadcast_gives_the_same(small_fact):
-    limits = st.iqr_limits(small_fact).select("transaction_type", "type_rows", "lower", "upper")
-    a = st.join_by_type(small_fact, limits)
-    for b in (st.join_by_type(small_fact, limits, max_types=2), st.join_by_type(small_fact, limits, max_types=2, hot_above=200)):
-        assert a.count() == b.count() == 1000 and a.select(b.columns).exceptAll(b).count() == 0
-    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
-
-
 def test_ensemble_adds_up(small_fact):
     rows = st.ensemble_detection(small_fact).toPandas()
     assert (rows["methods_flagged"] == rows[["is_anomaly_zscore", "is_anomaly_iqr", "is_anomaly_rolling"]].sum(axis=1)).all()
@@ -215,22 +233,27 @@ def test_pass_through_against_brute_force(make_fact):
     assert {r.transaction_id: (r.inbound_count, int(r.inbound_total), r.last_inbound_step) for r in out.collect()} == expected
 
 
-def test_salted_joins_give_the_same(make_fact):
-    """With a low limit the customer that holds a third of all rows goes through the salted path."""
-    fact = make_fact(skewed())
-    dim = dim_risk_refresh(dim_customers(fact))
-    alerts = al.as_alert_rows(al.statistical_alerts(st.detector_flags(fact)), dt.datetime(2024, 1, 1))
-    pairs = [
-        (st.zscore_detection(fact), st.zscore_detection(fact, hot_above=100)),
-        (st.zscore_anomalies(fact, 1.2), st.zscore_anomalies(fact, 1.2, hot_above=100)),
-        (al.high_amount_alerts(fact, dim, 1.2), al.high_amount_alerts(fact, dim, 1.2, hot_above=100)),
-        (pass_through(fact), pass_through(fact, hot_above=1)),
-        (rules.balance_drain_alerts(fact, None), rules.balance_drain_alerts(fact, None, hot_above=1)),
-        (active_alerts(alerts, fact, dim), active_alerts(alerts, fact, dim, hot_above=100)),
-        (review_queue(fact, dim.withColumn("risk_tier", F.lit("HIGH")), None), review_queue(fact, dim.withColumn("risk_tier", F.lit("HIGH")), None, hot_above=100)),
-    ]
-    for plain, salted in pairs:
-        assert salted.columns == plain.columns
-        rows = sorted(map(repr, plain.collect()))
-        assert sorted(map(repr, salted.collect())) == rows
-    assert st.zscore_anomalies(fact, 1.2).count() > 0
+def test_a_busy_key_is_split_by_adaptive_execution(spark, make_fact):
+    """A customer that holds a third of all rows, with limits so low that its part counts as skewed."""
+    fact = make_fact(skewed(3000)).repartition(40)
+    low = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "10",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1k",
+    }
+    expected = sorted(map(repr, st.zscore_detection(fact).select("transaction_id", "is_anomaly_zscore").collect()))
+    before = {k: spark.conf.get(k, None) for k in low}
+    try:
+        for k, v in low.items():
+            spark.conf.set(k, v)
+        joined = join_lines(fact, st.customer_stats(fact), ["customer_id"])
+        assert joined.count() == 3000
+        scored = st.zscore_detection(fact).select("transaction_id", "is_anomaly_zscore")
+        assert sorted(map(repr, scored.collect())) == expected
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)

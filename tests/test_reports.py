@@ -1,15 +1,17 @@
 from pyspark.sql import functions as F
 
 from ledgerwatch.operators import quality, reports
+from ledgerwatch.operators.alerts import CARRIED
 from ledgerwatch.operators.dimensions import dim_customers
 from ledgerwatch.operators.explore import amount_bands, daily_trends, flag_confusion, fraud_rate_by_type
 from ledgerwatch.operators.risk import dim_risk_refresh
 from ledgerwatch.schema import ALERT
 
 
-def alert_frame(spark, rows):
-    """(transaction_id, severity, reviewed, false_positive, second)"""
-    data = [(i, t, "C1", "X", s, "d", "m", None, r, fp, None) for i, (t, s, r, fp, _) in enumerate(rows, 1)]
+def alert_frame(spark, fact, rows):
+    """(transaction_id, severity, reviewed, false_positive, second); alerts carry what fact has of their transaction."""
+    own = {r.transaction_id: [r[c] for c in CARRIED] for r in fact.collect()}
+    data = [(i, t, "C1", "X", s, "d", "m", None, r, fp, None, *own.get(t, [None] * len(CARRIED))) for i, (t, s, r, fp, _) in enumerate(rows, 1)]
     frame = spark.createDataFrame(data, ALERT)
     seconds = F.element_at(F.array(*[F.lit(x[4]) for x in rows]), F.col("alert_id").cast("int"))
     return frame.withColumn("alert_timestamp", F.timestamp_add("SECOND", seconds, F.lit("2024-01-01").cast("timestamp")))
@@ -18,7 +20,7 @@ def alert_frame(spark, rows):
 def test_days_without_rows_get_a_report(spark, make_fact):
     fact = make_fact([{"step": 0, "amount": 5}, {"step": 24 * 3, "amount": 7, "is_fraud": 1}])
     dim = dim_risk_refresh(dim_customers(fact))
-    alerts = alert_frame(spark, [(2, "HIGH", 0, None, 1), (2, "LOW", 0, None, 1), (99, "LOW", 0, None, 1)])
+    alerts = alert_frame(spark, fact, [(2, "HIGH", 0, None, 1), (2, "LOW", 0, None, 1), (99, "LOW", 0, None, 1)])
     rows = {r.report_day: r for r in reports.all_daily_reports(fact, alerts, dim).collect()}
     assert sorted(rows) == [0, 1, 2, 3]
     empty = rows[1]
@@ -37,8 +39,8 @@ def test_changes_are_null_at_the_start_and_after_zero(spark):
 
 def test_alert_summary_judges_reviewed_alerts_only(spark, make_fact):
     fact = make_fact([{"amount": 10}, {"amount": 20}])
-    alerts = alert_frame(spark, [(1, "HIGH", 1, 1, 1), (2, "HIGH", 1, 0, 1), (1, "HIGH", 0, None, 1), (77, "LOW", 0, None, 1)])
-    high, low = reports.alert_summary(alerts, fact).collect()
+    alerts = alert_frame(spark, fact, [(1, "HIGH", 1, 1, 1), (2, "HIGH", 1, 0, 1), (1, "HIGH", 0, None, 1), (77, "LOW", 0, None, 1)])
+    high, low = reports.alert_summary(alerts).collect()
     assert (high.total_alerts, high.reviewed_count, high.review_rate_pct) == (3, 2, 66.7)
     assert (high.false_positives, high.true_alerts, high.false_positive_rate_pct, high.avg_alerted_amount) == (1, 1, 50.0, 13.33)
     assert (low.severity, low.false_positive_rate_pct, low.avg_alerted_amount) == ("LOW", None, None)
@@ -47,8 +49,8 @@ def test_alert_summary_judges_reviewed_alerts_only(spark, make_fact):
 def test_active_alerts_order(spark, make_fact):
     fact = make_fact([{}])
     dim = dim_risk_refresh(dim_customers(fact))
-    alerts = alert_frame(spark, [(1, "LOW", 0, None, 9), (1, "CRITICAL", 0, None, 1), (5, "HIGH", 0, None, 3), (1, "HIGH", 0, None, 4), (1, "HIGH", 1, 0, 8)])
-    rows = reports.active_alerts(alerts, fact, dim).collect()
+    alerts = alert_frame(spark, fact, [(1, "LOW", 0, None, 9), (1, "CRITICAL", 0, None, 1), (5, "HIGH", 0, None, 3), (1, "HIGH", 0, None, 4), (1, "HIGH", 1, 0, 8)])
+    rows = reports.active_alerts(alerts, dim).collect()
     assert [r.alert_id for r in rows] == [2, 4, 3, 1]
     assert rows[2].amount is None and rows[2].customer_risk_tier == "LOW"
 
@@ -99,5 +101,5 @@ def test_scans_read_only_what_they_need(small_fact):
 def test_integrity_finds_violations(spark, make_fact):
     fact = make_fact([{"transaction_id": 1}, {"transaction_id": 1}, {"transaction_type": "GIFT"}, {"transaction_type": None}])
     dim = dim_customers(fact).union(dim_customers(fact))
-    alerts = alert_frame(spark, [(1, "HIGH", 0, None, 1), (99, "LOW", 0, None, 1)])
+    alerts = alert_frame(spark, fact, [(1, "HIGH", 0, None, 1), (99, "LOW", 0, None, 1)])
     assert [r.violations for r in quality.integrity_report(fact, alerts, dim).collect()] == [1, 1, 1, 2]
