@@ -21,6 +21,7 @@ from ledgerwatch.llm.toxicity import score_toxicity
 from ledgerwatch.llm.trie import prefix_trie, turn_sequences
 from ledgerwatch.llm.urls import judge_urls
 from ledgerwatch.llm.weak_labels import score_quality
+from ledgerwatch.session import stored
 
 #: The rules of op4.
 URL_RULES = [
@@ -109,7 +110,7 @@ def rebuilt(sequences: DataFrame) -> DataFrame:
 
 
 def conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
-    return prefix_trie(rebuilt(turn_sequences(_table(spark, folder, "conversations"))))
+    return prefix_trie(rebuilt(stored(turn_sequences(_table(spark, folder, "conversations")), "turn-sequences")))
 
 
 def phrases(spark: SparkSession, folder: str) -> DataFrame:

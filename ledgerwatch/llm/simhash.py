@@ -7,11 +7,10 @@ from itertools import repeat
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.components import connected_components
-from ledgerwatch.llm.minhash import SIMILAR, WIDTH, node_of, similar_links
 from ledgerwatch.llm.text import columns_of, map_batches, words_of
 from ledgerwatch.session import stored
 
@@ -34,15 +33,19 @@ def simhash(words: list[bytes], width: int = 3) -> int:
     return int(np.packbits(2 * counts > n, bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3) -> DataFrame:
-    """The id column and ``fp`` (long) for each row; null and empty texts have fingerprint zero."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, row_key: Column | None = None) -> DataFrame:
+    """The id column and ``fp`` (long) for each row, and ``key`` (binary) where asked for; null and empty texts have fingerprint zero."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def convert(batch: pa.RecordBatch) -> pa.RecordBatch:
         (texts,) = columns_of(batch, "t")
-        return pa.RecordBatch.from_arrays([batch.column("i"), pa.array([simhash(words_of(t), width) for t in texts], pa.int64())], ["i", "fp"])
+        prints = pa.array([simhash(words_of(t), width) for t in texts], pa.int64())
+        return pa.RecordBatch.from_arrays([batch.column("i"), batch.column("k"), prints], ["i", "k", "fp"])
 
-    return map_batches(docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")), convert, f"i {kind}, fp long").withColumnRenamed("i", id_col)
+    key = F.lit(None).cast("binary") if row_key is None else row_key
+    rows = docs.select(F.col(id_col).alias("i"), key.alias("k"), F.col(text_col).alias("t"))
+    found = map_batches(rows, convert, f"i {kind}, k binary, fp long")
+    return found.select(F.col("i").alias(id_col), "fp") if row_key is None else found.select(F.col("i").alias(id_col), F.col("k").alias("key"), "fp")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -56,10 +59,6 @@ def _variants(fps: DataFrame) -> DataFrame:
     return fps.select("fp", F.explode(keys).alias("key"))
 
 
-def _near(a: str, b: str):
-    return F.bit_count(F.col(a).bitwiseXOR(F.col(b))) <= 2
-
-
 def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     """Links (a, b) between distinct fingerprints at two or fewer differing bits.
 
@@ -68,11 +67,9 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     one bit of each: two fingerprints share a point exactly if they differ in at most two bits, so
     linking each to the smallest at the point loses nothing, and a point has 65 visitors at most.
     """
-    keys = _variants(fps)
-    buckets = keys.groupBy("key").agg(F.count("*").alias("n"), F.min("fp").alias("a"), F.max("fp").alias("b")).where("n > 1")
-    buckets = stored(buckets, "buckets")
-    twos = buckets.where((F.col("n") == 2) & _near("a", "b")).select("a", "b")
-    crowded = stored(keys.join(buckets.where("n > 2").select("key", "n"), "key").select("key", "fp", "n"), "crowded")
+    # one shuffle: every variant meets its bucket, and only those of buckets with company go on
+    in_bucket = F.count("*").over(Window.partitionBy("key"))
+    crowded = stored(_variants(fps).withColumn("n", in_bucket).where("n > 1"), "crowded")
 
     few = crowded.where(F.col("n") <= crowd).groupBy("key").agg(F.sort_array(F.collect_list("fp")).alias("all"))
     few = few.select(F.explode("all").alias("a"), "all").select("a", F.explode(F.expr("filter(all, x -> x > a AND bit_count(x ^ a) <= 2)")).alias("b"))
@@ -81,7 +78,7 @@ def links(fps: DataFrame, crowd: int = CROWD) -> DataFrame:
     many = crowded.where(F.col("n") > crowd).select("fp").distinct().select("fp", F.explode(points).alias("point"))
     met = many.groupBy("point").agg(F.min("fp").alias("a"), F.count("*").alias("n")).where("n > 1").select("point", "a")
     dense = many.join(met, "point").where("fp != a").select("a", F.col("fp").alias("b"))
-    return twos.unionByName(few).unionByName(dense).distinct()
+    return few.unionByName(dense).distinct()
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, crowd: int = CROWD) -> DataFrame:
@@ -102,21 +99,26 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return prints.join(found, "fp").select(id_col, F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, threshold: float = SIMILAR) -> DataFrame:
-    """The rows of ``docs`` without near-duplicates: of each component the row with the smallest id.
+def row_key(id_col: str = "doc_id", text_col: str = "text") -> Column:
+    """16 bytes that tell rows apart by id and text; a null id is one of its own, a null text is empty."""
+    both = F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("-")), F.lit(":"), F.coalesce(F.col(text_col), F.lit("")))
+    return F.unhex(F.substring(F.sha2(both, 256), 1, 32))
+
 
-    Texts link at a Jaccard similarity of ``threshold`` or more between their sets of ``width``-word shingles
-    (the query's fingerprints are not used). Rows that repeat the smallest id are cut to one; rows
-    without an id stay, as they can't be told apart.
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 3, crowd: int = CROWD) -> DataFrame:
+    """The rows of ``docs`` without near-duplicates: of each component of ``near_duplicates`` the row with the smallest id.
+
+    Rows are told apart by id and text, not by id alone: two texts that share an id are judged each. A row
+    without an id stays only where no row of its component has one; of several rows with the smallest id, or
+    without any, the one with the least hash stays, and repeats of it are cut to one. Texts without words
+    are one component. All columns are kept; an empty table stays empty. ``_row_key`` is a reserved column name.
     """
-    groups = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id")).groupBy("node").agg(F.min("id").alias("first_id"))
-    groups = stored(groups, "groups")
-    parts = stored(connected_components(similar_links(docs, text_col, width, threshold)), "parts")
-    tops = groups.join(parts, "node").groupBy("label").agg(F.min("first_id").alias("top"))
-    found = groups.join(parts.join(tops, "label").select("node", "top"), "node", "left").select("node", F.coalesce("top", "first_id").alias("top"))
-    rows = docs.select(node_of(text_col).alias("node"), F.col(id_col).alias("id"))
-    kept = rows.join(found, "node").where("id = top").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("rows_of_id"))
-    kept = stored(kept, "kept")
-    once = docs.join(kept.where("rows_of_id = 1").select(id_col), id_col, "left_semi")
-    repeated = docs.join(kept.where("rows_of_id > 1").select(id_col), id_col, "left_semi").dropDuplicates([id_col])
-    return once.unionByName(repeated).unionByName(docs.where(F.col(id_col).isNull()))
+    prints = stored(fingerprints(docs, id_col, text_col, width, row_key(id_col, text_col)), "fingerprints")
+    order = F.struct(F.col(id_col).isNull().alias("unnamed"), F.col(id_col).alias("id"), "key")
+    groups = stored(prints.groupBy("fp").agg(F.min(order).alias("first")), "groups")
+    parts = connected_components(links(groups.select("fp"), crowd)).select(F.col("node").alias("fp"), "label")
+    labelled = groups.join(parts, "fp", "left").select(F.coalesce("label", "fp").alias("label"), "first")
+    firsts = labelled.groupBy("label").agg(F.min("first").alias("first"))
+    kept = stored(firsts.select(F.col("first.key").alias("_row_key")), "kept")
+    # both steps are dealt by the key, so texts move once
+    return docs.withColumn("_row_key", row_key(id_col, text_col)).join(kept, "_row_key").dropDuplicates(["_row_key"]).select(docs.columns)

@@ -93,29 +93,27 @@ def test_one_of_each_group_stays(spark):
     assert [r[0] for r in rows(kept)] == [1, 3, 9] and kept.columns == [c.split()[0] for c in SCHEMA.split(", ")]
 
 
-def test_edited_copies_go_as_by_brute_force(spark):
-    """One word changed in every 50 to 90: many bits apart, over 0.8 of the five-word shingles in common for some."""
-    rng = np.random.default_rng(8)
-    texts = []
-    for k in range(12):
-        words = prose(100 + k, 260).split()
-        texts.append(" ".join(words))
-        for every in (50, 70, 90):
-            start = int(rng.integers(0, every))
-            texts.append(" ".join(f"new{k}{every}{i}" if i % every == start else w for i, w in enumerate(words)))
-    shared = prose(300, 90)  # one passage in many texts that are not alike, and a chain
-    texts += [f"{shared} {prose(400 + k, 60)}" for k in range(20)]
-    chain = prose(500, 120).split()
-    texts += [" ".join(chain[6 * k : 6 * k + 90]) for k in range(6)]
-    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+def test_rows_are_told_apart_by_id_and_text(spark):
+    a, b, c = prose(1, 60), prose(2, 60), prose(3, 60)
+    docs = table(spark, [a, b, a, c, c, None, "", b], [None, 7, None, None, None, 5, None, 7])
+    assert sorted((r.doc_id, r.text) for r in simhash.keep_one_of_each(docs).where("doc_id IS NOT NULL").collect()) == [(5, None), (7, b)]
+    assert sorted(r.text for r in simhash.keep_one_of_each(docs).where("doc_id IS NULL").collect()) == sorted([a, c])
+    shared = table(spark, [a, b, a], [3, 3, 3])  # unrelated texts under one id both stay
+    assert sorted(r.text for r in simhash.keep_one_of_each(shared).collect()) == sorted([a, b])
+    assert simhash.keep_one_of_each(table(spark, [])).count() == 0
+
+
+def test_copies_within_two_bits_go_as_by_brute_force(spark):
+    texts = ODD[:5] + [prose(k, 600) + f" tail{j}" for k in range(12) for j in range(4)] + ["a b", "A  b", "b a", "a b c d"]
+    prints = [brute_fingerprint(t) for t in texts]
     top = list(range(len(texts)))
     for i in range(len(texts)):
         for j in range(i):
-            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]):
+            if (prints[i] ^ prints[j]).bit_count() <= 2:
                 low, high = sorted((top[i], top[j]))
                 top = [low if t == high else t for t in top]
     want = [(i,) for i, t in enumerate(top) if i == t]
-    assert len(want) < len(texts) - 20
+    assert len(set(prints)) > len(want) > 12  # some copies differ in bits
     assert rows(simhash.keep_one_of_each(table(spark, texts)).select("doc_id")) == sorted(want, key=str)
 
 
