@@ -35,6 +35,19 @@ def test_both_ends_extend_alike():
     assert both[0] == both[1]
 
 
+@pytest.mark.parametrize("bits", [8, 1 << 16])
+def test_filter_lets_every_frequent_pair_through(spark, bits):
+    """A filter that is far too small changes what is counted, not the result."""
+    docs = spark.createDataFrame([(1, t, lang, 1, "x", "y") for t, lang in texts()], SCHEMA)
+    shards = phrases.word_shards(docs, shard_words=500)
+    kept = phrases.frequent_shards(shards, phrases.frequent_words(shards, 10))
+    results = [tuple(sorted(map(tuple, t.collect())) for t in phrases.phrase_counts(kept, 10, b)) for b in (bits, 1 << 20)]
+    assert results[0] == results[1] and all(results[0])
+    pairs = spark.createDataFrame([(1, 2), (5, 6), (10**15, 3)], "w1 long, w2 long")
+    table = np.unpackbits(np.frombuffer(phrases.pair_filter(pairs, bits), np.uint8), bitorder="little")
+    assert set(np.flatnonzero(table)) == {int(phrases.pair_slots(np.array([a]), np.array([b]), bits)[0]) for a, b in ((1, 2), (5, 6), (10**15, 3))}
+
+
 def brute(rows, least=10, top=2000):
     f, n = Counter(), Counter()
     for text, lang in rows:
