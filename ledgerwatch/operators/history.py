@@ -74,13 +74,13 @@ def with_prior_stats(fact: DataFrame, length: int = 10, with_totals: bool = Fals
     """Every row of fact plus count, mean and both deviations over the ``length`` rows before it.
 
     ``with_totals`` adds cust_mean and cust_std (sample) over the customer's whole history. ``earlier`` has
-    rows of the same columns that lie before all rows of fact in their customer's history: they are
-    counted as history and not returned. Rows without a customer are one history.
+    further rows (customer_id, step, transaction_id, amount) that count as history and are not returned.
+    Rows without a customer are one history.
     """
     columns = list(fact.columns)
     rows = fact.withColumn("_known", F.lit(False))
     if earlier is not None:
-        rows = rows.unionByName(earlier.select(columns).withColumn("_known", F.lit(True)))
+        rows = rows.unionByName(earlier.withColumn("_known", F.lit(True)), allowMissingColumns=True)
     placed = in_parts(rows, HISTORY, parts_of(rows, parts), "histories")
     handed = carried_rows(placed, length).withColumn("_known", F.lit(True)).withColumn("_handed", F.lit(True))
     history = Window.partitionBy("_part", "customer_id").orderBy("step", "transaction_id")

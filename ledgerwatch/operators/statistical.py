@@ -115,7 +115,8 @@ def iqr_bounds(fact: DataFrame, multiplier: float = 1.5) -> DataFrame:
     )
 
 
-def _rolling_flags(threshold: float, min_rows: int = 3) -> dict[str, Column]:
+def rolling_flags(threshold: float, min_rows: int = 3) -> dict[str, Column]:
+    """The rolling detector's two columns from the statistics of the rows before."""
     enough = (F.col("prior_n") >= min_rows) & (F.col("prior_std_samp") > 0)
     above = _amount() > F.col("prior_avg") + F.lit(float(threshold)) * F.col("prior_std_samp")
     return {
@@ -131,7 +132,7 @@ def rolling_detection(fact: DataFrame, window: int = 10, threshold: float = 2.0,
     """
     return (
         with_prior_stats(fact, window, **parts)
-        .withColumns(_rolling_flags(threshold))
+        .withColumns(rolling_flags(threshold))
         .withColumnsRenamed({"prior_avg": "rolling_mean", "prior_std_samp": "rolling_std"})
         .drop("prior_n", "prior_std_pop")
     )
@@ -158,7 +159,7 @@ def detector_flags(
         .withColumn("is_anomaly_iqr", _outside())
         .drop("lower", "upper")
         .withColumn("is_anomaly_zscore", (F.abs("z_score") > z_threshold).cast("int"))
-        .withColumns(_rolling_flags(threshold))
+        .withColumns(rolling_flags(threshold))
         .drop("prior_n", "prior_avg", "prior_std_pop", "prior_std_samp", "cust_mean", "cust_std")
     )
 

@@ -733,6 +733,48 @@ def oracle_statements() -> dict[str, str]:
       SELECT {cnt('transaction_id transaction_id')}, customer_id, {cnt('step step')}, {num('amount amount')}, {cnt('is_fraud is_fraud', 'count(*) inbound_count')},
              {num('sum(got) inbound_total')}, {cnt('max(got_step) last_inbound_step', 'step-max(got_step) steps_since_inbound')}
       FROM pairs GROUP BY transaction_id, customer_id, step, amount, is_fraud""")
+    # cash-outs take what transfers have left, first in, first out: intervals on the line of the money that came in
+    o["flow_trace"] = stmt("""
+      , moves AS (SELECT recipient_id AS acct, step, transaction_id AS id, amount AS i, 0 AS o FROM fact WHERE transaction_type = 'TRANSFER'
+                  UNION ALL SELECT customer_id, step, transaction_id, 0, amount FROM fact WHERE transaction_type = 'CASH_OUT'),
+      sums AS (SELECT *, sum(i) OVER w AS came, sum(o) OVER w AS went FROM moves WINDOW w AS (PARTITION BY acct ORDER BY step, id ROWS UNBOUNDED PRECEDING)),
+      least_lead AS (SELECT *, least(0, min(came - went) FILTER (WHERE o > 0) OVER w) AS lead FROM sums
+                     WINDOW w AS (PARTITION BY acct ORDER BY step, id ROWS UNBOUNDED PRECEDING)),
+      ins AS (SELECT acct, step, id, came - i AS a, came AS b FROM sums WHERE i > 0),
+      outs AS (SELECT acct, step, id, coalesce(lag(went + lead) OVER (PARTITION BY acct ORDER BY step, id), 0) AS a, went + lead AS b FROM least_lead WHERE o > 0)
+      SELECT ins.acct AS customer_id, CAST(ins.id AS BIGINT) AS transfer_id, CAST(outs.id AS BIGINT) AS cash_out_id,
+             CAST(ins.step AS BIGINT) AS transfer_step, CAST(outs.step AS BIGINT) AS cash_out_step, CAST(least(ins.b, outs.b) - greatest(ins.a, outs.a) AS DOUBLE) AS amount
+      FROM ins JOIN outs ON ins.acct = outs.acct AND ins.a < outs.b AND outs.a < ins.b""")
+    o["incremental_detection"] = stmt(f"""
+      , cut AS (SELECT *, least(transaction_day // 10, 2) AS batch FROM fact),
+      rolled AS (SELECT *, avg(amount) OVER c AS m, stddev_samp(amount) OVER c AS s, avg(amount) OVER w AS rm, stddev_samp(amount) OVER w AS rs, count(*) OVER w AS n
+                 FROM cut WINDOW c AS (PARTITION BY customer_id ORDER BY batch RANGE UNBOUNDED PRECEDING),
+                                 w AS (PARTITION BY customer_id ORDER BY step, transaction_id ROWS BETWEEN 10 PRECEDING AND 1 PRECEDING)),
+      judged AS (SELECT *, CASE WHEN s > 0 THEN (CAST(amount AS DOUBLE) - m) / s ELSE 0 END AS z, CASE WHEN n >= 3 AND rs > 0 THEN 1 ELSE 0 END AS known FROM rolled)
+      SELECT {ident}, customer_id, {num('amount amount')}, {cnt('batch batch')}, {rnd('z', 4)} AS z_score,
+             {cnt('CASE WHEN abs(z) > 3 THEN 1 ELSE 0 END is_anomaly_zscore', 'known has_history', 'CASE WHEN known = 1 AND amount > rm + 2 * rs THEN 1 ELSE 0 END is_anomaly_rolling')}
+      FROM judged""")
+    hours_done = "date_trunc('milliseconds', {}) - INTERVAL {} HOUR"
+    o["streaming_velocity_alerts"] = f"""
+      WITH hours AS (SELECT CASE WHEN event_id % 2 = 0 THEN 'C' || user_id ELSE 'C' || user_id || '_' || (event_id % 37) END AS customer_id, date_trunc('hour', ts) AS h, count(*) AS n
+                     FROM events WHERE date_trunc('hour', ts) + INTERVAL 1 HOUR <= {hours_done.format('(SELECT max(ts) FROM events)', 2)} GROUP BY 1, 2),
+      before AS (SELECT *, avg(n) OVER w AS m, stddev_pop(n) OVER w AS s, count(*) OVER w AS k FROM hours
+                 WINDOW w AS (PARTITION BY customer_id ORDER BY h ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+      SELECT customer_id, strftime(h, '%Y-%m-%d %H:%M:%S') AS hour_start, n AS txn_count, {rnd('m', 6)} AS usual_mean, {rnd('s', 6)} AS usual_std,
+             CASE WHEN s > 0 THEN {rnd('(n - m) / nullif(s, 0)')} END AS velocity_z_score,
+             CASE WHEN s = 0 THEN 'MEDIUM' WHEN (n - m) / s > 3 THEN 'CRITICAL' ELSE 'HIGH' END AS severity
+      FROM before WHERE k >= 5 AND n > m + 2 * s"""
+    o["streaming_pass_through"] = stmt(f"""
+      , done AS (SELECT least({hours_done.format("max(ts) FILTER (WHERE event_type = 'click')", 2)},
+                              max(date_trunc('hour', ts)) FILTER (WHERE event_type = 'purchase') - INTERVAL 3 HOUR) AS w FROM events),
+      pairs AS (SELECT b.transaction_id, b.customer_id, b.step, b.amount, b.is_fraud, a.amount AS got, a.step AS got_step
+                FROM fact b JOIN fact a ON a.recipient_id = b.customer_id AND a.step BETWEEN b.step - 3 AND b.step
+                WHERE b.transaction_type = 'CASH_OUT' AND a.transaction_type = 'TRANSFER')
+      SELECT {cnt('transaction_id transaction_id')}, customer_id, strftime(TIMESTAMP '2024-01-01' + to_hours(CAST(step AS INTEGER)), '%Y-%m-%d %H:%M:%S') AS hour_start,
+             {num('amount amount')}, {cnt('is_fraud is_fraud', 'count(*) inbound_count')}, {num('sum(got) inbound_total')}, {cnt('step-max(got_step) steps_since_inbound')}
+      FROM pairs, done WHERE TIMESTAMP '2024-01-01' + to_hours(CAST(step + 1 AS INTEGER)) <= w GROUP BY transaction_id, customer_id, step, amount, is_fraud""")
+    o["refresh_from_deltas"] = o["dim_risk_refresh"]
+    o["compacted_fact"] = stmt(f"SELECT {RAW_NO_ID}, {DERIVED} FROM fact")
     o["weekly_rollup"] = _rollup(7, "week")
     o["monthly_rollup"] = _rollup(30, "month")
     return o

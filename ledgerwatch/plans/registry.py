@@ -10,13 +10,14 @@ from pyspark.sql import functions as F
 
 from ..functions import round_half_up
 from ..operators import alerts as al
-from ..operators import charts, explore, hypothesis, patterns, quality, reports, risk, rules
+from ..operators import charts, explore, flows, hypothesis, incremental, patterns, quality, reports, risk, rules
 from ..operators import statistical as st
 from ..operators.cleaning import clean_transactions
 from ..operators.dimensions import dim_customers, replace_by_key, type_usage
 from ..schema import CSV_TO_FACT
 from ..session import scratch_path, stored
 from ..sources.batches import load_batch, read_rejected, rejected_counts
+from ..sources.compaction import batch_bytes, compact
 from ..sources.events import as_csv_columns, fact_from_events, raw_from_events, read_events
 from ..sources.tables import (
     read_alerts,
@@ -28,9 +29,10 @@ from ..sources.tables import (
     write_fact,
     write_version,
 )
+from ..streaming.alerts import rocksdb, streaming_pass_through, streaming_velocity_alerts, write_stream
 from ..streaming.ingest import ingest
 from ..streaming.velocity import hourly_activity, stream_events, write_finished_hours
-from .jobs import Store, load_job
+from .jobs import Store, load_job, refresh_from_deltas_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALERT_EPOCH = dt.datetime(2024, 2, 1)
@@ -185,6 +187,32 @@ def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_counts(read_rejected(spark, store.fact))
 
 
+def _daily_loads(spark: SparkSession, sf_dir: str, store: Store, after_each: Callable[[int], None] = lambda n: None) -> None:
+    """The log in five loads of neighbouring days, each file offered a second time with the next one."""
+    raw, folder = _raw(spark, sf_dir), scratch_path(spark, "csv")
+    for n in range(5):
+        as_csv_columns(raw.filter(F.least(F.expr("step div 144"), F.lit(4)) == n)).coalesce(2).write.mode("append").option("header", True).csv(folder)
+        load_batch(read_transactions(spark, folder), store.fact)
+        after_each(n)
+
+
+def _refresh_from_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Refreshed after the second and the last load, and once more without a new one."""
+    store = Store(scratch_path(spark, "store"))
+    _daily_loads(spark, sf_dir, store, lambda n: refresh_from_deltas_job(spark, store, n) if n in (1, 4) else None)
+    return refresh_from_deltas_job(spark, store, 5)
+
+
+def _compacted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five loads brought together twice over; the first bins hold two or three batches each."""
+    store = Store(scratch_path(spark, "store"))
+    _daily_loads(spark, sf_dir, store)
+    largest = max(batch_bytes(spark, store.fact).values())
+    compact(spark, store.fact, 3 * largest)
+    compact(spark, store.fact, 100 * largest)
+    return read_fact(spark, store.fact).drop("transaction_id", "batch_id")
+
+
 def _read_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "fact")
     write_fact(fact_from_events(spark, sf_dir), path)
@@ -245,6 +273,25 @@ def _streaming_hourly_velocity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema("customer_id string, hour_start timestamp, txn_count long").parquet(out)
 
 
+def _written(rows: DataFrame) -> DataFrame:
+    """What a stream over the available input appends."""
+    out, progress = scratch_path(rows.sparkSession, "stream"), scratch_path(rows.sparkSession, "progress")
+    write_stream(rows, out, progress)
+    return rows.sparkSession.read.schema(rows.schema).parquet(out)
+
+
+def _streaming_velocity_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with rocksdb(spark):
+        found = _written(streaming_velocity_alerts(stream_events(spark, sf_dir)))
+    rounded = {"usual_mean": 6, "usual_std": 6, "velocity_z_score": 2}
+    return found.withColumns({c: round_half_up(c, d) for c, d in rounded.items()})
+
+
+def _streaming_pass_through(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = stream_events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    return _written(streaming_pass_through(raw_from_events(events, "ts")))
+
+
 def _scored(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumn("z_score", round_half_up("z_score", 4)).select("transaction_id", "is_fraud", "customer_id", "amount", *columns)
 
@@ -254,6 +301,18 @@ def _batch_zscore(fact: DataFrame) -> DataFrame:
     return al.batch_zscore_alerts(st.zscore_anomalies(batches, 3.0, ["batch", "customer_id"])).select(al.CORE)
 
 
+def _in_three_batches(fact: DataFrame) -> DataFrame:
+    """Ten days each, judged in turn from the state that the batches before have left."""
+    spark, judged = fact.sparkSession, None
+    state = incremental.no_state(spark)
+    for batch in range(3):
+        rows = fact.filter(F.least(F.expr("transaction_day div 10"), F.lit(2)) == batch)
+        flags = stored(incremental.judged_batch(rows, state).withColumn("batch", F.lit(batch)), "judged")
+        judged = flags if judged is None else judged.unionByName(flags)
+        state = stored(incremental.merged_states(state, incremental.state_of(rows)), "state")
+    return _scored(judged, "batch", "z_score", "is_anomaly_zscore", "has_history", "is_anomaly_rolling")
+
+
 def _high_amount(fact: DataFrame) -> DataFrame:
     """All transactions are judged; those of the early days carry the alert already."""
     known = fact.filter(F.col("transaction_day") < SPLIT_DAY).select("transaction_id", F.lit("HIGH_AMOUNT").alias("alert_type"))
@@ -345,6 +404,8 @@ ON_FACT: dict[str, Callable[[DataFrame], DataFrame]] = {
     "chi2_goodness_hours": hypothesis.fraud_hours,
     "test_summary": hypothesis.test_summary,
     "pass_through": patterns.pass_through,
+    "flow_trace": flows.flow_trace,
+    "incremental_detection": lambda f: _in_three_batches(f),
     "weekly_rollup": lambda f: reports.period_rollup(f, 7, "week"),
     "monthly_rollup": lambda f: reports.period_rollup(f, 30, "month"),
 }
@@ -379,12 +440,16 @@ ON_FILES: dict[str, Query] = {
     "write_fact": _write_fact,
     "two_bulk_loads": _two_bulk_loads,
     "rejected_rows": _rejected_rows,
+    "refresh_from_deltas": _refresh_from_deltas,
+    "compacted_fact": _compacted_fact,
     "read_table": _read_table,
     "incremental_files": _incremental_files,
     "incremental_ingest_job": _incremental_ingest_job,
     "dim_customers_upsert": _dim_upsert,
     "append_alerts": _append_alerts,
     "streaming_hourly_velocity": _streaming_hourly_velocity,
+    "streaming_velocity_alerts": _streaming_velocity_alerts,
+    "streaming_pass_through": _streaming_pass_through,
 }
 
 

@@ -4,21 +4,25 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.dimensions import dim_transaction_types
+from ..operators.dimensions import dim_customers, dim_transaction_types
 from ..operators.reports import active_alerts, customer_360, daily_dashboard
-from ..sources.tables import read_alerts, read_fact, read_version
+from ..operators.risk import dim_risk_refresh
+from ..schema import REPORT
+from ..sources.tables import read_alerts, read_fact, read_or_empty
 from .jobs import Store
 
 
 def register_views(spark: SparkSession, store: Store, dim_version: int) -> dict[str, DataFrame]:
     """Registers the five tables and the three dashboard views; returns them by name.
 
-    All of them stay lazy: a query on a view is planned as a whole, so its filters and columns
-    reach the scans behind it.
+    The views are there from the start: tables that have not been written yet are empty. A query on a view is
+    planned as a whole, so its filters and columns reach the scans behind it; only the list of complete
+    loads is read now.
     """
-    fact, alerts = read_fact(spark, store.fact), read_alerts(spark, store.alerts)
-    customers = read_version(spark, store.customers, dim_version)
-    reports = spark.read.parquet(store.reports)
+    fact, alerts = read_fact(spark, store.fact), read_alerts(spark, store.alerts, store.fact)
+    no_customers = dim_risk_refresh(dim_customers(fact)).schema
+    customers = read_or_empty(spark, f"{store.customers}/version={dim_version}", no_customers)
+    reports = read_or_empty(spark, store.reports, REPORT)
     views = {
         "fact_transactions": fact,
         "dim_customers": customers,

@@ -76,6 +76,21 @@ FACT = T.StructType(
     ]
 )
 
+REPORT = T.StructType(
+    [
+        T.StructField("report_day", T.IntegerType()),
+        T.StructField("total_txns", T.LongType()),
+        T.StructField("total_volume", T.DecimalType(25, 2)),
+        T.StructField("fraud_count", T.LongType()),
+        T.StructField("fraud_rate", T.DoubleType()),
+        T.StructField("avg_txn_amount", T.DoubleType()),
+        T.StructField("max_txn_amount", MONEY),
+        T.StructField("alert_count", T.LongType()),
+        T.StructField("high_risk_customers", T.LongType()),
+        T.StructField("report_generated_at", T.TimestampType()),
+    ]
+)
+
 ALERT = T.StructType(
     [
         T.StructField("alert_id", T.LongType()),

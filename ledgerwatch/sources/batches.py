@@ -16,17 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..operators.cleaning import clean_transactions, derive_features, rejection_reason
+from ..operators.incremental import PARTIAL, customer_partials
 from ..schema import CSV_TO_FACT, FACT
 from ..session import stored
-from .tables import BAD_RECORD, SOURCE_FILE, number_rows, read_or_empty, write_fact
+from .tables import BAD_RECORD, SOURCE_FILE, commit_batch, loaded_batches, next_numbers, number_rows, read_manifest, read_or_empty, write_rows
 
-MANIFEST = T.StructType(
-    [
-        *[T.StructField(name, kind) for name, kind in SOURCE_FILE.items()],
-        T.StructField("last_id", T.LongType()),
-        T.StructField("batch_id", T.IntegerType()),
-    ]
-)
 REJECTED = T.StructType(
     [
         T.StructField("transaction_id", T.LongType()),
@@ -38,11 +32,6 @@ REJECTED = T.StructType(
 )
 
 
-def read_manifest(spark: SparkSession, fact_path: str) -> DataFrame:
-    """The loaded files with their batch and the last id it used."""
-    return read_or_empty(spark, f"{fact_path}_batches", MANIFEST)
-
-
 def read_rejected(spark: SparkSession, fact_path: str) -> DataFrame:
     """Rows of the log that were not loaded, each with its reason and the record as it arrived."""
     return read_or_empty(spark, f"{fact_path}_rejected", REJECTED)
@@ -61,9 +50,7 @@ def load_batch(raw: DataFrame, fact_path: str, then: Callable[[DataFrame, int],
     """
     spark = raw.sparkSession
     manifest = read_manifest(spark, fact_path)
-    batch_id, first_id = manifest.select(
-        F.coalesce(F.max("batch_id"), F.lit(0)) + 1, F.coalesce(F.max("last_id"), F.lit(0)) + 1
-    ).first()
+    batch_id, first_id = next_numbers(spark, fact_path)
     rows, n_rows = number_rows(raw.withColumn("_reason", rejection_reason()), first_id)
     keys = list(SOURCE_FILE)
     files = stored(rows.select(keys).distinct(), "files")
@@ -75,21 +62,30 @@ def load_batch(raw: DataFrame, fact_path: str, then: Callable[[DataFrame, int],
         rows = rows.join(known, keys, "left_anti")
 
     good = clean_transactions(rows.filter(F.col("_reason").isNull()).drop("_reason", BAD_RECORD, *keys))
-    write_fact(derive_features(good), fact_path, batch_id)
+    write_rows(derive_features(good), fact_path, batch_id)
     rows.filter(F.col("_reason").isNotNull()).select(
         "transaction_id",
         F.col("_reason").alias("reason"),
         F.coalesce(F.col(BAD_RECORD), F.to_csv(F.struct(*CSV_TO_FACT))).alias("record"),
         F.col("_file").alias("source_file"),
     ).write.mode("overwrite").parquet(f"{fact_path}_rejected/batch_id={batch_id}")
+    # an explicit schema, as a batch whose rows were all rejected has no files to take it from
+    written = read_batch(spark, fact_path, batch_id)
+    customer_partials(written).write.mode("overwrite").parquet(f"{fact_path}_customers/batch_id={batch_id}")
     if then:
-        # an explicit schema, as a batch whose rows were all rejected has no files to take it from
-        then(read_batch(spark, fact_path, batch_id), batch_id)
-    fresh.withColumn("last_id", F.lit(first_id + n_rows - 1).cast("long")).write.mode("overwrite").parquet(
-        f"{fact_path}_batches/batch_id={batch_id}"
-    )
+        then(written, batch_id)
+    commit_batch(spark, fact_path, batch_id, fresh, first_id + n_rows - 1)
     return batch_id
 
 
+def read_partials(spark: SparkSession, fact_path: str, above: int = 0) -> DataFrame:
+    """What each complete load with a number above ``above`` adds to its customers.
+
+    A load that is retried replaces its lines, and one that is not complete has none yet, so nothing counts twice.
+    """
+    lines = read_or_empty(spark, f"{fact_path}_customers", T.StructType.fromDDL(f"{PARTIAL}, batch_id int"))
+    return lines.filter(F.col("batch_id").isin([b for b in loaded_batches(spark, fact_path) if b > above]))
+
+
 def read_batch(spark: SparkSession, fact_path: str, batch_id: int) -> DataFrame:
     return read_or_empty(spark, f"{fact_path}/batch_id={batch_id}", FACT)

@@ -59,14 +59,14 @@ def customer_of() -> Column:
     return F.expr(CUSTOMER)
 
 
-def raw_from_events(events: DataFrame) -> DataFrame:
-    """transaction_id plus the eleven raw columns, under their fact names."""
+def raw_from_events(events: DataFrame, *kept: str) -> DataFrame:
+    """transaction_id plus the eleven raw columns, under their fact names, and columns of the events that are ``kept``."""
     return (
-        events.selectExpr(*EVENT_COLUMNS)
+        events.selectExpr(*kept, *EVENT_COLUMNS)
         .selectExpr("*", AMOUNT)
         .selectExpr("*", OLD_BALANCE)
         .selectExpr("*", NEW_BALANCE)
-        .selectExpr(*RAW_COLUMNS)
+        .selectExpr(*kept, *RAW_COLUMNS)
     )
 
 

@@ -16,9 +16,18 @@ from ..session import stored
 FIRST_LOAD = 0  # batch number of a table written in one piece; loads of files are numbered from 1
 STORED_FACT = T.StructType([*FACT.fields, T.StructField("batch_id", T.IntegerType())])
 STORED_ALERT = T.StructType([*ALERT.fields, T.StructField("source", T.StringType()), T.StructField("batch_id", T.IntegerType())])
+LOAD_ALERTS = "ingest"  # source of the alerts that belong to a load
 BAD_RECORD = "_bad_record"
 # what identifies a source file
 SOURCE_FILE = {"_file": T.StringType(), "_bytes": T.LongType(), "_modified": T.TimestampType()}
+MANIFEST = T.StructType(
+    [
+        *[T.StructField(name, kind) for name, kind in SOURCE_FILE.items()],
+        T.StructField("last_id", T.LongType()),
+        T.StructField("replaces", T.ArrayType(T.IntegerType())),
+        T.StructField("batch_id", T.IntegerType()),
+    ]
+)
 _SOURCE = ("_metadata.file_path AS _file", "_metadata.file_size AS _bytes", "_metadata.file_modification_time AS _modified")
 
 
@@ -81,8 +90,48 @@ def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataF
         return spark.createDataFrame([], schema)
 
 
+def read_manifest(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The loaded files with their batch, the last id it used and the batches it replaces."""
+    return read_or_empty(spark, f"{fact_path}_batches", MANIFEST)
+
+
+def loaded_batches(spark: SparkSession, fact_path: str) -> list[int]:
+    """Loads that are complete, also where another batch has replaced their rows; one number per load."""
+    return sorted(r[0] for r in read_manifest(spark, fact_path).filter("replaces IS NULL").select("batch_id").distinct().collect())
+
+
+def effective_batches(spark: SparkSession, fact_path: str) -> list[int]:
+    """Batches that make up the table: complete and not replaced by another one."""
+    lines = read_manifest(spark, fact_path).select("batch_id", F.coalesce("replaces", F.array()).alias("replaces")).distinct().collect()
+    return sorted({r.batch_id for r in lines} - {b for r in lines for b in r.replaces})
+
+
+def next_numbers(spark: SparkSession, fact_path: str) -> tuple[int, int]:
+    """The next free batch number and transaction id."""
+    manifest = read_manifest(spark, fact_path)
+    return tuple(manifest.select(F.coalesce(F.max("batch_id"), F.lit(0)) + 1, F.coalesce(F.max("last_id"), F.lit(0)) + 1).first())
+
+
+def commit_batch(
+    spark: SparkSession, fact_path: str, batch_id: int, files: DataFrame | None = None, last_id: int | None = None, replaces: Sequence[int] = ()
+) -> None:
+    """Writes the manifest that makes a batch count: one file, which appears at once."""
+    if files is None:
+        files = spark.createDataFrame([(None,) * len(SOURCE_FILE)], T.StructType([T.StructField(n, k) for n, k in SOURCE_FILE.items()]))
+    lines = files.withColumns({"last_id": F.lit(last_id).cast("long"), "replaces": F.lit(list(replaces)).cast("array<int>") if replaces else F.lit(None).cast("array<int>")})
+    lines.coalesce(1).write.mode("overwrite").parquet(f"{fact_path}_batches/batch_id={batch_id}")
+
+
 def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
-    """Stores one load below its own batch folder, by day inside it.
+    """Stores rows that have their ids already as one batch that counts."""
+    write_rows(rows, path, batch_id)
+    spark = rows.sparkSession
+    last_id = read_or_empty(spark, f"{path}/batch_id={batch_id}", FACT).agg(F.max("transaction_id")).first()[0]
+    commit_batch(spark, path, batch_id, last_id=last_id)
+
+
+def write_rows(rows: DataFrame, path: str, batch_id: int) -> None:
+    """Stores one load below its own batch folder, by day inside it; readers see it once it is committed.
 
     Writing the same batch again replaces it, which makes retries harmless. The rebalance hint
     lets adaptive execution size the files and split the rows of a very busy day; inside a file
@@ -101,8 +150,12 @@ def write_fact(rows: DataFrame, path: str, batch_id: int = FIRST_LOAD) -> None:
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """All loads; filters on transaction_day prune folders. Empty before the first load."""
-    return read_or_empty(spark, path, STORED_FACT)
+    """All complete loads; filters on transaction_day prune folders. Empty before the first load.
+
+    The batches are looked up now: a load or compaction that ends later does not change what is read.
+    """
+    batches = effective_batches(spark, path)
+    return read_or_empty(spark, path, STORED_FACT).filter(F.col("batch_id").isin(batches))
 
 
 def read_table(spark: SparkSession, path: str, view: str) -> DataFrame:
@@ -112,14 +165,37 @@ def read_table(spark: SparkSession, path: str, view: str) -> DataFrame:
     return table
 
 
+def write_step(table: DataFrame, path: str, number: int) -> None:
+    """A table that follows from the loads up to ``number``; it counts once all of it is written."""
+    spark = table.sparkSession
+    table.write.mode("overwrite").parquet(f"{path}/upto={number}")
+    spark.range(1).select(F.lit(number).alias("upto")).coalesce(1).write.mode("overwrite").parquet(f"{path}_done/step={number}")
+
+
+def last_step(spark: SparkSession, path: str) -> int:
+    """The last load that a table of steps covers; 0 where there is none."""
+    return read_or_empty(spark, f"{path}_done", T.StructType.fromDDL("upto int")).agg(F.coalesce(F.max("upto"), F.lit(0))).first()[0]
+
+
+def read_step(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The table as of its last complete step."""
+    return read_or_empty(spark, f"{path}/upto={last_step(spark, path)}", T.StructType.fromDDL(schema))
+
+
 def write_alerts(alerts: DataFrame, path: str, batch_id: int, source: str = "detection") -> None:
     """Alerts of one batch of one job; a repeated batch replaces its own alerts only."""
     alerts.write.mode("overwrite").parquet(f"{path}/source={source}/batch_id={batch_id}")
 
 
-def read_alerts(spark: SparkSession, path: str) -> DataFrame:
-    """All alerts with the job and batch that raised them; empty where none has been written yet."""
-    return read_or_empty(spark, path, STORED_ALERT)
+def read_alerts(spark: SparkSession, path: str, fact_path: str | None = None) -> DataFrame:
+    """All alerts with the job and batch that raised them; empty where none has been written yet.
+
+    With ``fact_path``, alerts that a load raised are left out until the load is complete.
+    """
+    alerts = read_or_empty(spark, path, STORED_ALERT)
+    if fact_path is None:
+        return alerts
+    return alerts.filter((F.col("source") != LOAD_ALERTS) | F.col("batch_id").isin(loaded_batches(spark, fact_path)))
 
 
 def write_version(table: DataFrame, path: str, version: int) -> None:

@@ -13,11 +13,20 @@ from ..sources.batches import load_batch
 from ..sources.tables import csv_rows, header_of, read_fact, write_alerts
 
 
-def stream_files(spark: SparkSession, folder: str, max_files: int | None = None) -> DataFrame:
-    """CSV files of a folder as a stream; the checkpoint remembers which ones are done."""
+MAX_BYTES = 1 << 40  # of files in one micro-batch
+
+
+def stream_files(spark: SparkSession, folder: str, max_files: int | None = None, max_bytes: int | None = MAX_BYTES) -> DataFrame:
+    """CSV files of a folder as a stream; the checkpoint remembers which ones are done.
+
+    A micro-batch takes files up to ``max_bytes`` (and one file at least) or up to ``max_files`` if given, so a
+    long backlog becomes several batches.
+    """
     reader = spark.readStream
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    elif max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return csv_rows(reader, folder, header_of(spark, folder))
 
 
@@ -31,6 +40,7 @@ def ingest(
     threshold: float = 3.0,
     max_files: int | None = None,
     full_history: bool = False,
+    max_bytes: int | None = MAX_BYTES,
 ) -> StreamingQuery:
     """Processes the files that arrived since the last run and stops.
 
@@ -53,7 +63,7 @@ def ingest(
         load_batch(batch, fact_path, alert)
 
     query = (
-        stream_files(spark, folder, max_files)
+        stream_files(spark, folder, max_files, max_bytes)
         .writeStream.foreachBatch(load)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)

@@ -17,9 +17,11 @@ def stream_events(spark: SparkSession, folder: str, table: str = "events.parquet
     return reader.parquet(f"{folder}/{table}")
 
 
-def hourly_activity(events: DataFrame, late: str = "2 hours") -> DataFrame:
+def hourly_activity(events: DataFrame, late: str = "2 hours", keep_window: bool = False) -> DataFrame:
     """Transactions per (customer, hour). An hour is final once the watermark passes its end.
 
+    ``keep_window`` adds ``hour``, the window itself, by which a following operator knows the event time.
+
     ``ts`` has no zone in the source; watermarks need a timestamp with one (the session runs in UTC).
     """
     return (
@@ -27,7 +29,7 @@ def hourly_activity(events: DataFrame, late: str = "2 hours") -> DataFrame:
         .withWatermark("ts", late)
         .groupBy("customer_id", F.window("ts", "1 hour"))
         .agg(F.count(F.lit(1)).alias("txn_count"))
-        .select("customer_id", F.col("window.start").alias("hour_start"), "txn_count")
+        .select("customer_id", F.col("window.start").alias("hour_start"), "txn_count", *([F.col("window").alias("hour")] if keep_window else []))
     )
 
 
