@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 from array import array
 from functools import lru_cache
 
@@ -18,11 +19,13 @@ from ledgerwatch.session import stored
 #: Lengths are rounded up to 1 / UNITS of a sequence for the patterns.
 UNITS = 64
 #: Most documents of a pattern.
-DEPTH = 4
+DEPTH = 3
 #: Pieces that are placed together; only their ids and lengths meet.
-GROUP = 8_192
+GROUP = 32_768
 #: Words remembered in each of two generations; when the new one is full it replaces the old.
-_WORDS = 300_000
+_WORDS = 500_000
+#: Plain words that are encoded as one text.
+_JOINED = 500
 #: Letters below this code point have one form only: no combining marks, nothing to compose.
 _LATIN = 0x250
 
@@ -56,18 +59,31 @@ class WordIds:
         pre = self.model.pre_tokenizer
         self.splits = self.separable and pre is not None and all([p for _, p in pre.pre_tokenize_str(f"ab{c}")] == [(0, 2), (2, 3)] and [p for _, p in pre.pre_tokenize_str(f"1{c}")][-1] == (1, 2) for c in ".,;:!?")
         self.plain = self._without_normaliser() if self.separable else None
+        size = self.model.get_vocab_size(with_added_tokens=True)
+        self.ends = np.zeros(size, bool)  # ids that end a word
+        self.ends[[i for token, i in self.model.get_vocab().items() if token.endswith("</w>")]] = True
 
     def _without_normaliser(self):
         """The bare model behind bytes, or None if a lower-case Latin letter inside a word then gets other ids."""
         from tokenizers import Tokenizer
-        from tokenizers.pre_tokenizers import ByteLevel
+        from tokenizers.pre_tokenizers import ByteLevel, Sequence, WhitespaceSplit
 
         plain = Tokenizer(self.model.model)
-        plain.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)
+        plain.pre_tokenizer = Sequence([WhitespaceSplit(), ByteLevel(add_prefix_space=False, use_regex=False)])
         letters = [c for c in map(chr, range(_LATIN)) if _is_plain(f"b{c}")]
+        self.latin = re.compile(f"[{''.join(letters)}]+").fullmatch
         probes = [*(f"b{c}" for c in letters), *(f"{c}d" for c in letters), *(f"b{c}d" for c in letters), "".join(letters)]
         return plain if self._ids(probes) == self._ids(probes, plain) else None
 
+    def _plain_ids(self, words: list[str]) -> list[bytes]:
+        """The ids of plain words, many in one text, which is cut behind every id that ends a word."""
+        out: list[bytes] = []
+        for text in self._ids([" ".join(words[low : low + _JOINED]) for low in range(0, len(words), _JOINED)], self.plain):
+            cuts = (4 * np.flatnonzero(self.ends[np.frombuffer(text, np.uint32)]) + 4).tolist()
+            out.extend(text[low:high] for low, high in zip([0, *cuts], cuts))
+        # a vocabulary without marks of word ends gives other counts: then one by one
+        return out if len(out) == len(words) else self._ids(words, self.plain)
+
     def _ids(self, texts: list[str], model=None) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in (model or self.model).encode_batch_fast(texts, add_special_tokens=False)]
 
@@ -88,9 +104,10 @@ class WordIds:
         alone = (new - bare.keys()).union({w[-1:] for w in bare}, bare.values()).difference(self.known)
         simple, other = [], []
         for word in map(bytes.decode, alone):
-            (simple if self.plain and _is_plain(word) else other).append(word)
-        for model, words in ((self.plain, simple), (self.model, other)):
-            self.known.update(zip(map(str.encode, words), self._ids(words, model)))
+            (simple if self.plain and self.latin(word) else other).append(word)
+        if simple:
+            self.known.update(zip(map(str.encode, simple), self._plain_ids(simple)))
+        self.known.update(zip(map(str.encode, other), self._ids(other)))
         for word, stem in bare.items():
             self.known[word] = self.known[stem] + self.known[word[-1:]]
         return [b"".join(map(self.known.__getitem__, words)) for words in cut]
@@ -116,7 +133,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int, end_id: int |
         for batch in batches:
             out = ([], [], [], [], [])
             docs_here, texts = columns_of(batch, "i", "t")
-            coded = (ids for low in range(0, len(texts), 256) for ids in model.encode([t or "" for t in texts[low : low + 256]]))
+            coded = (ids for low in range(0, len(texts), 1024) for ids in model.encode([t or "" for t in texts[low : low + 1024]]))
             for doc, ids in zip(docs_here, coded):
                 ids += tail
                 for piece, at in enumerate(range(0, max(1, len(ids)), 4 * limit)):
@@ -193,55 +210,91 @@ def fit_patterns(histogram: np.ndarray, units: int = UNITS, depth: int = DEPTH)
     return [(shapes[j], float(x[j])) for j in np.flatnonzero(x > 0)]
 
 
+class _ByLength:
+    """Numbers of pieces or sequences by a length, with the lengths that occur as bits of one integer."""
+
+    def __init__(self):
+        self.at: dict[int, list[int]] = {}
+        self.bits = 0
+
+    def put(self, n: int, i: int) -> None:
+        self.at.setdefault(n, []).append(i)
+        self.bits |= 1 << n
+
+    def take(self, n: int) -> int:
+        i = self.at[n].pop()
+        if not self.at[n]:
+            self.bits &= ~(1 << n)
+        return i
+
+    def longest(self, most: int) -> int:
+        """The greatest length up to ``most``, -1 if there is none."""
+        return (self.bits & ((1 << (most + 1)) - 1)).bit_length() - 1
+
+    def shortest(self, least: int) -> int:
+        """The least length from ``least`` on, -1 if there is none."""
+        above = self.bits >> least
+        return least + (above & -above).bit_length() - 1 if above else -1
+
+
 def place(lengths: np.ndarray, limit: int, plan: list[tuple[tuple[int, ...], float]], share: np.ndarray, units: int = UNITS) -> tuple[np.ndarray, np.ndarray]:
     """Sequence number and offset of each piece of one group.
 
-    Patterns are used floor(count x the group's share) times while pieces last. What they leave goes, longest first,
-    to the sequence with the smallest gap that holds it, or to a new one. Full pieces stand alone.
+    Patterns are used floor(count x the group's share) times while pieces last: each slot takes the longest piece
+    of its length class, the last one the longest piece of any class that fits the room the others have
+    really left. What remains goes, longest first, to the sequence with the smallest gap that holds it, or to
+    a new one. Full pieces stand alone.
     """
     sequence, offset = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
-    shelves: dict[int, list[int]] = {}
-    order = np.lexsort((np.arange(len(lengths)), lengths))
-    for i in order.tolist():  # shortest first, so that the longest of a shelf is taken first
-        shelves.setdefault(-(-int(lengths[i]) * units // limit) or 1, []).append(i)
+    waiting, gaps = _ByLength(), _ByLength()
+    for i in range(len(lengths) - 1, -1, -1):
+        waiting.put(int(lengths[i]), i)
+    top = [u * limit // units for u in range(units + 1)]  # longest length of each class
     room: list[int] = []
 
-    def put(i: int, s: int) -> None:
-        n = int(lengths[i])
+    def put(n: int, s: int) -> None:
+        i = waiting.take(n)
         sequence[i], offset[i] = s, limit - room[s]
         room[s] -= n
 
-    gaps: dict[int, list[int]] = {}
-    open_gaps = 0
-
-    def keep_gap(s: int) -> None:
-        nonlocal open_gaps
-        if room[s]:
-            gaps.setdefault(room[s], []).append(s)
-            open_gaps |= 1 << room[s]
+    def fits(shape: tuple[int, ...]) -> list[int] | None:
+        """Lengths for a pattern's slots, or None where a class has run out."""
+        found, used, left = [], {}, limit
+        for u in shape[:-1]:
+            n = waiting.longest(min(top[u], left))
+            while n > top[u - 1] and used.get(n, 0) >= len(waiting.at[n]):
+                n = waiting.longest(n - 1)
+            if n <= top[u - 1] and not (u == 1 and n >= 0):
+                return None
+            found.append(n)
+            used[n] = used.get(n, 0) + 1
+            left -= n
+        n = waiting.longest(left)
+        while n >= 0 and used.get(n, 0) >= len(waiting.at[n]):
+            n = waiting.longest(n - 1)
+        return None if n < 0 else [*found, n]
 
     for shape, count in plan:
-        need = {u: shape.count(u) for u in shape}
-        times = int(min([count * min(share[u] for u in need), *(len(shelves.get(u, ())) // k for u, k in need.items())]))
-        for _ in range(times):
+        for _ in range(int(count * min(share[u] for u in shape))):
+            slots = fits(shape)
+            if slots is None:
+                break
             room.append(limit)
-            for u in shape:
-                put(shelves[u].pop(), len(room) - 1)
-            keep_gap(len(room) - 1)
-    left = sorted((i for shelf in shelves.values() for i in shelf), key=lambda i: (-int(lengths[i]), i))
-    for i in left:
-        n = int(lengths[i])
-        fitting = open_gaps >> n
-        if fitting:
-            gap = n + (fitting & -fitting).bit_length() - 1
-            s = gaps[gap].pop()
-            if not gaps[gap]:
-                open_gaps &= ~(1 << gap)
+            for n in slots:
+                put(n, len(room) - 1)
+            if room[-1]:
+                gaps.put(room[-1], len(room) - 1)
+    while waiting.bits:
+        n = waiting.longest(limit)
+        gap = gaps.shortest(n)
+        if gap >= 0:
+            s = gaps.take(gap)
         else:
             room.append(limit)
             s = len(room) - 1
-        put(i, s)
-        keep_gap(s)
+        put(n, s)
+        if room[s]:
+            gaps.put(room[s], s)
     return sequence, offset
 
 
@@ -249,7 +302,7 @@ def pack(pieces: DataFrame, limit: int, key: list[str], length_col: str = "lengt
     """``pieces`` with ``sequence_id`` (long) and ``offset`` (long): at most ``limit`` tokens each, gapless from 0.
 
     Patterns are fitted once to the whole histogram of lengths (at most ``limit`` counts reach the driver). Pieces
-    are dealt evenly, whatever their keys, into groups of about ``group`` rows; each group uses the patterns for its share and fills gaps best-fit. Every piece is placed once;
+    are dealt evenly, whatever their keys, into groups of about ``group`` rows; each group uses the patterns for its share, fills their last slots exactly and the gaps best-fit. Every piece is placed once;
     ``pieces`` is a stored table, so that a lost task deals the same rows again;
     pieces of length 0 fit anywhere. Lengths are at most ``limit``. Send only what placing needs through here: keys
     and lengths, not ids.
