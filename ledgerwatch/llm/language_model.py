@@ -10,15 +10,16 @@ from math import log10
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerwatch.llm.text import columns_of, remainder, words_of
 from ledgerwatch.session import stored
 
 END = b"\n"  # no word holds a line break
-#: Most frequent tokens that are units of the model; the others are met through classes of endings.
-FREQUENT = 512
+#: Least and most number of frequent tokens that are units of the model: the square root of the number of distinct
+#: tokens between these; the others are met through classes of endings.
+FREQUENT = 512, 1024
 #: Classes of the other tokens, by a hash of their last three bytes.
 CLASSES = 256
 CONTEXT = 2
@@ -144,33 +145,64 @@ class Model:
             s += g * g
             x += _RATE * g / np.sqrt(s)
 
-    def log10_probabilities(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Normalised over all units, in blocks; contexts that recur in a block are normalised once."""
-        out = np.empty(len(target))
+    def contexts(self) -> int:
+        """Number of contexts: any unit or the start of a text at each place."""
+        return (len(self.b) + 1) ** CONTEXT
+
+    def numbers(self, context: np.ndarray) -> np.ndarray:
+        """The number of each context."""
+        number = context[:, 0].astype(np.int64)
+        for k in range(1, CONTEXT):
+            number = number * (len(self.b) + 1) + context[:, k]
+        return number
+
+    def norms(self, low: int, high: int) -> np.ndarray:
+        """Log of the sum of exp(score) over all units, for the contexts numbered ``low`` to ``high``."""
+        out = np.empty(high - low, np.float32)
         table = np.ascontiguousarray(np.column_stack([self.r, self.b]).T)
         ones = np.ones(len(self.b), np.float32)
+        for at in range(low, high, 256):
+            number = np.arange(at, min(at + 256, high))
+            context = np.stack(np.unravel_index(number, (len(self.b) + 1,) * CONTEXT), axis=1)
+            scores = np.column_stack([self.predict(context), np.ones(len(number), np.float32)]) @ table
+            with np.errstate(over="ignore"):
+                sums = np.exp(scores) @ ones
+            if not np.isfinite(sums).all():
+                top = scores.max(axis=1)
+                out[at - low : at - low + len(number)] = np.log(np.exp(scores - top[:, None]) @ ones) + top
+            else:
+                out[at - low : at - low + len(number)] = np.log(sums)
+        return out
+
+    def log10_probabilities(self, context: np.ndarray, target: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        """Normalised over all units; ``norms`` holds those of all contexts."""
+        out = np.empty(len(target))
         for at in range(0, len(target), 1 << 18):
             c, t = context[at : at + (1 << 18)], target[at : at + (1 << 18)]
-            packed = c[:, 0].astype(np.int64)
-            for k in range(1, CONTEXT):
-                packed = packed * (len(self.b) + 1) + c[:, k]
-            _, first, back = np.unique(packed, return_index=True, return_inverse=True)
-            hats = np.column_stack([self.predict(c[first]), np.ones(len(first), np.float32)])
-            norms = np.empty(len(first), np.float32)
-            for low in range(0, len(first), 256):
-                scores = hats[low : low + 256] @ table
-                with np.errstate(over="ignore"):
-                    sums = np.exp(scores) @ ones
-                if not np.isfinite(sums).all():
-                    top = scores.max(axis=1)
-                    norms[low : low + 256] = np.log(np.exp(scores - top[:, None]) @ ones) + top
-                else:
-                    norms[low : low + 256] = np.log(sums)
-            own = np.einsum("ij,ij->i", hats[back, :-1], self.r[t]) + self.b[t]
-            out[at : at + (1 << 18)] = (own - norms[back]) / np.log(10)
+            own = np.einsum("ij,ij->i", self.predict(c), self.r[t]) + self.b[t]
+            out[at : at + (1 << 18)] = (own - norms[self.numbers(c)]) / np.log(10)
         return out
 
 
+def all_norms(spark: SparkSession, vocabulary: Vocabulary, vector: np.ndarray) -> np.ndarray:
+    """The norms of every context, computed once in blocks over the tasks: a table of fixed size (6.6 MB at most)."""
+    shared = spark.sparkContext.broadcast((vocabulary, vector))
+    count = Model(vocabulary).contexts()
+    block = 1 << 14
+
+    def run(batches):
+        words, parts = shared.value
+        model = Model(words)
+        model.load(parts)
+        for batch in batches:
+            for n in batch.column("id").to_pylist():
+                found = model.norms(n * block, min((n + 1) * block, count))
+                yield pa.RecordBatch.from_arrays([pa.array([n], pa.int64()), pa.array([found.tobytes()], pa.binary())], ["n", "v"])
+
+    blocks = spark.range(-(-count // block)).repartition(-(-count // block)).mapInArrow(run, "n long, v binary").collect()
+    return np.concatenate([np.frombuffer(bytes(r.v), np.float32) for r in sorted(blocks)])
+
+
 def _add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
     """into[rows] += values with repeated rows: sorted runs are summed first."""
     order = np.argsort(rows, kind="stable")
@@ -207,7 +239,10 @@ def _counted(counts: Counter):
 
 
 def vocabulary_of(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, int, int]:
-    """The model's units from stored counts, with the number of training tokens and of distinct ones. At most ``known`` tokens reach the driver."""
+    """The model's units from stored counts, with the number of training tokens and of distinct ones.
+
+    At most ``known`` tokens reach the driver: the most frequent ones, by their bytes where counts are equal.
+    """
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     level = F.floor(8 * F.log2("n"))  # at most 512 levels, whatever the counts
     sizes = sorted(((r[0], r[1]) for r in counts.groupBy(level).count().collect()), reverse=True)
@@ -217,9 +252,13 @@ def vocabulary_of(counts: DataFrame, known: int = KNOWN) -> tuple[Vocabulary, in
         if reached > known:
             break
         least = at
-    top = counts.where(level >= least if least is not None else F.lit(False)).toPandas()
+    whole = counts.where(level >= least if least is not None else F.lit(False)).toPandas()
+    room = known - len(whole)
+    # the level that does not fit as a whole
+    part = counts.where(level < least if least is not None else F.lit(True)).orderBy(F.desc("n"), "token").limit(room).toPandas()
+    top = pd.concat([whole, part])
     top = top.assign(token=top["token"].map(bytes)).sort_values(["n", "token"], ascending=[False, True], ignore_index=True)
-    frequent = [bytes(t) for t in top["token"].head(FREQUENT)]
+    frequent = [bytes(t) for t in top["token"].head(min(max(FREQUENT[0], int(total[1] ** 0.5)), FREQUENT[1]))]
     units = {t: i for i, t in enumerate(frequent)}
     units.setdefault(END, len(units))
     rest = counts.where(~F.col("token").isin(list(units)) if units else F.lit(True))
@@ -317,11 +356,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     vocabulary, n, v = vocabulary_of(counts, known)
     model = train_model(rows.where("NOT held_out"), vocabulary, "i", "t")
     spark = docs.sparkSession
-    shared = spark.sparkContext.broadcast((vocabulary, model.vector()))
+    shared = spark.sparkContext.broadcast((vocabulary, model.vector(), all_norms(spark, vocabulary, model.vector())))
     bottom = log10(n + 1 * (v + 1))
 
     def run(batches):
-        words, vector = shared.value
+        words, vector, norms = shared.value
         local, codes = Model(words), _Codes(words)
         local.load(vector)
         shares = np.where(np.arange(len(words.totals)) >= len(words.units), np.log10(words.totals + words.kinds + 1.0), 0.0)
@@ -334,7 +373,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 context, target = _pairs(codes.unit[flat], words.start)
                 own = flat[flat != codes.start]
                 known = own < codes.n_known
-                logs, counted = local.log10_probabilities(context, target) - shares[target], codes.log_count[own]
+                logs, counted = local.log10_probabilities(context, target, norms) - shares[target], codes.log_count[own]
                 sizes = [len(t) + 1 for t in tokens]
                 starts = np.cumsum([0, *sizes[:-1]])
                 n_tokens += sizes
