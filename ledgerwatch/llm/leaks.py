@@ -22,6 +22,10 @@ FILTER_BITS = 1 << 24
 PASSAGE = 256
 #: Least similarity that counts as a leak: alignment score over the score of an untouched copy.
 THRESHOLD = 0.6
+#: A part of an item counts as a leak by itself if it aligns like this many untouched words.
+VERBATIM = 30
+#: A seed is common if it stands in more passages than the first number and would bring more pairs than the second.
+FEW_PASSAGES, RARE_PAIRS = 8, 256
 
 _MATCH, _MISMATCH, _GAP = 2, -1, -1
 
@@ -116,17 +120,17 @@ def _filter_bits(seeds: DataFrame) -> bytes:
 
 
 def seed_hits(docs: DataFrame, bits, id_col: str, text_col: str, longest: int, n: int = SEED) -> DataFrame:
-    """Windows of texts around runs whose hash may be a seed: ``doc``, ``offset`` (word), ``words``, ``seed`` and its place ``at`` in the window.
+    """Windows of texts around runs whose hash may be a seed: ``doc``, ``offset`` (word), ``window``, ``at`` and ``seeds``, ``print``.
 
-    Hits of a text that lie close together share one window, so a copied passage is one row for
-    each of its seeds but its words are sent once, with the first.
+    Hits of a text that lie close together share one window, so a copied passage is one row. ``at`` and ``seeds``
+    are the places and hashes of all hits in the window; they follow from its words, as does ``print``.
     """
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches):
         table = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
-            out = ([], [], [], [], [])
+            out = ([], [], [], [], [], [])
             for doc, text in zip(*columns_of(batch, "i", "t")):
                 words = words_of(text)
                 h = seed_hashes(words, n)
@@ -139,16 +143,52 @@ def seed_hits(docs: DataFrame, bits, id_col: str, text_col: str, longest: int, n
                 for k in range(1, len(hit) + 1):
                     if k == len(hit) or hit[k] - hit[k - 1] > longest or hit[k] - hit[first] > 2 * longest:
                         low, high = max(0, int(hit[first]) - longest), min(len(words), int(hit[k - 1]) + n + longest)
+                        inside = hit[np.searchsorted(hit, low) : np.searchsorted(hit, high - n, side="right")]
                         out[0].append(doc)
                         out[1].append(low)
                         out[2].append(b" ".join(words[low:high]).decode("utf-8", "replace"))
-                        out[3].append(np.unique(h[hit[first:k]].view(np.int64)).tolist())
-                        out[4].append(int(xxhash.xxh64_intdigest(b" ".join(words[low:high])) >> 1))
+                        out[3].append((inside - low).tolist())
+                        out[4].append(h[inside].view(np.int64).tolist())
+                        out[5].append(int(xxhash.xxh64_intdigest(b" ".join(words[low:high])) >> 1))
                         first = k
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, [batch.schema.field("i").type, pa.int64(), pa.string(), pa.list_(pa.int64()), pa.int64()])], ["doc", "offset", "window", "seeds", "print"])
+            types = [batch.schema.field("i").type, pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.int64()]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types)], ["doc", "offset", "window", "at", "seeds", "print"])
 
     rows = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t"))
-    return rows.mapInArrow(run, f"doc {kind}, offset long, window string, seeds array<bigint>, print long")
+    return rows.mapInArrow(run, f"doc {kind}, offset long, window string, at array<int>, seeds array<bigint>, print long")
+
+
+def _longer(runs: DataFrame, common: DataFrame, keys: list[str], more: int) -> DataFrame:
+    """Runs that are ``more`` words longer: two common ones, that many words apart, are the seed of both together."""
+    kept = runs.join(common, "seed")
+    later = kept.select(*keys, (F.col("pos") - more).alias("pos"), F.col("seed").alias("then"))
+    return kept.join(later, [*keys, "pos"]).select(*keys, "pos", F.xxhash64("seed", "then").alias("seed"))
+
+
+def candidate_pairs(windows: DataFrame, passages: DataFrame, n: int = SEED, threshold: float = THRESHOLD, few: int = FEW_PASSAGES, most: int = RARE_PAIRS) -> DataFrame:
+    """``print`` and ``body`` of windows and passages that share a rare seed.
+
+    A seed of ``n`` words is rare if it stands in ``few`` passages at most, or brings ``most`` pairs at most. A common
+    one brings no pairs by itself but grows by half its length, with the words beside it. It joins whatever it
+    meets once its length alone makes a leak: ``threshold`` of the passage, or ``VERBATIM`` words. So a pair is
+    left out only if every run of words they share is common at each length and none is a leak by itself.
+    """
+    runs = stored(windows.select("print", F.explode(F.arrays_zip(F.col("at"), F.col("seeds"))).alias("x")).select("print", F.col("x.at").alias("pos"), F.col("x.seeds").alias("seed")), "runs")
+    items = passages.select("body", (F.size("seeds") + n - 1).alias("size"), F.posexplode("seeds").alias("pos", "seed"))
+    pairs, length = None, n
+    while True:
+        sides = runs.groupBy("seed").agg(F.count_distinct("print").alias("w")).join(items.groupBy("seed").agg(F.count_distinct("body").alias("i")), "seed")
+        counts = stored(sides.withColumn("rare", (F.col("i") <= few) | (F.col("w") * F.col("i") <= most)), "seed-counts")
+        enough = F.col("rare") | (F.col("size") * threshold <= length) | F.lit(length >= VERBATIM)
+        sought = items.join(counts, "seed").where(enough).select("body", "seed").distinct()
+        met = runs.select("print", "seed").distinct().join(sought, "seed").select("print", "body")
+        pairs = met if pairs is None else pairs.unionByName(met)
+        common = counts.where("NOT rare").select("seed")
+        if length >= VERBATIM or common.isEmpty():
+            return stored(pairs.distinct(), "pairs")
+        more = min(max(1, length // 2), VERBATIM - length)
+        runs, items = stored(_longer(runs, common, ["print"], more), "runs"), stored(_longer(items, common, ["body", "size"], more), "items")
+        length += more
 
 
 @lru_cache(maxsize=4096)
@@ -158,7 +198,7 @@ def _encoded(words: str) -> np.ndarray:
 
 def _may_reach(item: np.ndarray, window: np.ndarray, threshold: float) -> bool:
     """Whether enough of the item's words stand in the window at all: a score is at most that of all of them in order."""
-    return np.isin(item, window).sum() >= threshold * len(item)
+    return np.isin(item, window).sum() >= min(threshold * len(item), VERBATIM)
 
 
 def _aligned(pairs: DataFrame, threshold: float) -> DataFrame:
@@ -166,37 +206,36 @@ def _aligned(pairs: DataFrame, threshold: float) -> DataFrame:
         for frame in frames:
             frame = frame[[_may_reach(_encoded(i), _encoded(w), threshold) for i, w in zip(frame.item_words, frame.window)]]
             found = [alignment(_encoded(i), _encoded(w)) for i, w in zip(frame.item_words, frame.window)]
-            yield pd.DataFrame({"print": frame.print, "item": frame.item, "part": frame.part, "score": [f[0] for f in found], "a": [f[1] for f in found], "b": [f[2] for f in found], "size": [len(_encoded(i)) for i in frame.item_words]})
+            yield pd.DataFrame({"print": frame.print, "body": frame.body, "score": [f[0] for f in found], "a": [f[1] for f in found], "b": [f[2] for f in found], "size": [len(_encoded(i)) for i in frame.item_words]})
 
-    kind = pairs.schema["item"].dataType.simpleString()
-    return pairs.mapInPandas(run, f"print long, item {kind}, part int, score long, a long, b long, size long")
+    return pairs.mapInPandas(run, "print long, body string, score long, a long, b long, size long")
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_id_col: str = "item_id", item_text_col: str = "text", n: int = SEED, threshold: float = THRESHOLD) -> DataFrame:
     """Training passages that copy a test item: id, item, ``similarity`` and the passage's words ``begin`` to ``end``.
 
-    A seed is a run of ``n`` words of an item, and all seeds count, however common. Windows of texts that share
-    any seed with an item are aligned with it by Smith-Waterman over words, unless too few of the item's
-    words stand in the window for any alignment to do; the score divided by that of an untouched copy must
-    reach ``threshold``. Edits, insertions and gaps inside the passage are met; a copy without ``n`` untouched
-    words in a row is not.
+    A seed is a run of ``n`` words of an item. Windows of texts that share a rare seed with an item, or a common one
+    that its neighbours make rare (``candidate_pairs``), are aligned with it by Smith-Waterman over words, unless
+    too few of the item's words stand in the window for any alignment to do. The score divided by that of an
+    untouched copy must reach ``threshold``, or the score itself that of ``VERBATIM`` untouched words. Edits,
+    insertions and gaps inside the passage are met; a copy without ``n`` untouched words in a row is not.
 
     One row for each id and item, with the best passage. Null or empty texts and items of fewer than
     ``n`` words take no part; repeated rows give one row for each id; a null id can't be reported and is
     left out; an empty benchmark or corpus gives an empty result.
     """
-    passages = stored(passages_of(benchmark, item_id_col, item_text_col, n), "passages")
-    seeds = passages.select("item", "part", F.explode(F.array_distinct("seeds")).alias("seed"))
-    longest = int(passages.agg(F.coalesce(F.max(F.size("seeds")), F.lit(1))).first()[0]) + n
+    passages = stored(passages_of(benchmark, item_id_col, item_text_col, n).withColumn("body", F.sha2("words", 256)), "passages")
+    # passages and windows with the same words are searched and aligned once
+    bodies = stored(passages.groupBy("body").agg(F.first("words").alias("item_words"), F.first("seeds").alias("seeds")), "bodies")
+    seeds = bodies.select(F.explode(F.array_distinct("seeds")).alias("seed"))
+    longest = int(bodies.agg(F.coalesce(F.max(F.size("seeds")), F.lit(1))).first()[0]) + n
     bits = docs.sparkSession.sparkContext.broadcast(_filter_bits(seeds))
     hits = stored(seed_hits(docs.where(F.col(id_col).isNotNull()), bits, id_col, text_col, longest, n), "hits")
-
-    # equal windows (copied passages) are searched and aligned once
-    windows = stored(hits.groupBy("print").agg(F.first("window").alias("window"), F.first("seeds").alias("seeds")), "windows")
-    runs = windows.select("print", F.explode("seeds").alias("seed"))
-    pairs = runs.join(seeds, "seed").select("print", "item", "part").distinct()
-    pairs = pairs.join(passages.select("item", "part", F.col("words").alias("item_words")), ["item", "part"]).join(windows.select("print", "window"), "print")
-    found = _aligned(pairs.repartition("print", "item", "part"), threshold).withColumn("similarity", F.col("score") / (F.lit(float(_MATCH)) * F.col("size"))).where(F.col("similarity") >= threshold)
-    placed = found.join(hits.select("print", "doc", "offset"), "print")
+    windows = stored(hits.groupBy("print").agg(F.first("window").alias("window"), F.first("at").alias("at"), F.first("seeds").alias("seeds")), "windows")
+    pairs = candidate_pairs(windows, bodies, n, threshold)
+    pairs = pairs.join(bodies.select("body", "item_words"), "body").join(windows.select("print", "window"), "print")
+    found = _aligned(pairs.repartition("print", "body"), threshold).withColumn("similarity", F.col("score") / (F.lit(float(_MATCH)) * F.col("size")))
+    found = found.where((F.col("similarity") >= threshold) | (F.col("score") >= _MATCH * VERBATIM))
+    placed = found.join(passages.select("body", "item"), "body").join(hits.select("print", "doc", "offset"), "print")
     best = placed.groupBy("doc", "item").agg(F.max(F.struct("similarity", (-(F.col("offset") + F.col("a"))).alias("from"), (F.col("offset") + F.col("b")).alias("to"))).alias("best"))
     return best.select(F.col("doc").alias(id_col), F.col("item").alias("item_id"), F.round("best.similarity", 6).alias("similarity"), (-F.col("best.from")).alias("begin"), F.col("best.to").alias("end"))

@@ -10,7 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from ledgerwatch.llm import packing, simhash
+from ledgerwatch.llm import leaks, packing, simhash
 from ledgerwatch.llm.components import connected_components
 from ledgerwatch.llm.language_model import score_texts
 from ledgerwatch.llm.leaks import alignment, find_leaks
@@ -178,6 +178,41 @@ def test_densely_edited_leaks_as_by_brute_force(spark):
     assert {(r.doc_id, r.item_id) for r in found.collect()} == want
 
 
+def test_a_common_run_alone_brings_no_pairs(spark):
+    """300 texts and 40 items share one phrase: only pairs that share more are aligned, and none of those is lost."""
+    phrase = "in the middle of the night"
+    items = [f"{prose(900 + k, 18)} {phrase} {prose(950 + k, 18)}" for k in range(40)] + [f"x{k} {phrase}" for k in range(3)]
+    texts = [f"{prose(2000 + k, 40)} {phrase} {prose(2500 + k, 40)}" for k in range(300)]
+    for k in range(12):  # edited copies of the first items, with the phrase and beside it
+        words = items[k].split()
+        texts[k] = f"{prose(3000 + k, 20)} {' '.join('changed' if i % 7 == 3 else w for i, w in enumerate(words))} {phrase}"
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    passages = leaks.passages_of(bench).withColumnRenamed("words", "body").cache()
+    bits = spark.sparkContext.broadcast(leaks._filter_bits(passages.select(F.explode("seeds").alias("seed"))))
+    hits = leaks.seed_hits(table(spark, texts), bits, "doc_id", "text", 60).cache()
+    pairs = leaks.candidate_pairs(hits, passages)
+    assert pairs.count() < 2000 < 300 * 40
+    found = {(r.doc_id, r.item_id) for r in find_leaks(table(spark, texts), bench).collect()}
+    code = {}
+    encode = lambda text: np.array([code.setdefault(w, len(code)) for w in text.lower().split()])
+    want = {(i, k) for i, t in enumerate(texts) for k, item in enumerate(items) if alignment(encode(item), encode(t))[0] >= min(0.6 * 2 * len(item.split()), 60)}
+    assert found == want and len(want) > 600 and {(k, k) for k in range(12)} <= want
+
+
+def test_copies_of_one_item_everywhere_are_found(spark):
+    """Its seeds are in very many windows; edited copies and a long verbatim part are found all the same."""
+    item = prose(41, 60)
+    words = item.split()
+    edited = [" ".join(f"e{k}" if i % 8 == k % 8 else w for i, w in enumerate(words)) for k in range(300)]
+    long_item = prose(42, 250)
+    part = " ".join(long_item.split()[100:140])
+    docs = table(spark, [f"{prose(4000 + k, 10)} {e}" for k, e in enumerate(edited)] + [f"{prose(1, 50)} {part} {prose(2, 50)}"])
+    bench = spark.createDataFrame([(1, item), (2, long_item), *((10 + k, item) for k in range(12))], "item_id long, text string")
+    found = {(r.doc_id, r.item_id) for r in find_leaks(docs, bench).collect()}
+    assert {d for d, i in found if i == 1} == set(range(300)) and {d for d, i in found if i == 2} == {300}
+    assert all({d for d, i in found if i == 10 + k} == set(range(300)) for k in range(12))
+
+
 def test_alignment_is_smith_waterman():
     rng = np.random.default_rng(0)
     for _ in range(60):
