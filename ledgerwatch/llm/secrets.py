@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from math import log2
 
 import pyarrow as pa
@@ -50,15 +51,26 @@ def candidates_in(text: str | None) -> list[tuple[int, str, int, str]]:
     found = []
     for kind, (pattern, group, least) in BASE.items():
         found += [(m.start(), kind, m.end(), m.group(group)) for m in pattern.finditer(text) if len(m.group(group)) >= least]
-    taken = sorted((a, b) for a, _, b, _ in found)
+    # disjoint spans in order, so that one look to either side tells whether a place is free
+    starts: list[int] = []
+    ends: list[int] = []
+    for a, _, b, _ in sorted(found):
+        if ends and a < ends[-1]:
+            ends[-1] = max(ends[-1], b)
+        else:
+            starts.append(a)
+            ends.append(b)
     for kind, (pattern, group, least) in MORE.items():
         if kind in _NEEDED and _NEEDED[kind] not in text:
             continue
         for m in pattern.finditer(text):
             value = m.group(group)
-            if len(value) >= least and (kind in ("issued", "jwt", "url") or looks_random(value)) and not any(a < m.end() and m.start() < b for a, b in taken):
+            at = bisect_right(starts, m.start())
+            free = (at == 0 or ends[at - 1] <= m.start()) and (at == len(starts) or m.end() <= starts[at])
+            if free and len(value) >= least and (kind in ("issued", "jwt", "url") or looks_random(value)):
                 found.append((m.start(), kind, m.end(), value))
-                taken.append((m.start(), m.end()))
+                starts.insert(at, m.start())
+                ends.insert(at, m.end())
     return sorted(found, key=lambda f: (f[0], KINDS.index(f[1]), f[2]))
 
 
