@@ -1,7 +1,7 @@
 """From raw documents to packed sequences: five stages, each on all that the one before has kept.
 
 1. Quality rules: documents that fail policy ``v1`` go.
-2. Near duplicates: texts link at a five-word Jaccard similarity of 0.8; of each component the document with the smallest id stays.
+2. Near duplicates: SimHash fingerprints of three-word shingles link at two bits; of each component the document with the smallest id stays.
 3. Benchmark leaks: documents with a copied or edited test item go.
 4. Secrets: owner-specific values are cut out of the texts; ``n_chars`` follows.
 5. Packing: the last stage returns one row per piece with its place in a sequence.
@@ -17,29 +17,35 @@ from ledgerwatch.llm.leaks import find_leaks
 from ledgerwatch.llm.packing import packed_documents
 from ledgerwatch.llm.quality import keep_good
 from ledgerwatch.llm.secrets import redact
-from ledgerwatch.llm.simhash import keep_one_of_each
+from ledgerwatch.llm.simhash import keep_one_of_each, row_key
 from ledgerwatch.session import stored
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that no rule of policy ``v1`` fails; null and empty texts fail, ids play no part, repeats stay."""
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group; rows are told apart by id and text, so texts that share an id or have none are judged each."""
     return keep_one_of_each(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    leaks = find_leaks(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    return docs.join(leaks.select("doc_id").distinct(), "doc_id", "left_anti")
+    """Documents without a test item; decided by id and text, so neither shared nor null ids matter. Null and empty texts stay."""
+    keyed = docs.withColumn("_row_key", row_key())
+    leaks = find_leaks(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="_row_key")
+    return keyed.join(leaks.select("_row_key").distinct(), "_row_key", "left_anti").select(docs.columns)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, live-looking secrets cut out of their texts; null texts stay null, ids play no part."""
     clean = redact(docs, repository=F.concat_ws("/", "source", "lang"))
     return clean.withColumn("n_chars", F.char_length("text").cast("long")) if "n_chars" in docs.columns else clean
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents with their places; a null text is an empty one, repeats and null ids are packed each."""
     return packed_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
