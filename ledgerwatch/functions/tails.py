@@ -60,20 +60,44 @@ def chi2_tail(x: float, dof: float) -> float:
 
 
 def t_two_sided(t: float, dof: float) -> float:
-    """P(|T| > |t|) for Student's t; the normal limit above a million degrees of freedom."""
-    t = abs(t)
-    if dof > 1e6:
-        return math.erfc(t / math.sqrt(2))
-    x = dof / (dof + t * t)
-    return _beta_ratio(dof / 2.0, 0.5, x)
+    """P(|T| > |t|) for Student's t: the regularised incomplete beta function of dof / 2 and 1 / 2.
 
+    Its argument and the rest to one are both given exactly, and the ratio of the two gamma functions comes from a
+    series instead of a difference of large numbers, so the formula holds for any number of degrees.
+    """
+    square = t * t
+    if math.isinf(square):
+        return 0.0
+    return _half_beta(dof / 2.0, dof / (dof + square), square / (dof + square))
 
-def _beta_ratio(a: float, b: float, x: float) -> float:
-    if x <= 0 or x >= 1:
+
+def _log_gamma_step(a: float) -> float:
+    """log of gamma(a + 1/2) / gamma(a)."""
+    back = 0.0
+    while a < 30:
+        back += math.log(a / (a + 0.5))
+        a += 1
+    return back + 0.5 * math.log(a) - 1 / (8 * a) + 1 / (192 * a**3) - 1 / (640 * a**5)
+
+
+def _half_beta(a: float, x: float, y: float) -> float:
+    """I_x(a, 1/2), where y = 1 - x."""
+    if x <= 0 or y <= 0:
         return min(max(x, 0.0), 1.0)
-    if x > (a + 1) / (a + b + 2):
-        return 1.0 - _beta_ratio(b, a, 1 - x)
-    front = math.exp(a * math.log(x) + b * math.log1p(-x) + math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)) / a
+    front = math.exp(a * math.log1p(-y) + 0.5 * math.log(y) + _log_gamma_step(a) - 0.5 * math.log(math.pi))
+    if y < 0.5 and a * y < 4.5:  # the middle of the distribution: its share by a series of positive terms
+        term = total = 2.0
+        for n in range(_STEPS):
+            term *= (0.5 + a + n) * y / (1.5 + n)
+            total += term
+            if term < total * _EPS:
+                return max(0.0, 1.0 - front * total)
+        raise _unsettled()
+    return front / a * _beta_fraction(a, 0.5, x)
+
+
+def _beta_fraction(a: float, b: float, x: float) -> float:
+    """The continued fraction of the incomplete beta function."""
     c, d = 1.0, 1.0 / ((1 - (a + b) * x / (a + 1)) or _TINY)
     h = d
     for m in range(1, _STEPS):
@@ -88,7 +112,7 @@ def _beta_ratio(a: float, b: float, x: float) -> float:
             break
     else:
         raise _unsettled()
-    return front * h
+    return h
 
 
 def _both(stat: pd.Series, dof: pd.Series, tail) -> pd.Series:

@@ -81,7 +81,7 @@ def with_prior_stats(fact: DataFrame, length: int = 10, with_totals: bool = Fals
     rows = fact.withColumn("_known", F.lit(False))
     if earlier is not None:
         rows = rows.unionByName(earlier.withColumn("_known", F.lit(True)), allowMissingColumns=True)
-    placed = in_parts(rows, HISTORY, parts_of(rows, parts), "histories")
+    placed = in_parts(rows, HISTORY, parts_of(fact, parts), "histories")
     handed = carried_rows(placed, length).withColumn("_known", F.lit(True)).withColumn("_handed", F.lit(True))
     history = Window.partitionBy("_part", "customer_id").orderBy("step", "transaction_id")
     found = placed.withColumn("_handed", F.lit(False)).unionByName(handed).withColumns(_stats(history, length))

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import stored
+from .history import in_parts, parts_of
 from .order_stats import ntile_of
 
 
@@ -18,9 +19,9 @@ def global_ntile(rows: DataFrame, order: Sequence[str], k: int, name: str, parti
     and must not change between counting a partition and numbering it. The per-partition counts
     are one row per partition, which bounds the side that is broadcast.
     """
-    spark = rows.sparkSession
-    n_parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = stored(rows.repartitionByRange(n_parts, *order).withColumn("_part", F.spark_partition_id()), "ntile")
+    # the rows are used twice, to be counted and to be dealt out
+    rows = stored(rows, "ntile-rows")
+    placed = in_parts(rows, list(order), parts_of(rows, partitions), "ntile")
     counts = placed.groupBy("_part").agg(F.count(F.lit(1)).alias("_rows"))
     every = Window.orderBy("_part")
     offsets = counts.select(

@@ -209,6 +209,30 @@ def all_daily_reports(fact: DataFrame, alerts: DataFrame, dim: DataFrame) -> Dat
     days = fact.groupBy("transaction_day").agg(*_day_figures())
     span = days.agg(F.min("transaction_day").alias("first"), F.max("transaction_day").alias("last"))
     calendar = span.filter(F.col("first").isNotNull()).select(F.explode(F.sequence("first", "last")).alias("report_day"))
+    return _report_rows(calendar, days, alerts, dim)
+
+
+def reports_of_days(fact: DataFrame, alerts: DataFrame, dim: DataFrame, days: list[int]) -> DataFrame:
+    """The rows of :func:`all_daily_reports` for some days; only their folders of fact are read."""
+    calendar = fact.sparkSession.createDataFrame([(d,) for d in days], "report_day int")
+    wanted = F.col("transaction_day").isin(days)
+    return _report_rows(calendar, fact.filter(wanted).groupBy("transaction_day").agg(*_day_figures()), alerts.filter(wanted), dim)
+
+
+def changed_days(new_rows: DataFrame | None, alerts: DataFrame, reports: DataFrame) -> list[int]:
+    """Days whose report is out of date: those of new rows, those whose alerts are not as many as reported, and days without
+    a report between the first and the last. One number per day."""
+    counted = alerts.filter(F.col("transaction_day").isNotNull()).groupBy(F.col("transaction_day").alias("report_day")).agg(n_rows().alias("n"))
+    known = reports.select("report_day", "alert_count")
+    differ = counted.join(known, "report_day", "full").filter(F.coalesce("n", F.lit(0)) != F.coalesce("alert_count", F.lit(-1))).select("report_day")
+    stale = differ if new_rows is None else differ.unionByName(new_rows.select(F.col("transaction_day").alias("report_day"))).distinct()
+    stale = {r[0] for r in stale.collect()}
+    there = {r[0] for r in known.select("report_day").collect()}
+    both = stale | there
+    return sorted(stale | (set(range(min(both), max(both) + 1)) - there)) if both else []
+
+
+def _report_rows(calendar: DataFrame, days: DataFrame, alerts: DataFrame, dim: DataFrame) -> DataFrame:
     alerted = alerts.groupBy("transaction_day").agg(n_rows().alias("alert_count"))
     return (
         calendar.join(days.withColumnRenamed("transaction_day", "report_day"), "report_day", "left")

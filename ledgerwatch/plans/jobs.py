@@ -12,9 +12,10 @@ from ..operators.alerts import as_alert_rows, high_amount_alerts, only_new, stat
 from ..operators.dimensions import dim_customers
 from ..operators.incremental import PARTIAL, STATE, customers_from_partials, judged_batch, merged_partials, merged_states, state_of
 from ..operators.quality import quality_report
-from ..operators.reports import all_daily_reports, daily_report, latest_reports, recent_alerts, tier_totals
+from ..operators.reports import all_daily_reports, changed_days, daily_report, latest_reports, recent_alerts, reports_of_days, tier_totals
 from ..operators.risk import dim_risk_load, dim_risk_refresh
 from ..operators.statistical import detector_flags
+from ..schema import REPORT
 from ..sources.batches import load_batch, read_batch, read_partials
 from ..sources.tables import (
     last_step,
@@ -149,6 +150,28 @@ def report_job(spark: SparkSession, store: Store, as_of: dt.datetime, dim_versio
     return spark.read.parquet(store.reports)
 
 
+def report_changes_job(spark: SparkSession, store: Store, as_of: dt.datetime, dim_version: int) -> list[int]:
+    """Brings the reports up to date after new loads or alerts; returns the days that were written anew.
+
+    Only the days in question are read and replaced. Days written earlier keep the customer figures of their time
+    where nothing else has changed.
+    """
+    state = f"{store.reports}_state"
+    newer = [b for b in loaded_batches(spark, store.fact) if b > last_step(spark, state)]
+    fact, alerts = read_fact(spark, store.fact), read_alerts(spark, store.alerts, store.fact)
+    new_rows = None
+    for batch in newer:
+        rows = read_batch(spark, store.fact, batch).select("transaction_day")
+        new_rows = rows if new_rows is None else new_rows.unionByName(rows)
+    days = changed_days(new_rows, alerts, read_or_empty(spark, store.reports, REPORT))
+    if days:
+        reports = reports_of_days(fact, alerts, read_version(spark, store.customers, dim_version), days)
+        write_reports(reports.withColumn("report_generated_at", F.lit(as_of.isoformat(sep=" ")).cast("timestamp")), store.reports)
+    if newer:
+        write_step(spark.createDataFrame([(d,) for d in days], "report_day int"), state, max(newer))
+    return days
+
+
 def daily_job(
     spark: SparkSession,
     folder: str,

@@ -774,6 +774,13 @@ def oracle_statements() -> dict[str, str]:
              {num('amount amount')}, {cnt('is_fraud is_fraud', 'count(*) inbound_count')}, {num('sum(got) inbound_total')}, {cnt('step-max(got_step) steps_since_inbound')}
       FROM pairs, done WHERE TIMESTAMP '2024-01-01' + to_hours(CAST(step + 1 AS INTEGER)) <= w GROUP BY transaction_id, customer_id, step, amount, is_fraud""")
     o["refresh_from_deltas"] = o["dim_risk_refresh"]
+    o["reports_kept_up"] = f"SELECT * REPLACE (CAST(0 AS BIGINT) AS alert_count) FROM ({o['all_daily_reports']})"
+    o["distinct_by_period"] = stmt(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS kind, CAST(transaction_day // {days} AS BIGINT) AS period, count(DISTINCT customer_id) AS customers, count(DISTINCT recipient_id) AS recipients, true AS within FROM fact GROUP BY transaction_day // {days}"
+            for name, days in (("day", 1), ("week", 7), ("month", 30))
+        )
+    )
     o["compacted_fact"] = stmt(f"SELECT {RAW_NO_ID}, {DERIVED} FROM fact")
     o["weekly_rollup"] = _rollup(7, "week")
     o["monthly_rollup"] = _rollup(30, "month")

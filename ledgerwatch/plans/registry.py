@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from ..functions import round_half_up
 from ..operators import alerts as al
-from ..operators import charts, explore, flows, hypothesis, incremental, patterns, quality, reports, risk, rules
+from ..operators import charts, explore, flows, hypothesis, incremental, patterns, quality, reports, risk, rules, sketches
 from ..operators import statistical as st
 from ..operators.cleaning import clean_transactions
 from ..operators.dimensions import dim_customers, replace_by_key, type_usage
 from ..schema import CSV_TO_FACT
 from ..session import scratch_path, stored
-from ..sources.batches import load_batch, read_rejected, rejected_counts
+from ..sources.batches import load_batch, read_rejected, read_sketches, rejected_counts
 from ..sources.compaction import batch_bytes, compact
 from ..sources.events import as_csv_columns, fact_from_events, raw_from_events, read_events
 from ..sources.tables import (
@@ -32,7 +32,7 @@ from ..sources.tables import (
 from ..streaming.alerts import rocksdb, streaming_pass_through, streaming_velocity_alerts, write_stream
 from ..streaming.ingest import ingest
 from ..streaming.velocity import hourly_activity, stream_events, write_finished_hours
-from .jobs import Store, load_job, refresh_from_deltas_job
+from .jobs import Store, load_job, refresh_from_deltas_job, report_changes_job
 
 Query = Callable[[SparkSession, str], DataFrame]
 ALERT_EPOCH = dt.datetime(2024, 2, 1)
@@ -187,10 +187,10 @@ def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rejected_counts(read_rejected(spark, store.fact))
 
 
-def _daily_loads(spark: SparkSession, sf_dir: str, store: Store, after_each: Callable[[int], None] = lambda n: None) -> None:
+def _daily_loads(spark: SparkSession, sf_dir: str, store: Store, after_each: Callable[[int], None] = lambda n: None, order=range(5)) -> None:
     """The log in five loads of neighbouring days, each file offered a second time with the next one."""
     raw, folder = _raw(spark, sf_dir), scratch_path(spark, "csv")
-    for n in range(5):
+    for n in order:
         as_csv_columns(raw.filter(F.least(F.expr("step div 144"), F.lit(4)) == n)).coalesce(2).write.mode("append").option("header", True).csv(folder)
         load_batch(read_transactions(spark, folder), store.fact)
         after_each(n)
@@ -203,6 +203,28 @@ def _refresh_from_deltas(spark: SparkSession, sf_dir: str) -> DataFrame:
     return refresh_from_deltas_job(spark, store, 5)
 
 
+def _reports_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brought up to date after every load, the second one arriving last."""
+    store = Store(scratch_path(spark, "store"))
+    write_version(loaded_customers(spark, sf_dir), store.customers, 0)
+    _daily_loads(spark, sf_dir, store, lambda n: report_changes_job(spark, store, ALERT_EPOCH, 0), [0, 2, 3, 4, 1])
+    return spark.read.parquet(store.reports).drop("report_generated_at")
+
+
+def _distinct_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Exact numbers per day, week and month, and whether the sketches of five loads come within four standard errors."""
+    store = Store(scratch_path(spark, "store"))
+    _daily_loads(spark, sf_dir, store)
+    fact, daily = read_fact(spark, store.fact), stored(read_sketches(spark, store.fact), "sketches")
+    parts = []
+    for name, days in (("day", 1), ("week", 7), ("month", 30)):
+        exact = fact.groupBy(F.expr(f"transaction_day div {days}").alias("period")).agg(F.count_distinct("customer_id").alias("c"), F.count_distinct("recipient_id").alias("r"))
+        near = [F.abs(F.col(x) - F.col(y)) <= 4 * sketches.STANDARD_ERROR * F.col(x) + 0.5 for x, y in (("c", "customers"), ("r", "recipients"))]
+        both = sketches.distinct_by_period(daily, days).join(exact, "period")
+        parts.append(both.select(F.lit(name).alias("kind"), "period", F.col("c").alias("customers"), F.col("r").alias("recipients"), (near[0] & near[1]).alias("within")))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
 def _compacted_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Five loads brought together twice over; the first bins hold two or three batches each."""
     store = Store(scratch_path(spark, "store"))
@@ -441,6 +463,8 @@ ON_FILES: dict[str, Query] = {
     "two_bulk_loads": _two_bulk_loads,
     "rejected_rows": _rejected_rows,
     "refresh_from_deltas": _refresh_from_deltas,
+    "reports_kept_up": _reports_kept_up,
+    "distinct_by_period": _distinct_by_period,
     "compacted_fact": _compacted_fact,
     "read_table": _read_table,
     "incremental_files": _incremental_files,

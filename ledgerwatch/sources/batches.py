@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 
 from ..operators.cleaning import clean_transactions, derive_features, rejection_reason
 from ..operators.incremental import PARTIAL, customer_partials
+from ..operators.sketches import SKETCH, daily_sketches
 from ..schema import CSV_TO_FACT, FACT
 from ..session import stored
 from .tables import BAD_RECORD, SOURCE_FILE, commit_batch, loaded_batches, next_numbers, number_rows, read_manifest, read_or_empty, write_rows
@@ -72,6 +73,7 @@ def load_batch(raw: DataFrame, fact_path: str, then: Callable[[DataFrame, int],
     # an explicit schema, as a batch whose rows were all rejected has no files to take it from
     written = read_batch(spark, fact_path, batch_id)
     customer_partials(written).write.mode("overwrite").parquet(f"{fact_path}_customers/batch_id={batch_id}")
+    daily_sketches(written).write.mode("overwrite").parquet(f"{fact_path}_sketches/batch_id={batch_id}")
     if then:
         then(written, batch_id)
     commit_batch(spark, fact_path, batch_id, fresh, first_id + n_rows - 1)
@@ -87,5 +89,11 @@ def read_partials(spark: SparkSession, fact_path: str, above: int = 0) -> DataFr
     return lines.filter(F.col("batch_id").isin([b for b in loaded_batches(spark, fact_path) if b > above]))
 
 
+def read_sketches(spark: SparkSession, fact_path: str) -> DataFrame:
+    """The daily sketches of every complete load."""
+    lines = read_or_empty(spark, f"{fact_path}_sketches", T.StructType.fromDDL(f"{SKETCH}, batch_id int"))
+    return lines.filter(F.col("batch_id").isin(loaded_batches(spark, fact_path)))
+
+
 def read_batch(spark: SparkSession, fact_path: str, batch_id: int) -> DataFrame:
     return read_or_empty(spark, f"{fact_path}/batch_id={batch_id}", FACT)
