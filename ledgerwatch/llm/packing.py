@@ -6,10 +6,13 @@ import os
 import re
 from array import array
 from functools import lru_cache
+from itertools import compress
+from operator import not_
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -22,8 +25,11 @@ UNITS = 64
 DEPTH = 3
 #: Pieces that are placed together; only their ids and lengths meet.
 GROUP = 32_768
-#: Words remembered in each of two generations; when the new one is full it replaces the old.
-_WORDS = 500_000
+#: Words remembered; beyond them all are forgotten and learnt anew.
+_WORDS = 1_000_000
+#: A word whose last mark of punctuation stands behind a letter or digit.
+_MARKED = re.compile(rb".*[0-9A-Za-z][.,;:!?]", re.S).fullmatch
+_BLANKS = bytes.maketrans(b"\t\n\r\x0b\x0c", b"     ")
 #: Plain words that are encoded as one text.
 _JOINED = 500
 #: Letters below this code point have one form only: no combining marks, nothing to compose.
@@ -50,9 +56,8 @@ class WordIds:
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         self.model = Tokenizer.from_file(path)
-        # plain dictionaries: a set subtracts one by looking its own few words up, not by walking over all keys
-        self.known: dict[bytes, bytes] = {}
-        self.old: dict[bytes, bytes] = {}
+        self.words: dict[bytes, int] = {}
+        self.pool = _Pool()
         probe = "ab  cd\n'll 12 ü\t<|endoftext|> x'd a.b c, d."
         self.separable = self._ids([probe])[0] == b"".join(self._ids(probe.split()))
         self.lowers = self._ids(["ABC Xyz"]) == self._ids(["abc xyz"])
@@ -91,26 +96,79 @@ class WordIds:
         """The ids of each text; words not remembered are encoded in one call."""
         if not self.separable:
             return self._ids(texts)
-        raw = [t.encode("utf-8", "replace") for t in texts]
+        if len(self.words) >= _WORDS:
+            self.words, self.pool = {}, _Pool()
+        raw = [text.encode("utf-8", "replace").translate(_BLANKS) for text in texts]
         # strings of special tokens keep their case: in another case they are ordinary text
-        cut = [(t.lower() if self.lowers and b"<|" not in t else t).split() for t in raw]
-        if len(self.known) >= _WORDS:
-            self.old, self.known = self.known, {}
-        new = set().union(*cut).difference(self.known)
-        known_before = new.difference(new.difference(self.old))
-        self.known.update((w, self.old[w]) for w in known_before)
-        new -= known_before
-        bare = {w: w[:-1] for w in new if self.splits and len(w) > 1 and w[-1:] in b".,;:!?" and w[-2:-1].isalnum()}
-        alone = (new - bare.keys()).union({w[-1:] for w in bare}, bare.values()).difference(self.known)
-        simple, other = [], []
-        for word in map(bytes.decode, alone):
-            (simple if self.plain and self.latin(word) else other).append(word)
-        if simple:
-            self.known.update(zip(map(str.encode, simple), self._plain_ids(simple)))
-        self.known.update(zip(map(str.encode, other), self._ids(other)))
-        for word, stem in bare.items():
-            self.known[word] = self.known[stem] + self.known[word[-1:]]
-        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
+        raw = [r.lower() if self.lowers and b"<|" not in r else r for r in raw]
+        split = pc.split_pattern(pa.array(raw, pa.large_binary()), " ")
+        coded = split.flatten().dictionary_encode()
+        # each different word of these texts is looked up once
+        words = coded.dictionary.to_pylist()
+        numbers = list(map(self.words.get, words))
+        if None in numbers:
+            self._learn([w for w, n in zip(words, numbers) if n is None])
+            numbers = list(map(self.words.__getitem__, words))
+        ids, ends = self.pool.joined(np.array(numbers, np.int64)[coded.indices.to_numpy()])
+        cuts = (4 * ends[split.offsets.to_numpy()]).tolist()
+        return [ids[low:high] for low, high in zip(cuts, cuts[1:])]
+
+    def _learn(self, new: list[bytes]) -> None:
+        """Numbers new words and takes their ids into the pool, in the order of the numbers."""
+        marked, alone = _parted(new, _MARKED) if self.splits else ([], new)
+        stems = [w[:-1] for w in marked]
+        alone += set(stems).union(w[-1:] for w in marked).difference(alone).difference(self.words)
+        self.words.update(zip(alone, range(len(self.words), len(self.words) + len(alone))))
+        self.pool.add(self._alone_ids(alone))
+        # a stem is a word without such a mark, so both its parts are there
+        parts = np.empty((len(marked), 2), np.int64)
+        parts[:, 0], parts[:, 1] = (np.fromiter(map(self.words.__getitem__, side), np.int64, len(marked)) for side in (stems, (w[-1:] for w in marked)))
+        self.words.update(zip(marked, range(len(self.words), len(self.words) + len(marked))))
+        ids, ends = self.pool.joined(parts.ravel())
+        self.pool.extend(np.frombuffer(ids, np.uint32), np.diff(ends[::2]))
+
+    def _alone_ids(self, words: list[bytes]) -> list[bytes]:
+        """The ids of words without a last mark: plain ones many at once, the others as they are."""
+        if not self.plain:
+            return self._ids([w.decode() for w in words])
+        texts = b" ".join(words).decode().split(" ")
+        plain, other = _parted(texts, self.latin)
+        found = iter(self._plain_ids(plain)), iter(self._ids(other) if other else ())
+        return [next(found[0] if self.latin(text) else found[1]) for text in texts] if words else []
+
+
+def _parted(words: list, test) -> tuple[list, list]:
+    """The words that pass a test, and the others."""
+    flags = list(map(bool, map(test, words)))
+    return list(compress(words, flags)), list(compress(words, map(not_, flags)))
+
+
+class _Pool:
+    """The ids of numbered words, one after the other."""
+
+    def __init__(self):
+        self.size, self.used = 0, 0
+        self.ids, self.starts, self.lengths = np.empty(1 << 16, np.uint32), np.empty(1 << 14, np.int64), np.empty(1 << 14, np.int64)
+
+    def add(self, words: list[bytes]) -> None:
+        self.extend(np.frombuffer(b"".join(words), np.uint32), np.fromiter(map(len, words), np.int64, len(words)) // 4)
+
+    def extend(self, ids: np.ndarray, lengths: np.ndarray) -> None:
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.empty_like(self.ids)])
+        while self.size + len(lengths) > len(self.starts):
+            self.starts, self.lengths = (np.concatenate([x, np.empty_like(x)]) for x in (self.starts, self.lengths))
+        self.ids[self.used : self.used + len(ids)] = ids
+        self.lengths[self.size : self.size + len(lengths)] = lengths
+        self.starts[self.size : self.size + len(lengths)] = self.used + np.cumsum(lengths) - lengths
+        self.used, self.size = self.used + len(ids), self.size + len(lengths)
+
+    def joined(self, numbers: np.ndarray) -> tuple[bytes, np.ndarray]:
+        """The ids of the words one after the other, and how many there are before each word and after the last."""
+        lengths = self.lengths[numbers]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        place = np.arange(ends[-1]) + np.repeat(self.starts[numbers] - ends[:-1], lengths)
+        return self.ids[place].tobytes(), ends
 
 
 @lru_cache(maxsize=2)
@@ -133,7 +191,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, limit: int, end_id: int |
         for batch in batches:
             out = ([], [], [], [], [])
             docs_here, texts = columns_of(batch, "i", "t")
-            coded = (ids for low in range(0, len(texts), 1024) for ids in model.encode([t or "" for t in texts[low : low + 1024]]))
+            coded = (ids for low in range(0, len(texts), 2048) for ids in model.encode([t or "" for t in texts[low : low + 2048]]))
             for doc, ids in zip(docs_here, coded):
                 ids += tail
                 for piece, at in enumerate(range(0, max(1, len(ids)), 4 * limit)):
