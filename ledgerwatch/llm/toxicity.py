@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     """The two models and the coefficients that turn ``evidence`` into a probability; None with fewer than two classes.
 
     Of the labelled rows outside fold ``held``, up to ``sample`` of each class are read: those with the least
-    hash of the id. Three quarters are counted, the rest sets the coefficients, where each text stands for as
+    hash of the id, one text of each. Three quarters are counted, the rest sets the coefficients, where each text stands for as
     many as its class has labelled rows for a row read: so the constant keeps the labels' class shares at any size.
     """
     wanted = labels.select(F.col(id_col).alias("i"), F.col(label_col).alias("y")).where((remainder("i", folds) != held) & F.col("y").isin(0, 1)).groupBy("i").agg(F.max("y").alias("y"))
@@ -167,6 +167,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     for y in (0, 1):
         some = picked.where(F.col("y") == y).orderBy("h").limit(sample)
         found = docs.select(F.col(id_col).alias("i"), F.col(text_col).alias("t")).join(F.broadcast(some), "i")  # at most ``sample`` ids
+        found = found.groupBy("h", "y").agg(F.min("t").alias("t"))  # one text of an id that repeats
         kind = "h long, y int, codes binary"
         coded = found.select("h", F.col("y").cast("int").alias("y"), "t").mapInArrow(_coded, kind)
         rows += [(r.h, y, np.frombuffer(bytes(r.codes), np.uint64)) for r in coded.toLocalIterator()]

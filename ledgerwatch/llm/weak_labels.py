@@ -174,7 +174,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """``id_col``, ``votes``, ``posterior`` (of the labellers), ``score`` and ``kept`` (score >= 0.5) for every row.
 
     One pass lets every labeller vote on every text. The counts of vote patterns (3^labellers at most, over all rows) go to
-    the driver, where their accuracies are estimated. A documented sample of ``sample`` rows, with posterior labels, trains the
+    the driver, where their accuracies are estimated. A documented sample of ``sample`` different rows, whatever their ids, with posterior labels, trains the
     linear scorer, which then scores all texts. Nobody's labels are read. Null and empty texts have no words, get the labellers'
     votes for that and a score like any text; repeated rows are scored each; an empty table gives an empty result.
     """
@@ -223,7 +223,7 @@ def score_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def _least_hashes(rows: DataFrame, sample: int) -> DataFrame:
-    """About ``sample`` rows, all below one limit of the id's hash; the limit is set by the number of rows."""
-    n = rows.count()
-    h = F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit("")), F.lit("weak labels"))
-    return rows if n <= sample else rows.where(h < F.lit(int(-(2**63) + 2**64 * (sample / n)))).select("i", "t")
+    """The ``sample`` different rows with the least hashes of id and text, or all if there are fewer; repeats count once."""
+    keyed = rows.withColumn("h", F.xxhash64(F.coalesce(F.col("i").cast("string"), F.lit("")), F.coalesce("t", F.lit("")), F.lit("weak labels")))
+    limit = keyed.select("h").distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0]
+    return keyed.where(F.col("h") <= F.lit(limit)).dropDuplicates(["h"]).select("i", "t")

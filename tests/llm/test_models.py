@@ -7,6 +7,9 @@ import pytest
 
 from ledgerwatch.llm import language_model as lm
 from ledgerwatch.llm.packing import UNITS, fit_patterns, place
+from ledgerwatch.llm.toxicity import score_toxicity
+from ledgerwatch.llm.weak_labels import score_quality
+from test_text_operators import prose
 
 
 def small_model(n_units=40, seed=3):
@@ -70,3 +73,40 @@ def test_patterns_need_no_more_sequences_than_best_fit(seed):
         assert max(ends.values()) <= 4096
         counts.append(len(ends))
     assert counts[0] <= counts[1] + 1 and counts[0] >= lengths.sum() / 4096
+
+
+def labelled(spark, texts, ids):
+    schema = "doc_id long, text string, i string, h long, votes string"
+    return spark.createDataFrame([(i, t, "x", 1, "y") for i, t in zip(ids, texts)], schema)
+
+
+def test_quality_of_rows_that_share_one_id(spark):
+    """The sample goes by id and text: one id in all rows, or none, trains as well as different ones."""
+    texts = [prose(k, 80) if k % 3 else "@@ ## $$ BUY!!! " * 30 + str(k) for k in range(240)]
+    for ids in ([5] * len(texts), [None] * len(texts), range(len(texts))):
+        got = score_quality(labelled(spark, texts, ids), sample=90).select("kept").collect()
+        assert sum(r.kept for r in got) == pytest.approx(160, abs=8)
+    repeated = labelled(spark, [texts[1]] * 150 + texts, [5] * 150 + [5] * len(texts))
+    assert sum(r.kept for r in score_quality(repeated, sample=90).collect()) >= 150 + 150
+
+
+def test_quality_and_toxicity_of_nothing(spark):
+    none = labelled(spark, [], [])
+    assert score_quality(none).count() == 0
+    labels = spark.createDataFrame([], "doc_id long, quality int, toxic int")
+    assert score_toxicity(none, labels).count() == 0
+    odd = labelled(spark, [None, "", "a word", prose(3, 20_000)], [None, 1, 1, 2])
+    assert {r.score for r in score_toxicity(odd, labels).collect()} == {0.0}
+    assert score_quality(odd).count() == 4
+
+
+def test_toxicity_reads_one_text_of_a_repeated_id(spark):
+    bad, good = "vile rotten scum", "kind gentle words"
+    texts = [f"{prose(k, 20)} {bad if k % 2 else good} {prose(k + 500, 20)}" for k in range(200)]
+    labels = spark.createDataFrame([(k, 1, k % 2) for k in range(200)], "doc_id long, quality int, toxic int")
+    docs = labelled(spark, texts + [texts[0]] * 300, [*range(200), *[0] * 300])
+    once = {r.doc_id: r.score for r in score_toxicity(labelled(spark, texts, range(200)), labels).collect()}
+    again = score_toxicity(docs, labels).collect()
+    assert len(again) == 500 and all(r.score == pytest.approx(once[r.doc_id]) for r in again)
+    held = [r for r in again if r.held_out and r.doc_id]
+    assert sum(r.predicted == r.doc_id % 2 for r in held) >= 0.9 * len(held)
