@@ -101,7 +101,11 @@ def passes(policy: str, failures: str = "quality.failures") -> Column:
 
 
 def keep_good(docs: DataFrame, policy: str = "v1", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass ``policy``, unchanged."""
+    """The rows of ``docs`` that pass ``policy``, unchanged.
+
+    Null and empty texts have no words and fail; ids are not looked at; repeated rows stay; an empty table stays
+    empty. A column ``quality`` of the rows' own is kept; ``_own_quality`` is a reserved name.
+    """
     judged = ledger(docs.withColumnRenamed("quality", "_own_quality"), text_col).where(passes(policy))
     return judged.drop("quality").withColumnRenamed("_own_quality", "quality")
 

@@ -124,7 +124,8 @@ def redact(docs: DataFrame, text_col: str = "text", owner: Column | str = "sourc
     """``docs`` with every owner-specific span (base or further) replaced by ``mark``; copied examples and all else stay.
 
     Texts without candidates are passed on where they are read. The others are written to the shared folder with a
-    row number, and their values are joined with the examples, not their texts.
+    row number, and their values are joined with the examples, not their texts. Null and empty texts stay as they
+    are; ids are not looked at; repeated rows are cut each; an empty table stays empty.
     """
     owner = F.col(owner) if isinstance(owner, str) else owner
     repository = owner if repository is None else F.col(repository) if isinstance(repository, str) else repository
