@@ -262,17 +262,17 @@ WITH pieces AS (
   SELECT lang, part, max(a) AS most
   FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS part FROM candidates WHERE k = 3) GROUP BY lang, part
 ), cuts AS (
-  SELECT c.lang, c.k, c.g, c.a, unnest(range(1, c.k)) AS at, c.w
+  SELECT c.lang, c.k, c.g, c.a, unnest(range(1, c.k)) AS cut, c.w
   FROM candidates c LEFT JOIN inside i ON c.k = 2 AND i.lang = c.lang AND i.part = c.g
   WHERE i.most IS NULL OR 100 * i.most < 50 * c.a
 ), scored AS (
-  SELECT c.lang, c.g, c.a, c.at, l.c AS l, r.c AS r,
+  SELECT c.lang, c.g, c.a, c.cut, l.c AS l, r.c AS r,
          CAST(CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(l.c AS HUGEINT) * r.c) AS BIGINT) AS score
   FROM cuts c
-  JOIN f l ON l.lang = c.lang AND l.k = c.at AND l.g = array_to_string(c.w[1:c.at], ' ')
-  JOIN f r ON r.lang = c.lang AND r.k = c.k - c.at AND r.g = array_to_string(c.w[c.at + 1:], ' ')
+  JOIN f l ON l.lang = c.lang AND l.k = c.cut AND l.g = array_to_string(c.w[1:c.cut], ' ')
+  JOIN f r ON r.lang = c.lang AND r.k = c.k - c.cut AND r.g = array_to_string(c.w[c.cut + 1:], ' ')
 ), lowest AS (
-  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, at) = 1
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) = 1
 )
 SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n, score
 FROM lowest s JOIN sizes USING (lang)
