@@ -279,9 +279,11 @@ def _append_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Appends in two steps, the second one repeated: no alert is stored twice."""
     path = scratch_path(spark, "alerts")
     fact = loaded_fact(spark, sf_dir)
-    found = al.statistical_alerts(st.detector_flags(fact))
+    # all rows are judged once, whatever is appended from what was found
+    found = stored(al.statistical_alerts(st.detector_flags(fact)), "found")
     write_alerts(al.as_alert_rows(found, ALERT_EPOCH), path, 0)
-    everything = al.as_alert_rows(found.unionByName(al.high_amount_alerts(fact, dim_customers(fact))), ALERT_EPOCH)
+    high = stored(al.high_amount_alerts(fact, stored(dim_customers(fact), "customers")), "high")
+    everything = al.as_alert_rows(found.unionByName(high), ALERT_EPOCH)
     for _ in range(2):
         known = read_alerts(spark, path).filter(F.col("batch_id") < 1)
         write_alerts(al.only_new(everything, known), path, 1)

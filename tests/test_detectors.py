@@ -11,6 +11,8 @@ from ledgerwatch.operators.dimensions import dim_customers
 from ledgerwatch.operators.history import with_prior_stats
 from ledgerwatch.operators.skew import join_lines
 from ledgerwatch.operators.patterns import pass_through
+from ledgerwatch.plans import registry
+from ledgerwatch.sources.tables import write_alerts
 
 
 def skewed(n=600):
@@ -257,3 +259,20 @@ def test_a_busy_key_is_split_by_adaptive_execution(spark, make_fact):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_alerts_are_found_once_and_appended_from_what_was_stored(spark, make_fact, monkeypatch):
+    fact = make_fact(skewed(300))
+    plans = []
+
+    def write(alerts, *args):
+        plans.append(alerts._jdf.queryExecution().optimizedPlan().toString())
+        write_alerts(alerts, *args)
+
+    monkeypatch.setattr(registry, "loaded_fact", lambda spark, folder: fact)
+    monkeypatch.setattr(registry, "write_alerts", write)
+    stored_alerts = registry._append_alerts(spark, "")
+    assert len(plans) == 3 and not any("Window" in p or "Aggregate" in p for p in plans)
+    found = al.statistical_alerts(st.detector_flags(fact)).unionByName(al.high_amount_alerts(fact, dim_customers(fact)))
+    expected = al.alert_ids(found).select(stored_alerts.columns)
+    assert stored_alerts.exceptAll(expected).count() == expected.exceptAll(stored_alerts).count() == 0 < expected.count()
