@@ -77,7 +77,7 @@ def load_job(spark: SparkSession, csv_path: str, store: Store, version: int = 0)
 
     Loads append. Rows that cannot be loaded are in :func:`read_rejected`, with their reasons.
     """
-    load_batch(read_transactions(spark, csv_path), store.fact)
+    load_batch(read_transactions(spark, csv_path, store.fact), store.fact)
     fact = read_fact(spark, store.fact)
     write_version(dim_risk_load(dim_customers(fact)), store.customers, version)
     return quality_report(fact)

@@ -18,7 +18,7 @@ from ..schema import CSV_TO_FACT
 from ..session import scratch_path, stored
 from ..sources.batches import load_batch, read_rejected, read_sketches, rejected_counts
 from ..sources.compaction import batch_bytes, compact
-from ..sources.events import as_csv_columns, fact_from_events, raw_from_events, read_events
+from ..sources.events import STEP, as_csv_columns, fact_from_events, raw_from_events, read_events
 from ..sources.tables import (
     read_alerts,
     read_fact,
@@ -189,10 +189,12 @@ def _rejected_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _daily_loads(spark: SparkSession, sf_dir: str, store: Store, after_each: Callable[[int], None] = lambda n: None, order=range(5)) -> None:
     """The log in five loads of neighbouring days, each file offered a second time with the next one."""
-    raw, folder = _raw(spark, sf_dir), scratch_path(spark, "csv")
+    events, folder, tasks = read_events(spark, sf_dir), scratch_path(spark, "csv"), spark.sparkContext.defaultParallelism
     for n in order:
-        as_csv_columns(raw.filter(F.least(F.expr("step div 144"), F.lit(4)) == n)).coalesce(2).write.mode("append").option("header", True).csv(folder)
-        load_batch(read_transactions(spark, folder), store.fact)
+        # neighbouring days lie in few splits of an ordered log, so its events are dealt out before they are parsed
+        some = events.filter(F.least(F.expr(f"({STEP}) div 144"), F.lit(4)) == n).repartition(tasks)
+        as_csv_columns(raw_from_events(some)).write.mode("append").option("header", True).csv(folder)
+        load_batch(read_transactions(spark, folder, store.fact), store.fact)
         after_each(n)
 
 

@@ -13,6 +13,7 @@ from ..schema import CSV_TO_FACT
 
 ORIGIN = "2024-01-01"
 CUSTOMER = "CASE WHEN event_id % 2 = 0 THEN concat('C', user_id) ELSE concat('C', user_id, '_', event_id % 37) END"
+STEP = f"datediff(ts, DATE '{ORIGIN}') * 24 + hour(ts)"
 
 # fixed values: the rules that turn an event into a transaction, one step after the other
 EVENT_COLUMNS = [
@@ -22,7 +23,7 @@ EVENT_COLUMNS = [
                        WHEN 'signup' THEN 'CASH_IN' ELSE 'DEBIT' END AS transaction_type""",
     "CAST(round(value * 100) AS BIGINT) AS c",
     "CAST(get_json_object(props, '$.k') AS BIGINT) AS k",
-    f"datediff(ts, DATE '{ORIGIN}') * 24 + hour(ts) AS step",
+    f"{STEP} AS step",
 ]
 AMOUNT = """CASE WHEN event_id % 17 = 0
                  THEN (1 + c % 30) * CASE c % 3 WHEN 0 THEN 10000000 WHEN 1 THEN 1000000 ELSE 100000 END

@@ -61,9 +61,21 @@ def header_of(spark: SparkSession, path: str) -> list[str]:
         return RAW_CSV.names
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
-    """Header CSV with the eleven raw columns in any order; splits of large files are read in parallel."""
-    return csv_rows(spark.read, path, header_of(spark, path))
+def read_transactions(spark: SparkSession, path: str, fact_path: str | None = None) -> DataFrame:
+    """Header CSV with the eleven raw columns in any order; splits of large files are read in parallel.
+
+    With ``fact_path``, files that a batch of that table holds already are left out without being opened.
+    """
+    rows = csv_rows(spark.read, path, header_of(spark, path))
+    if fact_path is None:
+        return rows
+    # names and sizes only; a filter on the file path alone prunes the file list of the scan
+    offered = spark.read.format("binaryFile").load(path).selectExpr(*_SOURCE)
+    held = read_manifest(spark, fact_path).select(*SOURCE_FILE, F.lit(True).alias("held"))
+    files = offered.join(held, list(SOURCE_FILE), "left").select("_file", "held").collect()
+    if not any(f.held for f in files):
+        return rows
+    return rows.filter(F.col("_file").isin([f["_file"] for f in files if not f.held]))
 
 
 def number_rows(rows: DataFrame, first_id: int = 1) -> tuple[DataFrame, int]:

@@ -1,3 +1,4 @@
+import os
 import re
 from decimal import Decimal
 
@@ -6,6 +7,8 @@ from pyspark.sql import functions as F
 
 from ledgerwatch.operators.cleaning import clean_transactions, derive_features
 from ledgerwatch.operators.dimensions import replace_by_key
+from ledgerwatch.plans import registry
+from ledgerwatch.plans.jobs import Store, load_job
 from ledgerwatch.schema import RAW_CSV
 from ledgerwatch.session import scratch_path
 from ledgerwatch.sources.batches import load_batch, read_manifest, read_rejected, rejected_counts
@@ -154,6 +157,46 @@ def test_a_load_with_nothing_but_rejects_still_counts(spark):
     assert read_fact(spark, path).count() == 0 and read_rejected(spark, path).count() == 1
 
 
+def test_files_that_are_loaded_are_not_opened_again(spark):
+    store, folder = Store(scratch_path(spark, "store")), lines(spark, ",".join(RAW_CSV.names), "5,PAYMENT,7,C1,1,1,M1,0,0,0,0")
+    load_job(spark, folder, store, 0)
+    more = [f"6,PAYMENT,7,C{i},1,1,M1,0,0,0,0" for i in range(4)]
+    spark.createDataFrame([(t,) for t in [",".join(RAW_CSV.names), *more]], "value string").coalesce(1).write.mode("append").option("compression", "none").text(folder)
+    # same name, size and time, but no longer a file that can be read
+    known = re.sub("^file:/*", "/", read_manifest(spark, store.fact).first()["_file"])
+    then = os.stat(known)
+    with open(known, "r+") as file:
+        file.write("s" + "x" * 10)
+    os.utime(known, ns=(then.st_atime_ns, then.st_mtime_ns))
+    left = read_transactions(spark, folder, store.fact)
+    assert sorted(r.nameOrig for r in left.collect()) == ["C0", "C1", "C2", "C3"]
+    load_job(spark, folder, store, 1)
+    load_job(spark, folder, store, 2)  # nothing new
+    assert sorted(r[0] for r in read_fact(spark, store.fact).select("transaction_id").collect()) == [1, 2, 3, 4, 5]
+    assert read_transactions(spark, folder, store.fact).isEmpty()
+
+
+def test_a_file_that_was_replaced_is_read_again(spark):
+    path, folder = scratch_path(spark, "fact"), lines(spark, ",".join(RAW_CSV.names), "5,PAYMENT,7,C1,1,1,M1,0,0,0,0")
+    load_batch(read_transactions(spark, folder, path), path)
+    known = re.sub("^file:/*", "/", read_manifest(spark, path).first()["_file"])
+    then = os.stat(known)
+    os.utime(known, ns=(then.st_atime_ns, then.st_mtime_ns + 10**9))
+    assert read_transactions(spark, folder, path).count() == 1
+
+
+def test_daily_loads_are_written_by_all_tasks(spark, monkeypatch):
+    days = "timestampadd(HOUR, CAST(id % 700 AS INT), timestamp'2024-01-01') AS ts"
+    # all events of the first days in one partition
+    events = spark.range(2_000).selectExpr("id AS event_id", days, "id % 9 AS user_id", "'click' AS event_type", "1.5D AS value", "'{\"k\": 3}' AS props").coalesce(1)
+    monkeypatch.setattr(registry, "read_events", lambda spark, folder: events)
+    store = Store(scratch_path(spark, "store"))
+    registry._daily_loads(spark, "", store, order=[0, 1])
+    assert {r["count"] for r in read_manifest(spark, store.fact).groupBy("batch_id").count().collect()} == {spark.sparkContext.defaultParallelism}
+    expected = registry.raw_from_events(events).filter("step < 288")
+    assert read_fact(spark, store.fact).count() == expected.count() == 864
+
+
 def test_an_interrupted_load_is_replaced_by_its_retry(spark):
     path, folder = scratch_path(spark, "fact"), lines(spark, ",".join(RAW_CSV.names), "5,PAYMENT,7,C1,1,1,M1,0,0,0,0")
 
