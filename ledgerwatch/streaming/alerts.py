@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 from contextlib import contextmanager
 from typing import Any
@@ -16,6 +17,9 @@ from .velocity import hourly_activity
 #: Active hours a customer must have had before an hour is judged.
 MIN_HOURS = 5
 IDLE_DAYS = 90
+#: Groups of customers that share a call; far more than there are tasks, so that tasks get equal shares.
+BUCKETS = 16_384
+HOUR_MS, DAY_MS = 3_600_000, 86_400_000
 _ALERT = "customer_id string, hour_start timestamp, txn_count long, usual_mean double, usual_std double, velocity_z_score double, severity string"
 _PROVIDER = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -33,55 +37,86 @@ def rocksdb(spark: SparkSession) -> Iterator[None]:
 
 
 class UsualHours(StatefulProcessor):
-    """Per customer: number, mean and sum of squared deviations of the counts of its active hours.
+    """Per customer of a bucket: number, mean and sum of squared deviations of the counts of its active hours.
 
     An hour is judged by the hours before it and then added to them. The state goes when the customer has
-    had no active hour for ``idle_days`` of event time.
+    had no active hour for ``idle_days`` of event time: a bucket has one timer a day at most, which looks through it.
     """
 
     def __init__(self, min_hours: int, idle_days: float):
-        self.min_hours, self.idle_ms = min_hours, int(idle_days * 86_400_000)
+        self.min_hours, self.idle_ms = min_hours, int(idle_days * DAY_MS)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.usual = handle.getValueState("usual", "n long, mean double, m2 double, goes_at long")
+        self.usual = handle.getMapState("usual", "customer_id string", "n long, mean double, m2 double, goes_at long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        hours = sorted((start, int(count)) for frame in rows for start, count in zip(frame["hour_start"], frame["txn_count"]))
-        n, mean, m2, goes_at = self.usual.get() if self.usual.exists() else (0, 0.0, 0.0, 0)
-        found = []
-        for start, count in hours:
-            begins = int(start.timestamp() * 1000)
-            if n and begins >= goes_at:
-                n, mean, m2 = 0, 0.0, 0.0
-            std = (m2 / n) ** 0.5 if n else 0.0
-            if n >= self.min_hours and count > mean + 2 * std:
-                z = (count - mean) / std if std > 0 else None
-                found.append((key[0], start, count, mean, std, z, "MEDIUM" if z is None else "CRITICAL" if z > 3 else "HIGH"))
-            n += 1
-            step = count - mean
-            mean += step / n
-            m2 += step * (count - mean)
-            goes_at = begins + self.idle_ms
-        self.usual.update((n, mean, m2, goes_at))
-        self.handle.registerTimer(goes_at)
-        yield pd.DataFrame(found, columns=["customer_id", "hour_start", "txn_count", "usual_mean", "usual_std", "velocity_z_score", "severity"])
+        hours = defaultdict(list)
+        for frame in rows:
+            for customer, begins, count in zip(*(frame[c].tolist() for c in ("customer_id", "begins", "txn_count"))):
+                hours[customer].append((begins, count))
+        known = self.usual.exists()  # every call below is a round trip to Spark
+        found, first = [], None
+        for customer, own in hours.items():
+            n, mean, m2, goes_at = (known and self.usual.getValue((customer,))) or (0, 0.0, 0.0, 0)
+            for begins, count in sorted(own):
+                if n and begins >= goes_at:
+                    n, mean, m2 = 0, 0.0, 0.0
+                std = (m2 / n) ** 0.5 if n else 0.0
+                if n >= self.min_hours and count > mean + 2 * std:
+                    z = (count - mean) / std if std > 0 else None
+                    found.append((customer, begins, count, mean, std, z, "MEDIUM" if z is None else "CRITICAL" if z > 3 else "HIGH"))
+                n += 1
+                step = count - mean
+                mean += step / n
+                m2 += step * (count - mean)
+                goes_at = begins + self.idle_ms
+            self.usual.updateValue((customer,), (n, mean, m2, goes_at))
+            first = goes_at if first is None else min(first, goes_at)
+        self._look_again(first)
+        if found:
+            alerts = pd.DataFrame(found, columns=["customer_id", "hour_start", "txn_count", "usual_mean", "usual_std", "velocity_z_score", "severity"])
+            yield alerts.assign(hour_start=pd.to_datetime(alerts["hour_start"], unit="ms", utc=True))
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        if self.usual.exists() and self.usual.get()[3] <= expiredTimerInfo.getExpiryTimeInMs():
-            self.usual.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        gone, first = [], None
+        for customer, (*_, goes_at) in self.usual.iterator():
+            if goes_at + HOUR_MS <= now:
+                gone.append(customer)
+            else:
+                first = goes_at if first is None else min(first, goes_at)
+        for customer in gone:
+            self.usual.removeKey(customer)
+        if first is not None:
+            self._look_again(first)
         return iter(())
 
+    def _look_again(self, goes_at: int) -> None:
+        """A timer for the midnight by which no hour that begins before ``goes_at`` can come any more."""
+        self.handle.registerTimer(-(-(goes_at + HOUR_MS) // DAY_MS) * DAY_MS)
 
-def streaming_velocity_alerts(events: DataFrame, late: str = "2 hours", min_hours: int = MIN_HOURS, idle_days: float = IDLE_DAYS) -> DataFrame:
+
+def streaming_velocity_alerts(
+    events: DataFrame, late: str = "2 hours", min_hours: int = MIN_HOURS, idle_days: float = IDLE_DAYS, buckets: int = BUCKETS
+) -> DataFrame:
     """Finished hours in which a customer was far busier than in its active hours before.
 
     Hours are counted with partial aggregation first, so a busy customer reaches the state as one row an hour.
     An hour is finished once the watermark has passed its end; rows that arrive later are dropped. Finished
     hours come in order, as the watermark only rises; those of one micro-batch are put in order here.
+
+    Python is called once for each of the ``buckets`` that customers are hashed to, as a call for each customer takes far
+    longer than judging its hours. Each customer still has its own line of state. A checkpoint keeps its number of buckets.
     """
-    hours = hourly_activity(events, late, keep_window=True)
-    return hours.groupBy("customer_id").transformWithStateInPandas(
+    hours = hourly_activity(events, late, keep_window=True).select(
+        F.pmod(F.xxhash64("customer_id"), F.lit(buckets)).alias("bucket"),
+        "customer_id",
+        F.unix_millis("hour_start").alias("begins"),
+        "txn_count",
+        F.window_time("hour").alias("hour"),  # event time
+    )
+    return hours.groupBy("bucket").transformWithStateInPandas(
         statefulProcessor=UsualHours(min_hours, idle_days), outputStructType=_ALERT, outputMode="Append", timeMode="EventTime"
     )
 

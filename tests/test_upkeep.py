@@ -1,6 +1,9 @@
 """Reports of changed days, sketches, lookups and streamed alerts."""
 
 import datetime as dt
+import os
+import random
+import uuid
 
 import pytest
 from pyspark.sql import functions as F
@@ -13,6 +16,7 @@ from ledgerwatch.session import scratch_path
 from ledgerwatch.sources.batches import load_batch, read_sketches
 from ledgerwatch.sources.events import raw_from_events, read_events
 from ledgerwatch.sources.tables import read_alerts, read_fact, read_transactions, transactions_of, write_fact
+from ledgerwatch.streaming import alerts
 from ledgerwatch.streaming.alerts import rocksdb, streaming_pass_through, streaming_velocity_alerts, write_stream
 from test_streaming import drop, raw
 
@@ -116,6 +120,65 @@ def test_streamed_velocity_waits_judges_and_forgets(spark):
     assert arrive(*[("2024-01-05 02:00:00", 1)] * 9, ("2024-01-05 09:00:00", 2)) == busy
 
 
+def hours_judged(events, done, idle):
+    """What one pass over all finished hours of each customer finds; and when each customer was last active."""
+    counts, found, last = {}, [], {}
+    for event_id, ts, user in events:
+        customer = None if user is None else f"C{user}" if event_id % 2 == 0 else f"C{user}_{event_id % 37}"
+        start = ts.replace(minute=0)
+        if start + dt.timedelta(hours=1) <= done:
+            counts[customer, start] = counts.get((customer, start), 0) + 1
+    state = {}
+    for (customer, start), count in sorted(counts.items(), key=lambda x: x[0][1]):
+        n, mean, m2 = state.get(customer, (0, 0.0, 0.0)) if start - last.get(customer, start) < idle else (0, 0.0, 0.0)
+        std = (m2 / n) ** 0.5 if n else 0.0
+        if n >= alerts.MIN_HOURS and count > mean + 2 * std:
+            found.append((str(customer), start, count, round(mean, 9), round(std, 9)))
+        moved = mean + (count - mean) / (n + 1)
+        state[customer] = n + 1, moved, m2 + (count - mean) * (count - moved)
+        last[customer] = start
+    return sorted(found), last
+
+
+def test_customers_of_a_bucket_share_a_call(spark, monkeypatch):
+    """Every customer has its own hours, however many share a bucket, and Python is called once a bucket and micro-batch."""
+    source, out, progress, calls = (scratch_path(spark, n) for n in ("events", "alerts", "progress", "calls"))
+    os.makedirs(calls)
+
+    class Counted(alerts.UsualHours):
+        def handleInputRows(self, key, rows, timerValues):
+            open(f"{calls}/{uuid.uuid4().hex}", "w").close()
+            yield from super().handleInputRows(key, rows, timerValues)
+
+    monkeypatch.setattr(alerts, "UsualHours", Counted)
+    some, first, idle = random.Random(3), dt.datetime(2024, 1, 1), dt.timedelta(days=2)
+    hours = [(day, hour, some.choice([*range(12), None])) for day in range(8) for hour in range(24) for _ in range(4) if day not in (3, 4)]
+    at = sorted([(first + dt.timedelta(days=day, hours=hour, minutes=some.randrange(60)), user) for day, hour, user in hours for _ in range(some.choice([1, 1, 1, 2, 9]))], key=lambda e: e[0])
+    events = [(some.choice([2 * i, 37 * (2 * i + 1)]), ts, user) for i, (ts, user) in enumerate(at)]
+    late = [(2, first + dt.timedelta(days=20), 99), (2, first + dt.timedelta(days=20, hours=9), 99)]
+    ended = first + dt.timedelta(days=2, hours=5)
+    schema = "event_id long, ts timestamp_ntz, user_id long"
+    arrivals = [[e for e in events if e[1] < ended], [e for e in events if e[1] >= ended], late]
+    seen, made = [], 0
+    for rows in arrivals:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(source)
+        with rocksdb(spark):
+            write_stream(streaming_velocity_alerts(spark.readStream.schema(schema).parquet(source), "1 hour", idle_days=idle.days, buckets=3), out, progress)
+        seen += rows
+        done = max(ts for _, ts, _ in seen) - dt.timedelta(hours=1)
+        expected, last = hours_judged(seen, done, idle)
+        got = spark.read.parquet(out).selectExpr("coalesce(customer_id, 'None')", "CAST(hour_start AS TIMESTAMP_NTZ)", "txn_count", "round(usual_mean, 9)", "round(usual_std, 9)").collect()
+        assert sorted(map(tuple, got)) == expected != []
+        assert made < len(os.listdir(calls)) <= made + 3 * 2 < made + len(last)
+        made = len(os.listdir(calls))
+        # a customer's line goes at the midnight after its idle days
+        with rocksdb(spark):
+            kept = spark.read.format("statestore").option("stateVarName", "usual").load(progress).select("user_map_key.customer_id").collect()
+        midnight = done.replace(hour=0, minute=0)
+        assert sorted(str(r[0]) for r in kept) == sorted(str(c) for c, hour in last.items() if hour + idle + dt.timedelta(hours=1) > midnight)
+    assert [r[0] for r in kept] == ["C99"] and {"C3", "C3_0", "None"} <= {r[0] for r in got}
+
+
 def test_streamed_pass_through_equals_the_batch(spark, small_fact):
     source, out, progress = (scratch_path(spark, n) for n in ("events", "pass", "progress"))
     events = read_events(spark, SMALL)
